@@ -1,0 +1,55 @@
+"""Does a row's key occur in a set of keys, when one key may hold most rows?"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# The most frequent keys go through a broadcast of at most this many rows. Any
+# other key then holds less than 1/1000 of the rows, which a shuffle handles.
+FREQUENT_KEYS = 1000
+
+
+def most_frequent(counts: DataFrame, count_column: str) -> DataFrame:
+    """The (at most ``FREQUENT_KEYS``) keys with the highest counts."""
+    return counts.orderBy(F.desc(count_column)).limit(FREQUENT_KEYS)
+
+
+def flag_members(
+    rows: DataFrame,
+    members: DataFrame,
+    frequent_members: DataFrame,
+    on: Sequence[str],
+    flag: str,
+) -> DataFrame:
+    """Add boolean ``flag``: whether the row's key is in ``members``.
+
+    ``members`` has one row per key. ``frequent_members`` are those members that
+    most rows carry, bounded by :func:`most_frequent`; their rows are answered by
+    the broadcast and then spread over all tasks, so no task of the second join
+    receives a whole hot key. Rows with a NULL key are never members and are
+    spread the same way.
+    """
+    on = list(on)
+    keyless = F.lit(False)
+    for name in on:
+        keyless = keyless | F.col(name).isNull()
+
+    hot = frequent_members.select(*on, F.lit(True).alias("_hot"))
+    rows = rows.join(F.broadcast(hot), on, "left")
+    rows = rows.withColumn(
+        "_slot",
+        F.when(F.col("_hot").isNotNull() | keyless, F.monotonically_increasing_id() + 1).otherwise(
+            F.lit(0).cast("bigint")
+        ),
+    )
+    rest = members.select(
+        *on, F.lit(0).cast("bigint").alias("_slot"), F.lit(True).alias("_member")
+    )
+    return (
+        rows.join(rest, [*on, "_slot"], "left")
+        .withColumn(flag, F.coalesce("_hot", "_member", F.lit(False)))
+        .drop("_hot", "_slot", "_member")
+    )
