@@ -72,10 +72,7 @@ ORDERS = Feed(
 )
 
 # Price per unit in whole cents, rounded half up without decimal division.
-UNIT_CENTS = (
-    "floor((2 * CAST(round(l_extendedprice * 100) AS bigint) + CAST(l_quantity AS bigint))"
-    " / (2 * CAST(l_quantity AS bigint)))"
-)
+UNIT_CENTS = "floor((2 * floor(l_extendedprice * 100 + 0.5) + l_quantity) / (2 * l_quantity))"
 UNIT_PRICE = f"CAST(CAST({UNIT_CENTS} AS decimal(18,0)) * CAST(0.01 AS decimal(3,2)) AS decimal(10,2))"
 ITEM_ID = "(l_orderkey * 10 + l_linenumber)"
 ITEMS = Feed(

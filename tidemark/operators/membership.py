@@ -1,4 +1,4 @@
-"""Does a row's key occur in a set of keys, when one key may hold most rows?"""
+"""Working with keys of which one may hold most rows."""
 
 from __future__ import annotations
 
@@ -8,15 +8,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The most frequent keys go through a broadcast of at most this many rows. Any
-# other key then holds less than 1/1000 of the rows, which a shuffle handles.
+# other key then holds about 1/1000 of the rows at most, which a shuffle handles.
 FREQUENT_KEYS = 1000
 
+# Keys a frequency sketch tracks; it misses none that holds 1/1000 of the rows.
+TRACKED_KEYS = 8192
+SKETCH_GROUPS = 200
+
 
 def most_frequent(counts: DataFrame, count_column: str) -> DataFrame:
     """The (at most ``FREQUENT_KEYS``) keys with the highest counts."""
     return counts.orderBy(F.desc(count_column)).limit(FREQUENT_KEYS)
 
 
+def repeated_candidates(rows: DataFrame, key: str) -> DataFrame:
+    """The most frequent keys that occur more than once, with their exact copies.
+
+    A frequency sketch per task names the candidates, which a second pass over the
+    key column counts. Neither pass shuffles keys. The sketch decides which keys
+    are looked at, never what is said about them.
+    """
+    sketches = rows.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
+        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("_sketch")
+    )
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED_KEYS})").alias("_sketch"))
+    found = merged.select(
+        F.explode(F.expr(f"approx_top_k_estimate(_sketch, {FREQUENT_KEYS})")).alias("_found")
+    )
+    candidates = found.select(F.col("_found.item").alias(key))
+    counted = rows.select(key).join(F.broadcast(candidates), key, "left_semi").groupBy(key)
+    return counted.agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+
+
 def flag_members(
     rows: DataFrame,
     members: DataFrame,
@@ -39,17 +62,17 @@ def flag_members(
 
     hot = frequent_members.select(*on, F.lit(True).alias("_hot"))
     rows = rows.join(F.broadcast(hot), on, "left")
-    rows = rows.withColumn(
-        "_slot",
-        F.when(F.col("_hot").isNotNull() | keyless, F.monotonically_increasing_id() + 1).otherwise(
-            F.lit(0).cast("bigint")
+    # The route is a join key of its own: the key's hash for rows that still have to
+    # meet a member, and a number of their own for all others.
+    routed = rows.withColumn(
+        "_route",
+        F.when(F.col("_hot").isNotNull() | keyless, F.monotonically_increasing_id()).otherwise(
+            F.xxhash64(*on)
         ),
     )
-    rest = members.select(
-        *on, F.lit(0).cast("bigint").alias("_slot"), F.lit(True).alias("_member")
-    )
+    rest = members.select(*on, F.xxhash64(*on).alias("_route"), F.lit(True).alias("_member"))
     return (
-        rows.join(rest, [*on, "_slot"], "left")
+        routed.join(rest, [*on, "_route"], "left")
         .withColumn(flag, F.coalesce("_hot", "_member", F.lit(False)))
-        .drop("_hot", "_slot", "_member")
+        .drop("_hot", "_route", "_member")
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
 from tidemark.functions.conditions import broken_rules
-from tidemark.operators.membership import flag_members, most_frequent
+from tidemark.operators.membership import most_frequent, repeated_candidates
 
 
 def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
@@ -25,19 +25,29 @@ def mark_unique(
 ) -> DataFrame:
     """Add ``is_unique``: false on every copy of a repeated key; NULL keys are unique.
 
-    Copies are counted before any row moves, so a key that holds a third of the
-    rows costs one counter per task. ``repeated`` takes an already computed
-    :func:`repeated_keys`; ``broadcast_repeated`` is for callers who measured it
-    and found it small, and saves the shuffle of the rows.
+    The (at most 1000) most repeated keys are answered by a broadcast, and their rows
+    spread like those without a key; the copies of all other keys are counted next to
+    each other. So a key that holds a third of the rows never meets in one task.
+
+    ``repeated`` takes an already computed :func:`repeated_keys`;
+    ``broadcast_repeated`` is for callers who measured it and found it small, and
+    leaves the rows where they are.
     """
-    if repeated is None:
-        repeated = repeated_keys(rows, key)
     if broadcast_repeated:
         marks = F.broadcast(repeated.select(key, F.lit(False).alias("is_unique")))
         flagged = rows.join(marks, key, "left")
         return flagged.withColumn("is_unique", F.coalesce("is_unique", F.lit(True)))
-    flagged = flag_members(rows, repeated, most_frequent(repeated, "copies"), [key], "_repeated")
-    return flagged.withColumn("is_unique", ~F.col("_repeated")).drop("_repeated")
+
+    hot = repeated_candidates(rows, key) if repeated is None else most_frequent(repeated, "copies")
+    rows = rows.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
+    hot, keyless = F.col("_hot").isNotNull(), F.col(key).isNull()
+    spread = F.when(hot | keyless, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    copies = F.count(F.lit(1)).over(Window.partitionBy(key, "_spread"))
+    return (
+        rows.withColumn("_spread", spread)
+        .withColumn("is_unique", keyless | (~hot & (copies == 1)))
+        .drop("_hot", "_spread")
+    )
 
 
 def validate(
