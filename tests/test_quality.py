@@ -21,59 +21,62 @@ GOOD = {
 }
 
 
-def errors_of(frame, entity, **changes):
-    row = dict(zip(entity.columns, GOOD[entity.name])) | changes
-    checked = validate(frame(schema_of(entity), tuple(row.values())), entity).first()
-    assert checked["is_valid"] == (checked["quality_errors"] == [])
-    return checked["quality_errors"]
+def errors_of(frame, entity, *cases):
+    """Errors of one good row per case, changed as the case says; keys differ."""
+    rows = []
+    for number, changes in enumerate(cases):
+        row = dict(zip(entity.columns, GOOD[entity.name])) | {entity.key: 100 + number}
+        rows.append((number, *(row | changes).values()))
+    checked = validate(frame(f"case_number int, {schema_of(entity)}", *rows), entity).collect()
+    assert all(row["is_valid"] == (row["quality_errors"] == []) for row in checked)
+    return [row["quality_errors"] for row in sorted(checked, key=lambda row: row["case_number"])]
 
 
 @pytest.mark.parametrize("name", list(ENTITIES))
-def test_a_good_row_breaks_no_rule(frame, name):
-    assert errors_of(frame, ENTITIES[name]) == []
+def test_good_rows_and_null_rules(frame, name):
+    entity = ENTITIES[name]
+    cases = [{}] + [{column: None} for column in entity.columns]
+    expected = [[]] + [[f"{column} is NULL"] for column in entity.columns]
+    assert errors_of(frame, entity, *cases) == expected
+
+
+VALUE_CASES = [
+    (PRODUCTS, {"product_id": 0}, ["product_id <= 0"]),
+    (PRODUCTS, {"product_id": -4}, ["product_id <= 0"]),
+    (PRODUCTS, {"name": ""}, ["name is empty"]),
+    (PRODUCTS, {"category": ""}, ["category is empty"]),
+    (PRODUCTS, {"price": Decimal("-0.01")}, ["price < 0"]),
+    (PRODUCTS, {"price": Decimal("0.00")}, []),
+    (PRODUCTS, {"stock_quantity": -1}, ["stock_quantity < 0"]),
+    (PRODUCTS, {"stock_quantity": 0}, []),
+    (CUSTOMERS, {"customer_id": 0}, ["customer_id <= 0"]),
+    (CUSTOMERS, {"first_name": ""}, ["first_name is empty"]),
+    (CUSTOMERS, {"last_name": ""}, ["last_name is empty"]),
+    (CUSTOMERS, {"country": ""}, ["country is empty"]),
+    (CUSTOMERS, {"email": ""}, ["email is empty", "email format is invalid"]),
+    (CUSTOMERS, {"email": "a b@c.d"}, ["email format is invalid"]),
+    (CUSTOMERS, {"email": "a@b"}, ["email format is invalid"]),
+    (CUSTOMERS, {"email": "a@b@c.d"}, ["email format is invalid"]),
+    (ORDERS, {"order_id": 0}, ["order_id <= 0"]),
+    (ORDERS, {"customer_id": -1}, ["customer_id <= 0"]),
+    (ORDERS, {"status": ""}, ["status is empty", "status is invalid"]),
+    (ORDERS, {"status": "Completed"}, ["status is invalid"]),
+    (ORDERS, {"status": "cancelled"}, []),
+    (ORDER_ITEMS, {"order_item_id": 0}, ["order_item_id <= 0"]),
+    (ORDER_ITEMS, {"order_id": 0}, ["order_id <= 0"]),
+    (ORDER_ITEMS, {"product_id": 0}, ["product_id <= 0"]),
+    (ORDER_ITEMS, {"quantity": 0}, ["quantity <= 0"]),
+    (ORDER_ITEMS, {"unit_price": Decimal("-1.00")}, ["unit_price < 0"]),
+    (ORDER_ITEMS, {"unit_price": Decimal("0.00")}, []),
+]
 
 
 @pytest.mark.parametrize("name", list(ENTITIES))
-def test_every_column_has_a_null_rule(frame, name):
-    entity = ENTITIES[name]
-    for column in entity.columns:
-        assert errors_of(frame, entity, **{column: None}) == [f"{column} is NULL"]
-
-
-@pytest.mark.parametrize(
-    ("entity", "changes", "errors"),
-    [
-        (PRODUCTS, {"product_id": 0}, ["product_id <= 0"]),
-        (PRODUCTS, {"product_id": -4}, ["product_id <= 0"]),
-        (PRODUCTS, {"name": ""}, ["name is empty"]),
-        (PRODUCTS, {"category": ""}, ["category is empty"]),
-        (PRODUCTS, {"price": Decimal("-0.01")}, ["price < 0"]),
-        (PRODUCTS, {"price": Decimal("0.00")}, []),
-        (PRODUCTS, {"stock_quantity": -1}, ["stock_quantity < 0"]),
-        (PRODUCTS, {"stock_quantity": 0}, []),
-        (CUSTOMERS, {"customer_id": 0}, ["customer_id <= 0"]),
-        (CUSTOMERS, {"first_name": ""}, ["first_name is empty"]),
-        (CUSTOMERS, {"last_name": ""}, ["last_name is empty"]),
-        (CUSTOMERS, {"country": ""}, ["country is empty"]),
-        (CUSTOMERS, {"email": ""}, ["email is empty", "email format is invalid"]),
-        (CUSTOMERS, {"email": "a b@c.d"}, ["email format is invalid"]),
-        (CUSTOMERS, {"email": "a@b"}, ["email format is invalid"]),
-        (CUSTOMERS, {"email": "a@b@c.d"}, ["email format is invalid"]),
-        (ORDERS, {"order_id": 0}, ["order_id <= 0"]),
-        (ORDERS, {"customer_id": -1}, ["customer_id <= 0"]),
-        (ORDERS, {"status": ""}, ["status is empty", "status is invalid"]),
-        (ORDERS, {"status": "Completed"}, ["status is invalid"]),
-        (ORDERS, {"status": "cancelled"}, []),
-        (ORDER_ITEMS, {"order_item_id": 0}, ["order_item_id <= 0"]),
-        (ORDER_ITEMS, {"order_id": 0}, ["order_id <= 0"]),
-        (ORDER_ITEMS, {"product_id": 0}, ["product_id <= 0"]),
-        (ORDER_ITEMS, {"quantity": 0}, ["quantity <= 0"]),
-        (ORDER_ITEMS, {"unit_price": Decimal("-1.00")}, ["unit_price < 0"]),
-        (ORDER_ITEMS, {"unit_price": Decimal("0.00")}, []),
-    ],
-)
-def test_value_rules(frame, entity, changes, errors):
-    assert errors_of(frame, entity, **changes) == errors
+def test_value_rules(frame, name):
+    cases = [(changes, errors) for entity, changes, errors in VALUE_CASES if entity.name == name]
+    assert len(cases) >= 5
+    got = errors_of(frame, ENTITIES[name], *[changes for changes, _ in cases])
+    assert got == [errors for _, errors in cases]
 
 
 def test_errors_come_in_rule_order(frame):
@@ -130,9 +133,18 @@ def test_uniqueness_of_text_keys(frame):
     ]
 
 
+def test_no_rows_and_only_null_keys(frame):
+    assert flags(frame("k int, v string")) == []
+    assert flags(frame("k int, v string", (None, "a"), (None, "b"))) == [
+        (None, "a", True),
+        (None, "b", True),
+    ]
+
+
 def test_more_repeated_keys_than_the_broadcast_holds(spark):
     rows = spark.range(7000).select((F.col("id") % 3500).alias("k"), F.col("id").alias("v"))
-    rows = rows.unionByName(spark.range(10_000, 10_500).select(F.col("id").alias("k"), "id").toDF("k", "v"))
+    single = spark.range(10_000, 10_500).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    rows = rows.unionByName(single)
     for options in ({}, {"repeated": repeated_keys(rows, "k")}):
         counted = mark_unique(rows, "k", **options).groupBy("is_unique").count().collect()
         assert {row["is_unique"]: row["count"] for row in counted} == {False: 7000, True: 500}

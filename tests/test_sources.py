@@ -1,0 +1,156 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import ORDERS
+from tidemark.sources.csv import ingest, read_raw
+from tidemark.sources.files import child_names, exists
+from tidemark.sources.fingerprint import content_hash, file_fingerprints
+from tidemark.sources.tables import KeyedTable, read_batch, read_batches
+from tidemark.sources.workspace import Workspace, shared_folder
+
+HEADER = "order_id,customer_id,order_date,status\n"
+
+
+@pytest.fixture
+def csv(tmp_path):
+    def write(text, name="orders.csv"):
+        path = tmp_path / name
+        path.write_text(text)
+        return str(path)
+
+    return write
+
+
+def raw(spark, path, **options):
+    return [tuple(row) for row in read_raw(spark, path, ORDERS, **options).collect()]
+
+
+def test_csv_edges(spark, csv):
+    path = csv(HEADER + '1,,"",  \n\n2,7\n3,7,2025-01-01,pending,extra\n4,"a,b","say ""x""",x\n')
+    got = raw(spark, path)
+    assert got[0] == ("1", None, None, "  ")
+    assert got[1] == ("2", "7", None, None)
+    assert got[2] == ("3", "7", "2025-01-01", "pending")
+    assert len(got) == 4
+
+
+def test_header_must_agree_unless_told_otherwise(spark, csv):
+    path = csv("customer_id,order_id,order_date,status\n7,1,2025-01-01,pending\n")
+    with pytest.raises(Exception, match="CSV header does not conform|CSV_HEADER|header"):
+        raw(spark, path)
+    assert raw(spark, path, check_header=False) == [("7", "1", "2025-01-01", "pending")]
+
+
+def test_ingest_adds_lineage_and_can_be_repeated(spark, csv, tmp_path):
+    path, bronze = csv(HEADER + "1,7,2025-01-01,pending\n"), str(tmp_path / "bronze")
+    for _ in range(2):
+        assert ingest(spark, path, ORDERS, bronze, "orders-1") == "orders-1"
+    ingest(spark, csv(HEADER + "2,7,2025-01-01,x\n", "more.csv"), ORDERS, bronze, "orders-2")
+    rows = read_batches(spark, bronze, ORDERS.bronze_schema)
+    assert rows.columns == [
+        *ORDERS.columns,
+        "ingestion_timestamp",
+        "source_file",
+        "batch_id",
+    ]
+    assert sorted((r["order_id"], r["batch_id"]) for r in rows.collect()) == [
+        ("1", "orders-1"),
+        ("2", "orders-2"),
+    ]
+    [row] = read_batch(spark, bronze, "orders-1", ORDERS.bronze_schema).collect()
+    assert row["source_file"].endswith("/orders.csv") and row["ingestion_timestamp"]
+    assert read_batch(spark, bronze, "none", ORDERS.bronze_schema).count() == 0
+    assert read_batches(spark, str(tmp_path / "none"), ORDERS.bronze_schema).count() == 0
+
+
+def test_a_small_file_is_known_by_its_bytes(spark, csv):
+    text = HEADER + "1,7,2025-01-01,pending\n"
+    path = csv(text)
+    digest = hashlib.sha256(text.encode()).hexdigest()
+    assert content_hash(spark, path) == digest
+    assert content_hash(spark, csv(text, "renamed.csv")) == digest
+    [row] = file_fingerprints(spark, path).collect()
+    assert (row["length"], row["file_hash"]) == (len(text), digest)
+
+
+def test_large_files_and_folders_are_known_by_their_lines(spark, csv, tmp_path):
+    a, b = csv("x\ny\nz\n", "a.csv"), csv("z\nx\ny\n", "b.csv")
+    c = csv("x\ny\ny\n", "c.csv")
+    hashes = {p: content_hash(spark, p, whole_file_bytes=0) for p in (a, b, c)}
+    assert hashes[a] == hashes[b] != hashes[c]
+    found = file_fingerprints(spark, [a, b, c], whole_file_bytes=0).collect()
+    assert {row["path"].rsplit("/", 1)[1]: row["file_hash"] for row in found} == {
+        p.rsplit("/", 1)[1]: h for p, h in hashes.items()
+    }
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    (folder / "1.csv").write_text("x\n")
+    (folder / "2.csv").write_text("y\nz\n")
+    assert content_hash(spark, str(folder)) == hashes[a]
+    assert content_hash(spark, csv("", "empty.csv"), whole_file_bytes=0)
+
+
+def rows_of(table):
+    return sorted(tuple(row) for row in table.read().collect())
+
+
+def test_keyed_table_rewrites_only_touched_slices(spark, tmp_path, frame):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", width=10)
+    assert not table.exists() and table.read() is None
+    table.commit(frame("k int, v string", (1, "a"), (2, "b"), (15, "c"), (25, "d")), "b1")
+    assert rows_of(table) == [(1, "a"), (2, "b"), (15, "c"), (25, "d")]
+
+    batch = frame("k int, v string", (15, "C"), (31, "e"))
+    assert sorted(table.touched_slices(batch)) == [1, 3]
+    assert [tuple(r) for r in table.read_slices([1, 3]).collect()] == [(15, "c")]
+    assert table.read_slices([7]) is None
+    assert table.commit(batch, "b2") == 2
+    assert rows_of(table) == [(1, "a"), (2, "b"), (15, "C"), (25, "d"), (31, "e")]
+    assert sorted(child_names(spark, f"{table.data}/version=2")) == ["_SUCCESS", "slice=1", "slice=3"]
+
+
+def test_an_uncommitted_version_is_invisible_and_overwritten(spark, tmp_path, frame):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", width=10)
+    table.commit(frame("k int, v string", (1, "a")), "b1")
+    torn = frame("k int, v string, slice bigint", (1, "torn", 0), (99, "torn", 9))
+    torn.write.partitionBy("slice").parquet(f"{table.data}/version=2")
+    assert rows_of(table) == [(1, "a")]
+    table.commit(frame("k int, v string", (1, "b")), "b2")
+    assert rows_of(table) == [(1, "b")]
+
+
+def test_a_load_without_rows_makes_an_empty_table(spark, tmp_path, frame):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k")
+    table.commit(frame("k int, v string"), "b1")
+    assert table.exists() and table.read() is None
+    table.commit(frame("k int, v string", (1, "a")), "b2")
+    assert rows_of(table) == [(1, "a")]
+
+
+def test_old_versions_can_be_dropped(spark, tmp_path, frame):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", width=10)
+    table.commit(frame("k int, v string", (1, "a"), (11, "b")), "b1")
+    for version in range(2, 5):
+        table.commit(frame("k int, v string", (1, f"v{version}")), f"b{version}")
+    dropped = table.drop_old_versions(keep=1)
+    assert sorted(path.split("/data/")[1] for path in dropped) == [
+        "version=1/slice=0",
+        "version=2/slice=0",
+        "version=3/slice=0",
+    ]
+    assert rows_of(table) == [(1, "v4"), (11, "b")]
+
+
+def test_workspace_uses_the_named_folder_and_cleans_up(spark, frame):
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    with Workspace(spark, "test") as work:
+        rows, measured = work.store(frame("k int, v string", (1, "a"), (2, None)), "rows")
+        assert measured == {"rows": 2}
+        assert sorted(tuple(row) for row in rows.collect()) == [(1, "a"), (2, None)]
+        _, measured = work.store(rows, "again", measures=[F.max("k").alias("top")])
+        assert measured == {"top": 2}
+        assert work.path.startswith(folder)
+    assert not exists(spark, work.path)

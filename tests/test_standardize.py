@@ -36,19 +36,16 @@ def test_order_items_are_typed(frame):
     ]
 
 
-@pytest.mark.parametrize("text", ["abc", "", "7.9", "99999999999", "1e3", None])
-def test_unreadable_integers_become_null(frame, text):
-    assert typed(frame, ORDERS, (text, "1", "2025-01-01", "pending"))[0][0] is None
-
-
-@pytest.mark.parametrize("text", ["free", "", "123456789.00", None])
-def test_unreadable_prices_become_null(frame, text):
-    assert typed(frame, ORDER_ITEMS, ("1", "1", "1", "1", text))[0][4] is None
-
-
-@pytest.mark.parametrize("text", ["05/01/2026", "soon", "", "2026-13-01", None])
-def test_unreadable_dates_become_null(frame, text):
-    assert typed(frame, ORDERS, ("1", "1", text, "pending"))[0][2] is None
+def test_unreadable_values_become_null(frame):
+    integers = ["abc", "", "7.9", "99999999999", "1e3", None]
+    rows = [(text, "1", "2025-01-01", "pending") for text in integers]
+    assert [row[0] for row in typed(frame, ORDERS, *rows)] == [None] * len(rows)
+    prices = ["free", "", "123456789.00", None]
+    rows = [("1", "1", "1", "1", text) for text in prices]
+    assert [row[4] for row in typed(frame, ORDER_ITEMS, *rows)] == [None] * len(rows)
+    dates = ["05/01/2026", "soon", "", "2026-13-01", None]
+    rows = [("1", "1", text, "pending") for text in dates]
+    assert [row[2] for row in typed(frame, ORDERS, *rows)] == [None] * len(rows)
 
 
 def test_accepted_spellings(frame):

@@ -112,7 +112,7 @@ LINEAGE = {
 }
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Entity:
     """One source entity.
 

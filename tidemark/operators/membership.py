@@ -31,7 +31,10 @@ def repeated_candidates(rows: DataFrame, key: str) -> DataFrame:
     sketches = rows.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
         F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("_sketch")
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED_KEYS})").alias("_sketch"))
+    # Grouped by a constant, because combining no sketch at all is an error.
+    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
+        F.expr(f"approx_top_k_combine(_sketch, {TRACKED_KEYS})").alias("_sketch")
+    )
     found = merged.select(
         F.explode(F.expr(f"approx_top_k_estimate(_sketch, {FREQUENT_KEYS})")).alias("_found")
     )
@@ -41,30 +44,29 @@ def repeated_candidates(rows: DataFrame, key: str) -> DataFrame:
 
 
 def flag_members(
-    rows: DataFrame,
-    members: DataFrame,
-    frequent_members: DataFrame,
-    on: Sequence[str],
-    flag: str,
+    rows: DataFrame, members: DataFrame, frequent: DataFrame, on: Sequence[str], flag: str
 ) -> DataFrame:
     """Add boolean ``flag``: whether the row's key is in ``members``.
 
-    ``members`` has one row per key. ``frequent_members`` are those members that
-    most rows carry, bounded by :func:`most_frequent`; their rows are answered by
-    the broadcast and then spread over all tasks, so no task of the second join
-    receives a whole hot key. Rows with a NULL key are never members and are
-    spread the same way.
+    ``members`` has one row per key. ``frequent`` are the keys most rows carry,
+    members or not, bounded by :func:`most_frequent`: a broadcast answers their rows,
+    which then spread over all tasks, so no task of the second join receives a whole
+    hot key. Rows with a NULL key are never members and are spread the same way.
     """
     on = list(on)
     keyless = F.lit(False)
     for name in on:
         keyless = keyless | F.col(name).isNull()
 
-    hot = frequent_members.select(*on, F.lit(True).alias("_hot"))
-    rows = rows.join(F.broadcast(hot), on, "left")
+    frequent = frequent.select(*on)
+    known = members.select(*on).join(F.broadcast(frequent), on, "left_semi")
+    known = known.withColumn("_known", F.lit(True))
+    hot = frequent.join(F.broadcast(known), on, "left").select(
+        *on, F.col("_known").isNotNull().alias("_hot")
+    )
     # The route is a join key of its own: the key's hash for rows that still have to
     # meet a member, and a number of their own for all others.
-    routed = rows.withColumn(
+    routed = rows.join(F.broadcast(hot), on, "left").withColumn(
         "_route",
         F.when(F.col("_hot").isNotNull() | keyless, F.monotonically_increasing_id()).otherwise(
             F.xxhash64(*on)

@@ -32,6 +32,5 @@ def not_yet_quarantined(
     rows = keyed(invalid)
     # A repeated or unreadable key can hold most rejected rows.
     copies = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"))
-    frequent = most_frequent(copies, "_copies").join(stored, on, "left_semi")
-    flagged = flag_members(rows, stored, frequent, on, "_stored")
+    flagged = flag_members(rows, stored, most_frequent(copies, "_copies"), on, "_stored")
     return flagged.where(~F.col("_stored")).select(*invalid.columns)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import size_and_count
+
 # A file up to this size is hashed whole by one task; larger ones by their lines.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 
-def _line_hash(*by: str):
+def _line_hash():
     """Aggregates over lines: their number and two independent 64-bit hash sums.
 
     Order-insensitive, so any number of tasks can share one file.
@@ -23,7 +25,7 @@ def _line_hash(*by: str):
 def file_fingerprints(
     spark: SparkSession, paths: str | list[str], whole_file_bytes: int = WHOLE_FILE_BYTES
 ) -> DataFrame:
-    """``path, length, file_hash`` of every file at ``paths``.
+    """``path, length, file_hash`` of every file at ``paths`` that is not empty.
 
     Up to ``whole_file_bytes`` the hash is the SHA-256 of the file's bytes; above,
     it is taken over the lines, so that no task reads a large file alone.
@@ -54,10 +56,8 @@ def content_hash(
     A source of several files (a directory, a list) is one set of lines, however
     they are split into files.
     """
-    from tidemark.sources.files import size_and_count
-
     if isinstance(source, str):
         size, count = size_and_count(spark, source)
-        if count == 1 and size <= whole_file_bytes:
+        if count == 1 and 0 < size <= whole_file_bytes:
             return file_fingerprints(spark, source, whole_file_bytes).first()["file_hash"]
     return spark.read.text(source).agg(_line_hash().alias("file_hash")).first()["file_hash"]

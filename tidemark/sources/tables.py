@@ -9,6 +9,8 @@ writes the same version again. One writer per table at a time.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from tidemark.sources import files
 # positive 32-bit keys.
 SLICE_WIDTH = 4_194_304
 
+COMMIT_SCHEMA = "version bigint, slice bigint, batch_id string, committed_at timestamp"
+
 
 def overwrite(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
@@ -69,17 +73,17 @@ class KeyedTable:
     def slice_of_key(self) -> Column:
         return F.floor(F.col(self.key) / F.lit(self.width)).cast("bigint")
 
-    def _current(self) -> dict[int, int]:
-        """Slice -> version. Metadata only: one entry per slice."""
+    def _state(self) -> tuple[int, dict[int, int]]:
+        """Last version, and the current version of every slice.
+
+        Metadata only: one entry per slice.
+        """
         if not self.exists():
-            return {}
-        newest = (
-            self.spark.read.parquet(self.commits)
-            .where(F.col("slice").isNotNull())
-            .groupBy("slice")
-            .agg(F.max("version").alias("version"))
-        )
-        return {row["slice"]: row["version"] for row in newest.collect()}
+            return 0, {}
+        log = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits)
+        newest = log.groupBy("slice").agg(F.max("version").alias("version")).collect()
+        current = {row["slice"]: row["version"] for row in newest if row["slice"] is not None}
+        return max((row["version"] for row in newest), default=0), current
 
     def _read(self, slices: dict[int, int]) -> DataFrame | None:
         if not slices:
@@ -90,7 +94,7 @@ class KeyedTable:
 
     def read(self) -> DataFrame | None:
         """All current rows; None if the table has none yet."""
-        return self._read(self._current())
+        return self._read(self._state()[1])
 
     def touched_slices(self, rows: DataFrame) -> list[int]:
         found = rows.select(self.slice_of_key().alias("slice")).distinct().collect()
@@ -98,12 +102,12 @@ class KeyedTable:
 
     def read_slices(self, slices: list[int]) -> DataFrame | None:
         """Current rows of the given slices; None if there are none yet."""
-        current = self._current()
+        current = self._state()[1]
         return self._read({s: current[s] for s in slices if s in current})
 
     def commit(self, rows: DataFrame, batch_id: str) -> int:
         """Write ``rows`` as the new content of the slices they fall in."""
-        version = self._last_version() + 1
+        version = self._state()[0] + 1
         folder = f"{self.data}/version={version}"
         sliced = rows.withColumn("slice", self.slice_of_key())
         # Even output files per slice, however the merge was partitioned.
@@ -114,20 +118,15 @@ class KeyedTable:
         written = [int(name.removeprefix("slice=")) for name in names]
         # A load without rows is recorded too: the table then exists, and is empty.
         entries = [(version, s, batch_id) for s in written] or [(version, None, batch_id)]
-        log = self.spark.createDataFrame(entries, "version bigint, slice bigint, batch_id string")
-        append(log.withColumn("committed_at", F.current_timestamp()).coalesce(1), self.commits)
+        now = datetime.now(timezone.utc)
+        log = self.spark.createDataFrame([(*entry, now) for entry in entries], COMMIT_SCHEMA)
+        append(log.coalesce(1), self.commits)
         return version
 
-    def _last_version(self) -> int:
-        if not self.exists():
-            return 0
-        last = self.spark.read.parquet(self.commits).agg(F.max("version").alias("v")).first()
-        return last["v"] or 0
-
     def drop_old_versions(self, keep: int = 2) -> list[str]:
         """Delete slices replaced more than ``keep`` versions ago; returns their folders."""
-        current = self._current()
-        oldest_kept = self._last_version() - keep
+        last, current = self._state()
+        oldest_kept = last - keep
         dropped = []
         for folder in files.child_names(self.spark, self.data):
             version = int(folder.removeprefix("version=")) if "=" in folder else None
