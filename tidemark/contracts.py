@@ -119,6 +119,9 @@ class Entity:
     ``columns`` maps source columns, in file order, to their silver types.
     A ``snapshot`` file lists every live row, so rows missing from it are
     soft-deleted; otherwise a file only carries new and changed rows.
+
+    The silver table is cut into key ranges of ``slice_width``: at most 512 of them
+    for 32-bit keys, of some 100 to 500 MB each.
     """
 
     name: str
@@ -127,6 +130,7 @@ class Entity:
     rules: dict[str, str]
     compare: tuple[str, ...]
     snapshot: bool
+    slice_width: int = 4_194_304  # keys per slice of the silver table
 
     @property
     def raw_schema(self) -> str:
@@ -137,10 +141,10 @@ class Entity:
         lineage = ", ".join(f"{name} {kind}" for name, kind in LINEAGE.items())
         return f"{self.raw_schema}, {lineage}"
 
-    def with_wide_keys(self) -> Entity:
+    def with_wide_keys(self, slice_width: int = 2**26) -> Entity:
         """The same entity with 64-bit integers, for keys beyond 2,147,483,647."""
         wide = {name: "bigint" if kind == "int" else kind for name, kind in self.columns.items()}
-        return replace(self, columns=wide)
+        return replace(self, columns=wide, slice_width=slice_width)
 
 
 PRODUCTS = Entity(

@@ -242,7 +242,7 @@ def run_entity_batch(
             batch_id,
             options.null_safe_quarantine,
         )
-        table = KeyedTable(spark, layout.silver(entity), entity.key)
+        table = silver_table(spark, layout, entity)
         unkeyed = options.guard_unkeyed and not invalid.where(F.col(entity.key).isNull()).isEmpty()
         if entity.snapshot and not unkeyed:
             load_snapshot(
@@ -268,9 +268,13 @@ def run_entity_batch(
     return BatchResult(batch_id, skipped=False, **counts)
 
 
+def silver_table(spark: SparkSession, layout: Layout, entity: Entity) -> KeyedTable:
+    return KeyedTable(spark, layout.silver(entity), entity.key, entity.slice_width)
+
+
 def read_silver(spark: SparkSession, layout: Layout, entity: Entity) -> DataFrame:
     """Current rows of an entity (none, with the right columns, before its first load)."""
-    rows = KeyedTable(spark, layout.silver(entity), entity.key).read()
+    rows = silver_table(spark, layout, entity).read()
     if rows is not None:
         return rows
     bronze = spark.createDataFrame([], entity.bronze_schema)

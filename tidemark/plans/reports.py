@@ -1,7 +1,10 @@
 """Sales reports over completed orders.
 
-Order lines are summed per order or per product before anything is joined to a
-dimension, so a hot day, customer, product or category never travels as rows.
+Every report counts distinct orders, so Spark sums its lines per group and order
+before they travel: a hot day, customer, product or category is spread over its
+orders. An order or product that is hot in a join is split by the adaptive skew join
+(see ``tidemark.session``). Dimensions are joined after the sums wherever the
+report allows it.
 """
 
 from __future__ import annotations
@@ -22,46 +25,41 @@ def completed(orders: DataFrame) -> DataFrame:
 
 def sales_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per item of a completed order, with its revenue."""
-    lines = items.select("order_id", "product_id", "quantity", line_revenue().alias("line_revenue"))
     buyers = completed(orders).select("order_id", "customer_id", "order_date")
-    return buyers.join(lines, "order_id", "inner")
-
-
-def _sums() -> list:
-    return [F.sum("quantity").alias("items"), F.sum("line_revenue").alias("revenue")]
-
-
-def _order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Completed orders with their summed items; summing first keeps a huge order small."""
-    lines = items.select("order_id", "quantity", line_revenue().alias("line_revenue"))
-    totals = lines.groupBy("order_id").agg(*_sums())
-    buyers = completed(orders).select("order_id", "customer_id", "order_date")
-    return buyers.join(totals, "order_id", "inner")
+    sold = items.select("order_id", "product_id", "quantity", "unit_price")
+    return buyers.join(sold, "order_id", "inner").select(
+        "order_id",
+        "customer_id",
+        "order_date",
+        "product_id",
+        "quantity",
+        line_revenue().alias("line_revenue"),
+    )
 
 
-def _order_totals_of(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("order_id", "customer_id", "order_date").agg(*_sums())
+def _totals(items_name: str, revenue_name: str) -> list:
+    return [
+        F.countDistinct("order_id").alias("order_count"),
+        F.sum("quantity").alias(items_name),
+        F.sum("line_revenue").alias(revenue_name),
+    ]
 
 
-def _daily(totals: DataFrame) -> DataFrame:
-    days = totals.groupBy("order_date").agg(
-        F.countDistinct("order_id").alias("order_count"),
-        F.sum("items").alias("items_sold"),
-        money(F.sum("revenue")).alias("revenue"),
+def _daily(lines: DataFrame) -> DataFrame:
+    days = lines.groupBy("order_date").agg(*_totals("items_sold", "revenue"))
+    revenue = money(F.col("revenue"))
+    return days.withColumn("revenue", revenue).withColumn(
+        "average_order_value", average(F.col("revenue"), F.col("order_count"))
     )
-    return days.withColumn("average_order_value", average(F.col("revenue"), F.col("order_count")))
 
 
 def _by_product(lines: DataFrame, products: DataFrame) -> DataFrame:
-    # The distinct count spreads a hot product over its orders.
-    sold = lines.groupBy("product_id").agg(
-        F.countDistinct("order_id").alias("orders"), *_sums()
-    )
+    sold = lines.groupBy("product_id").agg(*_totals("items_sold", "revenue"))
     named = sold.join(products.select("product_id", "name", "category"), "product_id", "inner")
     # One row per product already, unless the dimension repeats a product.
     report = named.groupBy("product_id", "name", "category").agg(
-        F.max("orders").alias("order_count"),
-        F.sum("items").alias("items_sold"),
+        F.max("order_count").alias("order_count"),
+        F.sum("items_sold").alias("items_sold"),
         F.sum("revenue").cast("decimal(31,2)").alias("revenue"),
     )
     per_item = F.round(F.try_divide("revenue", "items_sold"), 2)
@@ -70,25 +68,19 @@ def _by_product(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 def _by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
     labelled = lines.join(products.select("product_id", "category"), "product_id", "inner")
-    report = labelled.groupBy("category").agg(
-        F.countDistinct("order_id").alias("order_count"),
-        F.sum("quantity").alias("items_sold"),
-        money(F.sum("line_revenue")).alias("revenue"),
-    )
-    return report.withColumn(
+    report = labelled.groupBy("category").agg(*_totals("items_sold", "revenue"))
+    return report.withColumn("revenue", money(F.col("revenue"))).withColumn(
         "average_selling_price", average(F.col("revenue"), F.col("items_sold"))
     )
 
 
-def _by_customer(totals: DataFrame, customers: DataFrame) -> DataFrame:
-    spent = totals.groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("order_count"),
-        F.sum("items").alias("items_bought"),
-        money(F.sum("revenue")).alias("total_spent"),
+def _by_customer(lines: DataFrame, customers: DataFrame) -> DataFrame:
+    spent = lines.groupBy("customer_id").agg(
+        *_totals("items_bought", "total_spent"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
-    spent = spent.withColumn(
+    spent = spent.withColumn("total_spent", money(F.col("total_spent"))).withColumn(
         "average_order_value", average(F.col("total_spent"), F.col("order_count"))
     )
     names = customers.select("customer_id", "first_name", "last_name", "country")
@@ -97,7 +89,7 @@ def _by_customer(totals: DataFrame, customers: DataFrame) -> DataFrame:
 
 def daily_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders, items, revenue and average order value per day."""
-    return _daily(_order_totals(orders, items))
+    return _daily(sales_lines(orders, items))
 
 
 def product_performance(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
@@ -112,7 +104,7 @@ def category_performance(orders: DataFrame, items: DataFrame, products: DataFram
 
 def customer_metrics(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders, spending and first / last order per customer; unknown ones have no name."""
-    return _by_customer(_order_totals(orders, items), customers)
+    return _by_customer(sales_lines(orders, items), customers)
 
 
 def build_reports(
@@ -131,10 +123,10 @@ def build_reports(
     lines = sales_lines(orders, items).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         reports = {
-            "daily_sales": _daily(_order_totals_of(lines)),
+            "daily_sales": _daily(lines),
             "product_performance": _by_product(lines, products),
             "category_performance": _by_category(lines, products),
-            "customer_metrics": _by_customer(_order_totals_of(lines), customers),
+            "customer_metrics": _by_customer(lines, customers),
         }
         for name, report in reports.items():
             overwrite(report, paths[name])

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import files
 
-# Keys per slice: about 100 to 500 MB of Parquet, and at most 512 slices for
-# positive 32-bit keys.
-SLICE_WIDTH = 4_194_304
-
 COMMIT_SCHEMA = "version bigint, slice bigint, batch_id string, committed_at timestamp"
 
 
@@ -60,7 +56,7 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
 class KeyedTable:
     """Current-state table with one row per key."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, width: int = SLICE_WIDTH):
+    def __init__(self, spark: SparkSession, path: str, key: str, width: int):
         self.spark = spark
         self.key = key
         self.width = width
