@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from tidemark.llm.common import documents
+from tidemark.llm import piece_encoding, token_files
+from tidemark.llm.common import documents, workspace
 from tidemark.llm.exact_dedup import exact_duplicates
 
 
+def op1_token_files(spark, sf_dir):
+    path = f"{workspace(spark, 'token-files').path}/ids"
+    token_files.write(documents(spark, sf_dir), path)
+    return token_files.read(spark, path)
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op10_piece_encoding(spark, sf_dir):
+    return piece_encoding.encode_digests(documents(spark, sf_dir))
+
+
 def all_queries():
-    return {"op5_exact_dedup": op5_exact_dedup}
+    return {
+        "op1_token_files": op1_token_files,
+        "op5_exact_dedup": op5_exact_dedup,
+        "op10_piece_encoding": op10_piece_encoding,
+    }
