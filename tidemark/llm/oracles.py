@@ -13,6 +13,27 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 FROM bare JOIN best USING (body)
 """
 
+OP7 = """
+WITH bare AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), first AS (
+  SELECT body, min(page_id) AS first_id FROM bare GROUP BY body
+)
+SELECT page_id,
+       strlen(body) AS payload_bytes,
+       list_aggregate(
+         list_transform(
+           range(32),
+           lambda i: substr(
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31)::INTEGER,
+             1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM bare JOIN first USING (body)
+"""
+
 
 def all_sql():
-    return {"op5_exact_dedup": OP5}
+    return {"op5_exact_dedup": OP5, "op7_warc": OP7}

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import piece_encoding, token_files
-from tidemark.llm.common import documents, workspace
+from tidemark.llm import piece_encoding, pseudonyms, token_files, warc
+from tidemark.llm.common import documents, importable, workspace
 from tidemark.llm.exact_dedup import exact_duplicates
 
 
@@ -17,6 +17,17 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_pseudonyms(spark, sf_dir):
+    return pseudonyms.pseudonymise(documents(spark, sf_dir))
+
+
+def op7_warc(spark, sf_dir):
+    path = f"{workspace(spark, 'warc').path}/archive"
+    importable(spark)
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return warc.pages(warc.read(spark, path))
+
+
 def op10_piece_encoding(spark, sf_dir):
     return piece_encoding.encode_digests(documents(spark, sf_dir))
 
@@ -25,5 +36,7 @@ def all_queries():
     return {
         "op1_token_files": op1_token_files,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_pseudonyms": op6_pseudonyms,
+        "op7_warc": op7_warc,
         "op10_piece_encoding": op10_piece_encoding,
     }
