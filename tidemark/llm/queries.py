@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import piece_encoding, pseudonyms, token_files, warc
+from tidemark.llm import decontaminate, piece_encoding, pseudonyms, quality_votes, token_files, warc
 from tidemark.llm.common import documents, importable, workspace
 from tidemark.llm.exact_dedup import exact_duplicates
 
@@ -28,6 +28,16 @@ def op7_warc(spark, sf_dir):
     return warc.pages(warc.read(spark, path))
 
 
+def op8_quality_votes(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    votes = quality_votes.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_votes.score(docs, votes)
+
+
+def op9_decontaminate(spark, sf_dir):
+    return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_piece_encoding(spark, sf_dir):
     return piece_encoding.encode_digests(documents(spark, sf_dir))
 
@@ -38,5 +48,7 @@ def all_queries():
         "op5_exact_dedup": op5_exact_dedup,
         "op6_pseudonyms": op6_pseudonyms,
         "op7_warc": op7_warc,
+        "op8_quality_votes": op8_quality_votes,
+        "op9_decontaminate": op9_decontaminate,
         "op10_piece_encoding": op10_piece_encoding,
     }
