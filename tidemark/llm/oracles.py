@@ -1,5 +1,38 @@
 """SQL for DuckDB over the same tables."""
 
+OP2 = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE
+    WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+  END AS shingles
+  FROM split
+), items AS (
+  SELECT doc_id, unnest(shingles) AS item FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common
+  JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 85 * (len(x.shingles) + len(y.shingles) - n)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS node, doc_id AS least FROM documents
+  UNION
+  SELECT ways.b, reach.least FROM reach JOIN ways ON ways.a = reach.node WHERE reach.least < ways.b
+)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, min(least) AS component_id, doc_id = min(least) AS kept
+FROM sets JOIN reach ON node = doc_id GROUP BY doc_id, shingles
+"""
+
 OP5 = r"""
 WITH bare AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -36,4 +69,4 @@ FROM bare JOIN first USING (body)
 
 
 def all_sql():
-    return {"op5_exact_dedup": OP5, "op7_warc": OP7}
+    return {"op2_near_dedup": OP2, "op5_exact_dedup": OP5, "op7_warc": OP7}

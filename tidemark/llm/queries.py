@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm import decontaminate, piece_encoding, pseudonyms, quality_votes, token_files, warc
 from tidemark.llm.common import documents, importable, workspace
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.near_dedup import near_duplicates
 
 
 def op1_token_files(spark, sf_dir):
@@ -17,6 +18,10 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op2_near_dedup(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), percent=85)
+
+
 def op6_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonymise(documents(spark, sf_dir))
 
@@ -45,6 +50,7 @@ def op10_piece_encoding(spark, sf_dir):
 def all_queries():
     return {
         "op1_token_files": op1_token_files,
+        "op2_near_dedup": op2_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_pseudonyms": op6_pseudonyms,
         "op7_warc": op7_warc,
