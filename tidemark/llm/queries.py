@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, piece_encoding, pseudonyms, quality_votes, token_files, warc
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, language, piece_encoding, pseudonyms, quality_votes, token_files, warc
 from tidemark.llm.common import documents, importable, workspace
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.suffix_dedup import without_repeats
 
 
 def op1_token_files(spark, sf_dir):
@@ -22,6 +25,16 @@ def op2_near_dedup(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir), percent=85)
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    cut = without_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+def op4_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return language.predict(docs, language.fit(docs))
+
+
 def op6_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonymise(documents(spark, sf_dir))
 
@@ -51,6 +64,8 @@ def all_queries():
     return {
         "op1_token_files": op1_token_files,
         "op2_near_dedup": op2_near_dedup,
+        "op3_suffix_dedup": op3_suffix_dedup,
+        "op4_language": op4_language,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_pseudonyms": op6_pseudonyms,
         "op7_warc": op7_warc,
