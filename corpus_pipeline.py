@@ -1,23 +1,57 @@
-"""From raw documents to token ids: the stages of the corpus pipeline, in order."""
+"""From raw documents to token ids: the stages of the corpus pipeline, in order.
+
+Each stage takes what its predecessor kept and returns the columns of documents,
+the last one token ids. Nulls, empty texts and repeated rows are handled as each
+operator's docstring says; extra columns are carried along.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import decontaminate, exact_dedup, near_dedup, piece_encoding, quality_votes
 from tidemark.llm.common import documents, importable, workspace
 
 
-def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose nearest labelled neighbours vote for quality stay."""
+    importable(spark)
+    votes = quality_votes.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_votes.good(docs, votes)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of texts that are equal but for white space stays."""
+    importable(spark)
+    return exact_dedup.without_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a similarity of 0.8 or more over five words stays."""
+    importable(spark)
+    return near_dedup.without_near_copies(docs, percent=80)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, also with other numbers and names, stay."""
+    importable(spark)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, and whether decoding them gives the text back."""
     importable(spark)
-    kept = exact_dedup.exact_duplicates(docs).where("kept")
-    return docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    return piece_encoding.encode_and_check(docs)
 
 
-STAGES = [("exact_dedup", drop_exact_copies)]
-#: Nearest neighbours of latent vectors have no SQL form; the stages are tested one by one.
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("decontamination", benchmark_leaks),
+    ("piece_encoding", piece_ids),
+]
+#: Latent vectors and pieces have no SQL form; the stages are tested one by one.
 ORACLE_SQL = None
 
 

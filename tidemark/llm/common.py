@@ -50,6 +50,14 @@ def slices(texts: list, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a document is kept out of training: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

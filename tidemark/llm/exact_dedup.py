@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_texts, workspace
+from tidemark.llm.common import byte_texts, fresh, workspace
 
 WHITE = b" \t\n\v\f\r"
 PACKET_ROWS = 1 << 16
@@ -72,36 +72,37 @@ def golomb_decode(blob: bytes) -> np.ndarray:
 
 
 FINGERPRINTS = (
-    "kind string, packet long, owner int, pos int, seq int, doc_id long, points int, sha binary, "
+    "kind string, packet long, owner int, pos int, seq int, doc_id long, row_key long, points int, sha binary, "
     "n int, hashes binary, twice binary"
 )
 
 
 def _fingerprints(owners: int, packet_rows: int):
     def packet_rows_of(packet: int, rows: list) -> list[pa.RecordBatch]:
-        ids, points, shas = zip(*rows, strict=True)
+        ids, keys, points, shas = zip(*rows, strict=True)
         prints = np.frombuffer(b"".join(s[:8] for s in shas), ">u8").astype(np.uint64)
         distinct, place, times = np.unique(prints, return_inverse=True, return_counts=True)
         owner = _owner(distinct, owners)
         cuts = np.searchsorted(owner, np.arange(owners + 1))
         none = [None] * len(rows)
         out = [
-            _batch("row", packet, owner[place], place - cuts[owner[place]], range(len(rows)), ids, points, shas, none, none, none)
+            _batch("row", packet, owner[place], place - cuts[owner[place]], range(len(rows)), ids, keys, points, shas, none, none, none)
         ]
         used = np.unique(owner)
         none = [None] * len(used)
         hashes = [golomb_encode(distinct[cuts[o] : cuts[o + 1]]) for o in used]
         twice = [np.packbits(times[cuts[o] : cuts[o + 1]] > 1).tobytes() for o in used]
         n = [int(cuts[o + 1] - cuts[o]) for o in used]
-        return [*out, _batch("sent", packet, used, none, none, none, none, none, n, hashes, twice)]
+        return [*out, _batch("sent", packet, used, none, none, none, none, none, none, n, hashes, twice)]
 
     def run(batches):
         base, rows, packet = TaskContext.get().partitionId() << 24, [], 0
         for batch in batches:
             texts = byte_texts(batch["text"])
             long = pc.fill_null(pc.utf8_length(batch["text"]), 0).to_pylist()
-            for doc_id, text, points in zip(batch["doc_id"].to_pylist(), texts, long, strict=True):
-                rows.append((doc_id, points, hashlib.sha256(text.translate(None, WHITE)).digest()))
+            columns = batch["doc_id"].to_pylist(), batch["row_key"].to_pylist(), texts, long
+            for doc_id, key, text, points in zip(*columns, strict=True):
+                rows.append((doc_id, key, points, hashlib.sha256(text.translate(None, WHITE)).digest()))
                 if len(rows) == packet_rows:
                     yield from packet_rows_of(base + packet, rows)
                     rows, packet = [], packet + 1
@@ -116,7 +117,7 @@ def _owner(prints: np.ndarray, owners: int) -> np.ndarray:
     return ((prints >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int32)
 
 
-def _batch(kind, packet, owner, pos, seq, ids, points, shas, n, hashes, twice) -> pa.RecordBatch:
+def _batch(kind, packet, owner, pos, seq, ids, keys, points, shas, n, hashes, twice) -> pa.RecordBatch:
     size = len(owner)
     columns = {
         "kind": pa.array([kind] * size),
@@ -125,6 +126,7 @@ def _batch(kind, packet, owner, pos, seq, ids, points, shas, n, hashes, twice) -
         "pos": pa.array(pos, pa.int32()),
         "seq": pa.array(seq, pa.int32()),
         "doc_id": pa.array(ids, pa.int64()),
+        "row_key": pa.array(keys, pa.int64()),
         "points": pa.array(points, pa.int32()),
         "sha": pa.array(shas, pa.binary()),
         "n": pa.array(n, pa.int32()),
@@ -159,30 +161,43 @@ def _normalised(batches):
         )
 
 
+def row_key(docs: DataFrame):
+    """A hash of doc_id and text; rows that share it are the same document."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of rows that are the same, one."""
+    name = fresh(docs, "row_key")
+    kept = exact_duplicates(docs).where("kept").select(F.col("row_key").alias(name)).distinct()
+    rows = docs.withColumn(name, row_key(docs)).join(kept, name, "left_semi")
+    return rows.dropDuplicates([name]).select(docs.columns)
+
+
 def exact_duplicates(docs: DataFrame, packet_rows: int = PACKET_ROWS, owner_rows: int = OWNER_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, row_key.
 
-    The row with the most code points stays, then the one with the smallest doc_id.
+    ``row_key`` is ``row_key(docs)``, by which the row can be found again. The row with the most code points stays, then the one with the smallest doc_id.
     """
     spark = docs.sparkSession
     work = workspace(spark, "exact-dedup")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("row_key"), "text")
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // owner_rows))
     table, _ = work.store(
         texts.mapInArrow(_fingerprints(owners, packet_rows), FINGERPRINTS), "prints", partition_by=("kind",)
     )
-    rows = table.where("kind = 'row'").select("packet", "owner", "pos", "seq", "doc_id", "points", "sha")
+    rows = table.where("kind = 'row'").select("packet", "owner", "pos", "seq", "doc_id", "row_key", "points", "sha")
     sent = table.where("kind = 'sent'").select("packet", "owner", "n", "hashes", "twice")
     bits = sent.groupBy("owner").applyInPandas(_answers, "packet long, owner int, bits binary")
     flag = "shiftright(cast(conv(hex(substring(bits, cast(pos div 8 as int) + 1, 1)), 16, 10) as int), 7 - pos % 8) & 1 = 1"
     flagged, _ = work.store(
-        rows.join(bits, ["packet", "owner"]).select("packet", "seq", "doc_id", "points", "sha", F.expr(flag).alias("suspect")),
+        rows.join(bits, ["packet", "owner"]).select("packet", "seq", "doc_id", "row_key", "points", "sha", F.expr(flag).alias("suspect")),
         "flagged",
     )
     suspects = flagged.where("suspect")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
     wanted = suspects.select("sha").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    bodies = texts.mapInArrow(_normalised, "doc_id long, sha binary, body binary").withColumn("salt", salt)
+    bodies = texts.select("doc_id", "text").mapInArrow(_normalised, "doc_id long, sha binary, body binary").withColumn("salt", salt)
     # Bytes decide: equal hashes of different texts would make two groups of one hash, which ends the job.
     verified = (
         bodies.join(wanted, ["sha", "salt"], "left_semi")
@@ -201,9 +216,9 @@ def exact_duplicates(docs: DataFrame, packet_rows: int = PACKET_ROWS, owner_rows
     stays = (F.col("best.packet") == F.col("packet")) & (F.col("best.seq") == F.col("seq"))
     digest = F.lower(F.hex("sha")).alias("text_sha256")
     repeated = suspects.join(groups, "sha").select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", stays.alias("kept"), digest
+        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", stays.alias("kept"), digest, "row_key"
     )
     alone = flagged.where("not suspect").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), digest
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), digest, "row_key"
     )
     return alone.union(repeated)

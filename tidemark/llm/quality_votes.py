@@ -140,3 +140,25 @@ def score(docs: DataFrame, votes: Votes | None, threshold: float = THRESHOLD) ->
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "score", "predicted"])
 
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def good(docs: DataFrame, votes: Votes | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with a score of ``threshold`` or more, with all their columns.
+
+    Without labelled rows nothing is known against any document, and all stay.
+    """
+    if votes is None:
+        return docs
+    model = docs.sparkSession.sparkContext.broadcast(votes)
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = byte_texts(batch.column(place))
+            keep = np.zeros(len(texts), bool)
+            for a, b in slices(texts):
+                for c in range(a, b, BLOCK):
+                    keep[c : min(b, c + BLOCK)] = model.value.scores(texts[c : min(b, c + BLOCK)]) >= threshold
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
