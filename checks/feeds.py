@@ -208,7 +208,7 @@ RAW_ORDERS = Feed(
 RAW_ITEMS = Feed(
     "lineitem",
     {
-        "order_item_id": faulty(ITEM_ID, {(101, 7): "NULL", (103, 5): "'x'"}, text(ITEM_ID)),
+        "order_item_id": faulty(ITEM_ID, {(101, 7): "NULL", (103, 5): "'x'", (107, 3): f"'-' || {text(ITEM_ID)}"}, text(ITEM_ID)),
         "order_id": faulty(ITEM_ID, {(59, 7): "NULL", (67, 9): "'0'"}, text("l_orderkey")),
         "product_id": faulty(ITEM_ID, {(61, 7): "NULL", (71, 9): "'-1'"}, text("l_partkey")),
         "quantity": faulty(

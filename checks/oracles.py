@@ -387,11 +387,27 @@ def all_queries() -> dict[str, str]:
         f"FROM ({feed['orders'].sql()})"
         for label, feed in (("orders-first", feeds.RAW_FIRST), ("orders-second", feeds.RAW_SECOND))
     )
-    sql["content_identity"] = f"""
-        SELECT variant, same_content, lines
-        FROM (VALUES ('original', TRUE), ('renamed copy', TRUE), ('split differently', TRUE),
-                     ('one country renamed', FALSE)) v(variant, same_content),
-             (SELECT count(*) AS lines FROM ({feeds.CUSTOMERS.sql()}))"""
+    rows = f"SELECT customer_id, first_name, last_name, email, country, registration_date FROM ({feeds.RAW['customers'].sql()})"
+    renamed = rows.replace("country", "CASE WHEN trim(country) = 'BUILDING' THEN 'OTHER' ELSE country END AS country", 1)
+    variants = {
+        "one part": rows,
+        "two parts": rows,
+        "three parts": rows,
+        "one country renamed": renamed,
+        "every row twice": f"{rows} UNION ALL {rows}",
+    }
+    sql["content_identity"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS variant, count(*) AS lines,
+              NOT EXISTS (({rows}) EXCEPT ALL ({variant}))
+              AND NOT EXISTS (({variant}) EXCEPT ALL ({rows})) AS same_content
+            FROM ({variant})"""
+        for name, variant in variants.items()
+    )
+    sql["file_bytes"] = """
+        SELECT c_nationkey AS nation, strlen(body)::BIGINT AS length, sha256(body) AS sha256
+        FROM (SELECT c_nationkey, string_agg(
+                c_custkey || ',' || c_name || ',' || c_mktsegment || chr(10), '' ORDER BY c_custkey) AS body
+              FROM customer GROUP BY c_nationkey)"""
 
     silver = {entity: delivered_twice(entity) for entity in KEYS}
     for entity, state in silver.items():
@@ -435,6 +451,6 @@ def all_queries() -> dict[str, str]:
     sql["logged_error_counts"] = " UNION ALL ".join(logged_errors)
     sql["logged_file_states"] = " UNION ALL ".join(states)
     sql["arriving_orders"] = split(
-        validated_raw("orders", feeds.RAW_ORDERS.but(copies="1")), True, COLUMNS["orders"]
+        validated_raw("orders", feeds.RAW_ORDERS), True, COLUMNS["orders"]
     )
     return sql

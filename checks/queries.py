@@ -13,9 +13,9 @@ from checks import feeds
 from tidemark.operators.control import latest_states, plan_files
 from tidemark.operators.merge import missing_keys
 from tidemark.operators.quality import invalid_rows, repeated_keys, valid_rows
-from tidemark.plans.jobs import read_silver
+from tidemark.plans.jobs import read_report, read_silver
 from tidemark.sources.csv import ingest, read_raw
-from tidemark.sources.fingerprint import content_hash
+from tidemark.sources.fingerprint import content_hash, file_sha256
 from tidemark.sources.tables import read_batches
 from tidemark.sources.workspace import Workspace
 
@@ -101,6 +101,12 @@ def _upsert(entity: tm.Entity, **options):
     )
 
 
+def _snapshot_with_rejected(target: DataFrame, source: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The snapshot lists rows beyond its valid ones, so their entities stay as they are."""
+    listed = source.select("product_id").union(rejected.select("product_id"))
+    return _snapshot(tm.PRODUCTS)(target, source, listed)
+
+
 def _snapshot_twice(target: DataFrame, source: DataFrame, ids: DataFrame) -> DataFrame:
     merge = _snapshot(tm.PRODUCTS)
     return merge(merge(target, source, ids), source, ids)
@@ -174,29 +180,40 @@ def _bronze_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _content_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which variants of the customer file count as the content of the first."""
+    """Which CSV variants of the customer file, with headers, count as the content of the first."""
     work = Workspace(spark, "identity", keep=True)
-    [rows] = _frames(spark, sf_dir, feeds.CUSTOMERS)
-    renamed = rows.withColumn(
-        "country", F.when(F.col("country") == "BUILDING", "OTHER").otherwise(F.col("country"))
-    )
+    [rows] = _frames(spark, sf_dir, feeds.RAW["customers"])
+    other = F.when(F.trim("country") == "BUILDING", "OTHER").otherwise(F.col("country"))
     variants = {
-        "original": rows,
-        "renamed copy": rows,
-        "split differently": rows.repartition(3, "country"),
-        "one country renamed": renamed,
+        "one part": rows.coalesce(1),
+        "two parts": rows.repartition(2),
+        "three parts": rows.repartition(3, "country"),
+        "one country renamed": rows.withColumn("country", other).coalesce(1),
+        "every row twice": rows.union(rows).repartition(2),
     }
     hashes, written = {}, []
     for name, variant in variants.items():
         path = f"{work.path}/{name.replace(' ', '_')}"
-        variant.selectExpr("concat_ws(',', *) AS value").write.text(path)
-        hashes[name] = content_hash(spark, path, whole_file_bytes=0)
-        lines = spark.read.text(path).agg(F.count(F.lit(1)).alias("lines"))
-        same = F.lit(hashes[name] == hashes["original"]).alias("same_content")
+        _write_csv(variant, path)
+        hashes[name] = content_hash(spark, path, tm.CUSTOMERS)
+        lines = read_raw(spark, path, tm.CUSTOMERS).agg(F.count(F.lit(1)).alias("lines"))
+        same = F.lit(hashes[name] == hashes["one part"]).alias("same_content")
         written.append(lines.select(F.lit(name).alias("variant"), same, "lines"))
     return _union(written)
 
 
+def _file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SHA-256 of one text file for each nation's customers."""
+    work = Workspace(spark, "bytes", keep=True)
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").repartition("c_nationkey")
+    lines = rows.sortWithinPartitions("c_nationkey", "c_custkey").selectExpr(
+        "concat_ws(',', c_custkey, c_name, c_mktsegment) AS value", "c_nationkey AS nation"
+    )
+    lines.write.partitionBy("nation").text(work.path + "/lines")
+    nation = F.regexp_extract("path", r"nation=(\d+)/", 1).cast("int").alias("nation")
+    return file_sha256(spark, f"{work.path}/lines/*").select(nation, "length", "sha256")
+
+
 # --- whole jobs -------------------------------------------------------------
 
 _lakes: dict[tuple[str, str], tuple[tm.Layout, dict[str, str]]] = {}
@@ -251,7 +268,7 @@ def _quarantined(entity: tm.Entity) -> Query:
 
 
 def _report(name: str) -> Query:
-    return lambda spark, sf_dir: spark.read.parquet(_lake(spark, sf_dir)[0].report(name))
+    return lambda spark, sf_dir: read_report(spark, _lake(spark, sf_dir)[0], name)
 
 
 def _logged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,9 +294,9 @@ def _logged_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arriving_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three files in a folder, taken up by the stream as three batches."""
+    """Files in a folder, taken up by the stream in one trigger, each as a batch."""
     work = Workspace(spark, "arrivals", keep=True)
-    [raw] = _frames(spark, sf_dir, feeds.RAW_ORDERS.but(copies="1"))
+    [raw] = _frames(spark, sf_dir, feeds.RAW_ORDERS)
     _write_csv(raw.repartition(3, "status"), f"{work.path}/inbox")
     layout = tm.Layout(f"{work.path}/lake")
     stream = tm.process_arrivals(
@@ -345,7 +362,7 @@ def all_queries() -> dict[str, Query]:
             f.PRODUCTS_LISTED,
         ),
         "merge_snapshot_keeps_rejected": _over(
-            _snapshot(tm.PRODUCTS), f.PRODUCTS_BEFORE, f.PRODUCTS_NEXT, f.PRODUCTS_BEFORE
+            _snapshot_with_rejected, f.PRODUCTS_BEFORE, f.PRODUCTS_NEXT, f.PRODUCTS_BEFORE
         ),
         "merge_snapshot_of_nothing": _over(
             lambda target, source: _snapshot(tm.PRODUCTS)(target, source, source),
@@ -386,6 +403,7 @@ def all_queries() -> dict[str, Query]:
         "files_to_process": _over(plan_files, f.ARRIVED_FILES, f.FILE_EVENTS),
         "bronze_history": _bronze_history,
         "content_identity": _content_identity,
+        "file_bytes": _file_bytes,
         "logged_batch_counts": _logged_counts,
         "logged_error_counts": _logged_errors,
         "logged_file_states": _logged_states,

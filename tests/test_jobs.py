@@ -1,8 +1,8 @@
 import pytest
 
-from tidemark import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS, PRODUCTS, Layout, refresh
+from tidemark import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS, PRODUCTS, Layout, read_report, refresh
 from tidemark import run_entity_batch
-from tidemark.plans import jobs
+from tidemark.plans import jobs, reports
 from tidemark.plans.jobs import Options, SuspiciousSnapshot, read_silver
 from tidemark.sources.control_log import read_events, record_state
 from tidemark.sources.tables import read_batches
@@ -52,11 +52,11 @@ def test_refresh_end_to_end(spark, deliver, layout):
         "orders": (3, 3, 0),
         "order_items": (5, 2, 3),
     }
-    daily = spark.read.parquet(layout.report("daily_sales")).collect()
+    daily = read_report(spark, layout, "daily_sales").collect()
     assert [(str(r["order_date"]), r["order_count"], str(r["revenue"])) for r in daily] == [
         ("2025-02-01", 1, "119.90")
     ]
-    customers = spark.read.parquet(layout.report("customer_metrics")).collect()
+    customers = read_report(spark, layout, "customer_metrics").collect()
     assert [(r["customer_id"], r["first_name"]) for r in customers] == [(1, "Ines")]
     columns = read_silver(spark, layout, PRODUCTS).columns
     assert columns == [
@@ -80,7 +80,7 @@ def test_refresh_end_to_end(spark, deliver, layout):
     assert all(result.skipped for result in refresh(spark, sources, layout).values())
     assert states(spark, layout) == ["BRONZE_WRITTEN"] * 4 + ["SUCCESS"] * 4
     # Work tables are gone.
-    assert spark.read.parquet(layout.report("daily_sales")).count() == 1
+    assert read_report(spark, layout, "daily_sales").count() == 1
 
 
 def test_snapshot_batches(spark, deliver, layout):
@@ -163,6 +163,43 @@ def test_a_crash_at_any_stage_is_made_good_by_a_retry(spark, deliver, layout, mo
     assert states(spark, layout) == ["BRONZE_WRITTEN", "SUCCESS"]
 
 
+def test_a_retry_after_half_a_quarantine_write_ends_with_every_copy(spark, deliver, layout, monkeypatch):
+    source = deliver(ORDER_ITEMS)
+    whole = jobs.replace_batch
+
+    def half(rows, path):
+        if path == layout.quarantine(ORDER_ITEMS):
+            whole(rows.limit(1), path)
+            raise RuntimeError("lost")
+        whole(rows, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "replace_batch", half)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_entity_batch(spark, ORDER_ITEMS, source, layout)
+    run_entity_batch(spark, ORDER_ITEMS, source, layout)
+    assert quarantined(spark, layout, ORDER_ITEMS) == 3
+
+
+def test_a_failed_rebuild_leaves_all_old_reports(spark, deliver, layout, monkeypatch):
+    sources = {entity.name: deliver(entity) for entity in FILES}
+    refresh(spark, sources, layout)
+    before = {name: sorted(map(str, read_report(spark, layout, name).collect())) for name in jobs.REPORTS}
+    whole, written = reports.overwrite, []
+
+    def third_fails(rows, path):
+        written.append(path)
+        whole(rows if len(written) < 3 else rows.selectExpr("raise_error('lost')"), path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(reports, "overwrite", third_fails)
+        with pytest.raises(Exception, match="lost"):
+            jobs.refresh_reports(spark, layout)
+    for name in jobs.REPORTS:
+        assert sorted(map(str, read_report(spark, layout, name).collect())) == before[name]
+    jobs.refresh_reports(spark, layout)
+
+
 def test_plain_equality_quarantine_adds_keyless_rows_again(spark, deliver, layout, monkeypatch):
     source = deliver(ORDER_ITEMS, "y,2,1,1,1.00\n")
     options = Options(null_safe_quarantine=False)
@@ -196,7 +233,7 @@ def test_unknown_state_is_an_error(spark, deliver, layout):
         layout.control,
         entity="orders",
         source_file=source,
-        file_hash=jobs.content_hash(spark, source),
+        file_hash=jobs.content_hash(spark, source, ORDERS),
         batch_id="b",
         status="LOST",
     )
@@ -216,5 +253,5 @@ def test_large_batches_take_the_shuffled_paths(spark, deliver, layout, monkeypat
 def test_reports_of_an_empty_lake(spark, layout):
     jobs.refresh_reports(spark, layout)
     for name in jobs.REPORTS:
-        assert spark.read.parquet(layout.report(name)).count() == 0
+        assert read_report(spark, layout, name).count() == 0
     assert set(ENTITIES) == {"products", "customers", "orders", "order_items"}

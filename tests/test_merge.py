@@ -1,9 +1,10 @@
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tidemark import merge_incremental, merge_snapshot, soft_delete_missing
+from tidemark import ORDERS, PRODUCTS, merge_incremental, merge_snapshot, soft_delete_missing
 from tidemark.operators.merge import missing_keys
 
 PRODUCT = "product_id int, name string, price decimal(10,2), is_active boolean, batch_id string"
@@ -141,3 +142,22 @@ def test_incremental_against_brute_force(frame, before, delivered, broadcast):
             expected[k] = (n, True, "b2")
     merged = merge_incremental(target, source, "product_id", COMPARE, broadcast)
     assert keyed(merged) == expected
+
+
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_a_source_that_repeats_a_key_is_refused(frame, broadcast):
+    schema = "order_id int, customer_id int, order_date date, status string"
+    old, new = frame(schema, (1, 1, None, "a")), frame(schema, (1, 1, None, "b"), (1, 1, None, "c"))
+    with pytest.raises(Exception, match="the source repeats order_id 1"):
+        merge_incremental(old, new, "order_id", ORDERS.compare, broadcast_source=broadcast).collect()
+
+
+def test_snapshots_refuse_repeated_and_unlisted_keys(frame):
+    schema = "product_id int, name string, category string, price decimal(10,2), stock_quantity int, is_active boolean"
+    row = (1, "a", "b", None, 1, True)
+    old, one, two = frame(schema, row), frame(schema, row), frame(schema, row, row)
+    with pytest.raises(Exception, match="the source repeats product_id 1"):
+        merge_snapshot(old, two, one, "product_id", PRODUCTS.compare).collect()
+    other = frame(schema, (2, "a", "b", None, 1, True))
+    with pytest.raises(Exception, match="the snapshot does not list product_id 2"):
+        merge_snapshot(old, other, one, "product_id", PRODUCTS.compare).collect()

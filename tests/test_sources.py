@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from tidemark import ORDERS
 from tidemark.sources.csv import ingest, read_raw
 from tidemark.sources.files import child_names, exists
-from tidemark.sources.fingerprint import content_hash, file_fingerprints
-from tidemark.sources.tables import KeyedTable, read_batch, read_batches
+from tidemark.sources.fingerprint import content_hash, file_sha256
+from tidemark.sources.tables import KeyedTable, ReportSet, read_batch, read_batches
 from tidemark.sources.workspace import Workspace, shared_folder
 
 HEADER = "order_id,customer_id,order_date,status\n"
@@ -65,31 +65,50 @@ def test_ingest_adds_lineage_and_can_be_repeated(spark, csv, tmp_path):
     assert read_batches(spark, str(tmp_path / "none"), ORDERS.bronze_schema).count() == 0
 
 
-def test_a_small_file_is_known_by_its_bytes(spark, csv):
+def test_bytes_of_files(spark, csv):
     text = HEADER + "1,7,2025-01-01,pending\n"
-    path = csv(text)
-    digest = hashlib.sha256(text.encode()).hexdigest()
-    assert content_hash(spark, path) == digest
-    assert content_hash(spark, csv(text, "renamed.csv")) == digest
-    [row] = file_fingerprints(spark, path).collect()
-    assert (row["length"], row["file_hash"]) == (len(text), digest)
-
-
-def test_large_files_and_folders_are_known_by_their_lines(spark, csv, tmp_path):
-    a, b = csv("x\ny\nz\n", "a.csv"), csv("z\nx\ny\n", "b.csv")
-    c = csv("x\ny\ny\n", "c.csv")
-    hashes = {p: content_hash(spark, p, whole_file_bytes=0) for p in (a, b, c)}
-    assert hashes[a] == hashes[b] != hashes[c]
-    found = file_fingerprints(spark, [a, b, c], whole_file_bytes=0).collect()
-    assert {row["path"].rsplit("/", 1)[1]: row["file_hash"] for row in found} == {
-        p.rsplit("/", 1)[1]: h for p, h in hashes.items()
+    [row] = file_sha256(spark, csv(text)).collect()
+    assert (row["length"], row["sha256"]) == (len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_content_is_the_rows_at_every_layout(spark, csv, tmp_path):
+    rows = [f"{i},7,2025-01-01,pending\n" for i in range(6)]
+    known = content_hash(spark, csv(HEADER + "".join(rows), "a.csv"), ORDERS)
+    alike = {
+        "reordered": HEADER + "".join(reversed(rows)),
+        "line ends": (HEADER + "".join(rows)).replace("\n", "\r\n"),
     }
-    folder = tmp_path / "folder"
-    folder.mkdir()
-    (folder / "1.csv").write_text("x\n")
-    (folder / "2.csv").write_text("y\nz\n")
-    assert content_hash(spark, str(folder)) == hashes[a]
-    assert content_hash(spark, csv("", "empty.csv"), whole_file_bytes=0)
+    for name, text in alike.items():
+        assert content_hash(spark, csv(text, f"{name}.csv"), ORDERS) == known, name
+    for parts in (1, 2, 3):
+        folder = tmp_path / f"parts{parts}"
+        folder.mkdir()
+        for p in range(parts):
+            (folder / f"{p}.csv").write_text(HEADER + "".join(rows[p::parts]))
+        assert content_hash(spark, str(folder), ORDERS) == known
+    others = [rows[:-1], [*rows, rows[0]], [r.replace("7", "8") for r in rows], [r.replace(",7,", ",,") for r in rows]]
+    hashes = [content_hash(spark, csv(HEADER + "".join(o), f"{i}.csv"), ORDERS) for i, o in enumerate(others)]
+    assert len({known, *hashes}) == 5
+
+
+def test_wide_keys_make_a_bounded_number_of_slices(spark, tmp_path):
+    rows = spark.range(100_000).select(F.xxhash64("id").alias("k"), F.lit("a").alias("v"))
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", width=2**26)
+    assert rows.select(table.slice_of_key().alias("s")).distinct().count() <= 1024
+    some = rows.limit(300)
+    table.commit(some, "b1")
+    assert table.read().count() == 300
+
+
+def test_a_report_set_keeps_the_last_finished_version(spark, tmp_path, frame):
+    reports = ReportSet(spark, str(tmp_path / "gold"))
+    for value in ("a", "b", "c"):
+        frame("v string", (value,)).write.parquet(f"{reports.next_folder()}/one")
+        reports.publish()
+    frame("v string", ("torn",)).write.parquet(f"{reports.next_folder()}/one")
+    assert [r[0] for r in reports.read("one").collect()] == ["c"]
+    assert child_names(spark, reports.path) == ["commits", "version=2", "version=3", "version=4"]
+    assert child_names(spark, f"{reports.next_folder()}") == []
 
 
 def rows_of(table):
@@ -135,14 +154,22 @@ def test_old_versions_can_be_dropped(spark, tmp_path, frame):
     for version in range(2, 5):
         table.commit(frame("k int, v string", (1, f"v{version}")), f"b{version}")
     dropped = table.drop_old_versions(keep=1)
-    assert sorted(path.split("/data/")[1] for path in dropped) == [
-        "version=1/slice=0",
-        "version=2/slice=0",
-        "version=3/slice=0",
-    ]
+    assert sorted(path.split("/data/")[1] for path in dropped) == ["version=1/slice=0", "version=2/slice=0"]
+    assert table.drop_old_versions(keep=1) == []
     assert rows_of(table) == [(1, "v4"), (11, "b")]
 
 
+def test_a_slice_that_was_just_replaced_stays_readable(spark, tmp_path, frame):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", width=10)
+    table.commit(frame("k int, v string", (1, "a"), (11, "b")), "b1")
+    for version in range(2, 5):
+        table.commit(frame("k int, v string", (1, f"v{version}")), f"b{version}")
+    before = table.read()
+    table.commit(frame("k int, v string", (11, "new")), "b5")  # replaces a slice of version 1
+    table.drop_old_versions(keep=2)
+    assert sorted(tuple(r) for r in before.collect()) == [(1, "v4"), (11, "b")]
+
+
 def test_workspace_uses_the_named_folder_and_cleans_up(spark, frame):
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder

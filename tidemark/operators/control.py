@@ -18,11 +18,11 @@ EVENT_SCHEMA = (
 def latest_states(events: DataFrame, *by: str) -> DataFrame:
     """The newest event of every file (by default per entity and content hash).
 
-    Of events with the same time the finished one counts.
+    Of events with the same time the finished one counts, then the larger batch id.
     """
     by = by or ("entity", "file_hash")
     rest = [name for name in events.columns if name not in by]
-    newest = F.max_by(F.struct(*rest), F.struct("processed_at", "status"))
+    newest = F.max_by(F.struct(*rest), F.struct("processed_at", "status", "batch_id"))
     return events.groupBy(*by).agg(newest.alias("event")).select(*by, "event.*")
 
 

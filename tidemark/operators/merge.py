@@ -1,13 +1,14 @@
 """MERGE as DataFrame operators: each returns the next state of a keyed table.
 
-Target and source hold one row per key, so no key can be hot in these joins.
+Target and source hold one row per key, so no key can be hot in these joins. A
+source that repeats a key is refused while the plan runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.conditions import any_changed
@@ -22,6 +23,21 @@ def _like(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
+def _new_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Source rows as ``new`` beside their key; a repeated key ends the job.
+
+    The copies are counted in the partitions and order that the merge join needs
+    anyway, so the check moves nothing.
+    """
+    columns = target.columns
+    copies = F.count(F.lit(1)).over(Window.partitionBy(key))
+    counted = _like(source, target).withColumn("_copies", copies)
+    message = F.concat(F.lit(f"the source repeats {key} "), F.col(key).cast("string"))
+    repeated = (F.col("_copies") > 1) & F.col(key).isNotNull()
+    new = F.when(repeated, F.raise_error(message)).otherwise(F.struct(*columns))
+    return counted.select(key, new.alias("new"))
+
+
 def _source_wins(compare: Sequence[str]) -> Column:
     """Insert when there is no old row; replace only when a compared column changed."""
     found = F.col("new").isNotNull()
@@ -47,7 +63,7 @@ def merge_incremental(
     """
     columns = target.columns
     old = _packed(target, key, columns, "old")
-    new = _packed(_like(source, target), key, columns, "new")
+    new = _new_rows(source, target, key)
     if not broadcast_source:
         merged = old.join(new, key, "full_outer").select(_survivor(compare).alias("row"))
         return merged.select("row.*")
@@ -68,15 +84,20 @@ def merge_snapshot(
     """Upsert plus soft delete, in one pass over the target.
 
     ``snapshot_ids`` are the keys of every row in the snapshot, rejected rows
-    included, in any multiplicity; it must cover the source keys. Target rows
-    whose key is not among them become inactive and are otherwise unchanged.
+    included, in any multiplicity; a source key that is not among them ends the
+    job. Target rows whose key is not among them become inactive and are otherwise
+    unchanged.
     """
     columns = target.columns
     present = (
         snapshot_ids.select(key).distinct().withColumn("_present", F.lit(True))
     )
     old = _packed(target, key, columns, "old").join(present, key, "left")
-    new = _packed(_like(source, target), key, columns, "new")
+    unlisted = F.concat(F.lit(f"the snapshot does not list {key} "), F.col(key).cast("string"))
+    new = _new_rows(source, target, key).join(present, key, "left")
+    new = new.select(
+        key, F.when(F.col("_present").isNull(), F.raise_error(unlisted)).otherwise(F.col("new")).alias("new")
+    )
     merged = old.join(new, key, "full_outer").select(
         _survivor(compare).alias("row"),
         (F.col("new").isNull() & F.col("_present").isNull()).alias("_missing"),

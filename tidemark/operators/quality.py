@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
 from tidemark.functions.conditions import broken_rules
-from tidemark.operators.membership import most_frequent, repeated_candidates
 
 
 def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
@@ -25,29 +24,25 @@ def mark_unique(
 ) -> DataFrame:
     """Add ``is_unique``: false on every copy of a repeated key; NULL keys are unique.
 
-    The (at most 1000) most repeated keys are answered by a broadcast, and their rows
-    spread like those without a key; the copies of all other keys are counted next to
-    each other. So a key that holds a third of the rows never meets in one task.
+    Repeated keys are counted on the key column, with partial sums, and their rows
+    look them up in a join whose large partitions adaptive execution splits, so a
+    hot key needs no bound and no list. Rows without a key match nothing and stay
+    spread over the tasks that read them.
 
     ``repeated`` takes an already computed :func:`repeated_keys`;
     ``broadcast_repeated`` is for callers who measured it and found it small, and
     leaves the rows where they are.
     """
+    marks = repeated_keys(rows, key) if repeated is None else repeated
+    marks = marks.select(key, F.lit(False).alias("is_unique"))
     if broadcast_repeated:
-        marks = F.broadcast(repeated.select(key, F.lit(False).alias("is_unique")))
-        flagged = rows.join(marks, key, "left")
-        return flagged.withColumn("is_unique", F.coalesce("is_unique", F.lit(True)))
-
-    hot = repeated_candidates(rows, key) if repeated is None else most_frequent(repeated, "copies")
-    rows = rows.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
-    hot, keyless = F.col("_hot").isNotNull(), F.col(key).isNull()
-    spread = F.when(hot | keyless, F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    copies = F.count(F.lit(1)).over(Window.partitionBy(key, "_spread"))
-    return (
-        rows.withColumn("_spread", spread)
-        .withColumn("is_unique", keyless | (~hot & (copies == 1)))
-        .drop("_hot", "_spread")
-    )
+        flagged = rows.join(F.broadcast(marks), key, "left")
+    else:
+        # The route is a join key of its own: the key's hash, and the reading task without one.
+        route = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(F.xxhash64(key))
+        marks = marks.withColumn("_route", F.xxhash64(key))
+        flagged = rows.withColumn("_route", route).join(marks, [key, "_route"], "left").drop("_route")
+    return flagged.select(*rows.columns, F.coalesce("is_unique", F.lit(True)).alias("is_unique"))
 
 
 def validate(

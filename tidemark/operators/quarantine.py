@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.membership import flag_members, most_frequent
-
 
 def not_yet_quarantined(
     invalid: DataFrame, quarantined: DataFrame, key: str, null_safe: bool = True
@@ -15,22 +13,11 @@ def not_yet_quarantined(
 
     With ``null_safe`` a NULL key matches a stored NULL key of the same batch, so
     loading a batch twice adds nothing. Without it NULL keys never match and are
-    added again, as a plain equality anti-join would do.
+    added again, as a plain equality anti-join would do. A key or batch that holds
+    most rejected rows is split by the adaptive skew join.
     """
-    if null_safe:
-        found = [F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(key).isNull()]
-    else:
-        found = [F.col(key).cast("string"), F.col(key).isNull()]
-    on = ["_batch", "_key", "_keyless"]
-
-    def keyed(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            "*", F.col("batch_id").alias("_batch"), found[0].alias("_key"), found[1].alias("_keyless")
-        )
-
-    stored = keyed(quarantined).select(*on).distinct()
-    rows = keyed(invalid)
-    # A repeated or unreadable key can hold most rejected rows.
-    copies = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"))
-    flagged = flag_members(rows, stored, most_frequent(copies, "_copies"), on, "_stored")
-    return flagged.where(~F.col("_stored")).select(*invalid.columns)
+    stored = quarantined.select(
+        F.col("batch_id").alias("_batch"), F.col(key).alias("_key")
+    ).distinct()
+    same_key = F.col(key).eqNullSafe(F.col("_key")) if null_safe else F.col(key) == F.col("_key")
+    return invalid.join(stored, (F.col("batch_id") == F.col("_batch")) & same_key, "left_anti")

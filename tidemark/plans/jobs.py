@@ -1,7 +1,7 @@
 """Entity batches and the full refresh.
 
-Every stage can be repeated: bronze replaces the batch's own partition,
-quarantine skips stored keys, silver merges are idempotent and become visible
+Every stage can be repeated: bronze and quarantine replace the batch's own
+partition, silver merges are idempotent and become visible
 with one commit. A batch that fails stays at ``BRONZE_WRITTEN`` and resumes there.
 """
 
@@ -33,17 +33,18 @@ from tidemark.sources import files
 from tidemark.sources.control_log import file_state, record_state
 from tidemark.sources.csv import ingest
 from tidemark.sources.fingerprint import content_hash
-from tidemark.sources.tables import KeyedTable, append, read_batch, replace_batch
+from tidemark.sources.tables import KeyedTable, ReportSet, append, read_batch, replace_batch
 from tidemark.sources.workspace import Workspace
 
 logger = logging.getLogger(__name__)
 
 REPORTS = ("daily_sales", "product_performance", "category_performance", "customer_metrics")
 
-# A side of a join is broadcast only if it was counted and has at most this many
-# rows: keys are 4 to 8 bytes, entity rows well below 200.
+# A side of a join is broadcast only if it was measured and is at most this large:
+# keys of 4 to 8 bytes by their number, entity rows by their number and their texts.
 BROADCAST_KEYS = 1_000_000
 BROADCAST_ROWS = 100_000
+BROADCAST_TEXT_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -73,8 +74,9 @@ class Layout:
     def error_counts(self) -> str:
         return f"{self.root}/control/error_counts"
 
-    def report(self, name: str) -> str:
-        return f"{self.root}/gold/{name}"
+    @property
+    def gold(self) -> str:
+        return f"{self.root}/gold"
 
 
 @dataclass(frozen=True)
@@ -110,7 +112,7 @@ def open_batch(
     content, so a crash between the bronze write and its event leaves nothing
     behind that the retry would not replace.
     """
-    file_hash = content_hash(spark, source)
+    file_hash = content_hash(spark, source, entity, options.check_header)
     state = file_state(spark, layout.control, entity.name, file_hash)
     if state is not None and state["status"] == SUCCESS:
         return file_hash, state["batch_id"], True
@@ -141,11 +143,19 @@ def load_quarantine(
     batch_id: str,
     null_safe: bool = True,
 ) -> None:
-    """Append rejected rows of one batch that are not stored yet."""
+    """Store the rejected rows of one batch.
+
+    The batch's own partition is replaced, so a retry after half a write ends with
+    every copy. With plain equality (``null_safe=False``) rows are appended unless
+    their key is stored, and keyless rows are added again.
+    """
+    if null_safe:
+        replace_batch(invalid, path)
+        return
     if files.exists(spark, f"{path}/batch_id={batch_id}"):
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in invalid.schema)
         stored = read_batch(spark, path, batch_id, schema)
-        invalid = not_yet_quarantined(invalid, stored, key, null_safe)
+        invalid = not_yet_quarantined(invalid, stored, key, null_safe=False)
     append(invalid, path, "batch_id")
 
 
@@ -154,9 +164,12 @@ def load_incremental(
     source: DataFrame,
     compare: tuple[str, ...],
     batch_id: str,
-    source_rows: int | None = None,
+    small: bool = False,
 ) -> None:
-    """Upsert into a keyed table, rewriting only the slices the batch touches."""
+    """Upsert into a keyed table, rewriting only the slices the batch touches.
+
+    ``small`` is for callers who measured the source.
+    """
     if not table.exists():
         table.commit(source, batch_id)
         return
@@ -164,7 +177,6 @@ def load_incremental(
     if target is None:
         rows = source
     else:
-        small = source_rows is not None and source_rows <= BROADCAST_ROWS
         rows = merge_incremental(target, source, table.key, compare, broadcast_source=small)
     table.commit(rows, batch_id)
 
@@ -202,6 +214,12 @@ def _record_counts(
     replace_batch(row.coalesce(1), layout.batch_counts)
 
 
+def _text_bytes(rows: DataFrame):
+    texts = [name for name, kind in rows.dtypes if kind == "string"]
+    sizes = [F.coalesce(F.octet_length(name), F.lit(0)).cast("bigint") for name in texts]
+    return F.coalesce(F.sum(sum(sizes, F.lit(0).cast("bigint"))), F.lit(0))
+
+
 def run_entity_batch(
     spark: SparkSession,
     entity: Entity,
@@ -227,8 +245,12 @@ def run_entity_batch(
             typed, entity, repeated, broadcast_repeated=measured["rows"] <= BROADCAST_KEYS
         )
         checked, counts = work.store(
-            checked, "checked", partition_by=("is_valid",), measures=count_columns()
+            checked,
+            "checked",
+            partition_by=("is_valid",),
+            measures=[*count_columns(), _text_bytes(checked).alias("text_bytes")],
         )
+        text_bytes = counts.pop("text_bytes")
         logger.info("%s: %s", batch_id, counts)
         valid, invalid = valid_rows(checked), invalid_rows(checked)
         _record_counts(spark, layout, entity, batch_id, counts)
@@ -254,7 +276,8 @@ def run_entity_batch(
                 options.max_missing_fraction,
             )
         else:
-            load_incremental(table, valid, entity.compare, batch_id, counts["valid_rows"])
+            small = counts["valid_rows"] <= BROADCAST_ROWS and text_bytes <= BROADCAST_TEXT_BYTES
+            load_incremental(table, valid, entity.compare, batch_id, small)
 
     record_state(
         spark,
@@ -282,15 +305,23 @@ def read_silver(spark: SparkSession, layout: Layout, entity: Entity) -> DataFram
 
 
 def refresh_reports(spark: SparkSession, layout: Layout) -> None:
-    """Rebuild all reports from the current silver tables."""
+    """Rebuild all reports from the current silver tables; all four become visible at once."""
     silver = {name: read_silver(spark, layout, entity) for name, entity in ENTITIES.items()}
+    gold = ReportSet(spark, layout.gold)
+    folder = gold.next_folder()
     build_reports(
         silver["orders"],
         silver["order_items"],
         silver["products"],
         silver["customers"],
-        {name: layout.report(name) for name in REPORTS},
+        {name: f"{folder}/{name}" for name in REPORTS},
     )
+    gold.publish()
+
+
+def read_report(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """One report of the last rebuild that was finished."""
+    return ReportSet(spark, layout.gold).read(name)
 
 
 def refresh(

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import average, line_revenue, money
 from tidemark.sources.tables import overwrite
+from tidemark.sources.workspace import Workspace
 
 
 def completed(orders: DataFrame) -> DataFrame:
@@ -114,14 +114,13 @@ def build_reports(
     customers: DataFrame,
     paths: Mapping[str, str],
 ) -> None:
-    """Rebuild and overwrite the four reports at ``paths`` (report name -> path).
+    """Write the four reports to ``paths`` (report name -> path).
 
-    Orders and items are joined once. The cached lines stay partitioned by
-    order, so the per-order sums need no further shuffle; lost blocks are
-    recomputed from the silver tables.
+    Orders and items are joined once; their lines are a written table in the
+    shared folder, which survives lost executors and goes when all are written.
     """
-    lines = sales_lines(orders, items).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with Workspace(orders.sparkSession, "sales-lines") as work:
+        lines, _ = work.store(sales_lines(orders, items), "lines")
         reports = {
             "daily_sales": _daily(lines),
             "product_performance": _by_product(lines, products),
@@ -130,5 +129,3 @@ def build_reports(
         }
         for name, report in reports.items():
             overwrite(report, paths[name])
-    finally:
-        lines.unpersist()

@@ -1,4 +1,7 @@
-"""Small helpers over the Hadoop file system Spark itself uses."""
+"""Small helpers over the Hadoop file system Spark itself uses.
+
+They need the classic session's JVM gateway; a Spark Connect session has none.
+"""
 
 from __future__ import annotations
 
@@ -16,21 +19,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a directory (empty if it does not exist)."""
+def child_names(spark: SparkSession, path: str, glob: bool = False) -> list[str]:
+    """Names directly below a directory (empty if it does not exist), or of a glob's matches."""
     system, target = _open(spark, path)
+    if glob:
+        return sorted(status.getPath().getName() for status in system.globStatus(target) or ())
     if not system.exists(target):
         return []
     return sorted(status.getPath().getName() for status in system.listStatus(target))
 
 
-def size_and_count(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Bytes and number of files at or below a path."""
+def remove(spark: SparkSession, path: str) -> None:
     system, target = _open(spark, path)
-    summary = system.getContentSummary(target)
-    return summary.getLength(), summary.getFileCount()
+    system.delete(target, True)
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that goes when the session's JVM ends."""
     system, target = _open(spark, path)
-    system.delete(target, True)
+    system.mkdirs(target)
+    system.deleteOnExit(target)

@@ -1,63 +1,44 @@
-"""Content identity of files, computed by Spark tasks."""
+"""Content identity of sources, computed by Spark tasks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.files import size_and_count
+from tidemark.contracts import Entity
+from tidemark.sources.csv import read_raw
 
-# A file up to this size is hashed whole by one task; larger ones by their lines.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
+def rows_hash(rows: DataFrame) -> DataFrame:
+    """One row ``file_hash``: the identity of a multiset of rows of text columns.
 
-def _line_hash():
-    """Aggregates over lines: their number and two independent 64-bit hash sums.
-
-    Order-insensitive, so any number of tasks can share one file.
+    Taken from their number and two independent 64-bit hash sums, so neither order
+    nor the number of files or tasks matters. A NULL differs from every text.
     """
-    first = F.sum(F.xxhash64("value").cast("decimal(20,0)"))
-    second = F.sum(F.xxhash64("value", F.lit("second")).cast("decimal(20,0)"))
-    parts = [F.count(F.lit(1)), F.coalesce(first, F.lit(0)), F.coalesce(second, F.lit(0))]
-    return F.sha2(F.concat_ws(":", *[p.cast("string") for p in parts]), 256)
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in rows.columns]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)")) for seed in ("first", "second")]
+    parts = [F.count(F.lit(1)), *[F.coalesce(part, F.lit(0)) for part in sums]]
+    return rows.agg(
+        F.sha2(F.concat_ws(":", *[part.cast("string") for part in parts]), 256).alias("file_hash")
+    )
 
 
-def file_fingerprints(
-    spark: SparkSession, paths: str | list[str], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """``path, length, file_hash`` of every file at ``paths`` that is not empty.
+def content_hash(
+    spark: SparkSession, source: str | list[str], entity: Entity, check_header: bool = True
+) -> str:
+    """One hash for one CSV source, by its data rows.
 
-    Up to ``whole_file_bytes`` the hash is the SHA-256 of the file's bytes; above,
-    it is taken over the lines, so that no task reads a large file alone.
+    The same rule at every size and layout: header lines, line ends, the order of
+    rows and how they are split into files do not count. Bytes are another
+    identity, see :func:`file_sha256`.
     """
-    whole = (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .where(F.col("length") <= whole_file_bytes)
-        .select("path", "length", F.sha2("content", 256).alias("file_hash"))
-    )
-    lines = (
-        spark.read.text(paths)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_size").alias("length"),
-        )
-        .where(F.col("length") > whole_file_bytes)
-    )
-    return whole.unionByName(lines.groupBy("path", "length").agg(_line_hash().alias("file_hash")))
+    return rows_hash(read_raw(spark, source, entity, check_header)).first()["file_hash"]
 
 
-def content_hash(
-    spark: SparkSession, source: str | list[str], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> str:
-    """One hash for one source: a small file by its bytes, anything else by its lines.
+def file_sha256(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``path, length, sha256`` of the bytes of every file; one task reads a file whole.
 
-    A source of several files (a directory, a list) is one set of lines, however
-    they are split into files.
+    For files that a task can hold (Spark reads at most 2 GB in one piece).
     """
-    if isinstance(source, str):
-        size, count = size_and_count(spark, source)
-        if count == 1 and 0 < size <= whole_file_bytes:
-            return file_fingerprints(spark, source, whole_file_bytes).first()["file_hash"]
-    return spark.read.text(source).agg(_line_hash().alias("file_hash")).first()["file_hash"]
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))

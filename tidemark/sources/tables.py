@@ -2,8 +2,8 @@
 
 A keyed table lives in two folders below its path. ``data`` holds immutable
 ``version=<n>/slice=<s>`` directories and ``commits`` says which of them are
-current. A slice is a range of keys, so a batch rewrites only the slices its keys
-fall in. A version becomes visible with its commit; until then a retry simply
+current. A slice is a range of keys (of wide keys every 1024th range), so a batch
+rewrites only the slices its keys fall in. A version becomes visible with its commit; until then a retry simply
 writes the same version again. One writer per table at a time.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources import files
@@ -53,6 +53,46 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+class ReportSet:
+    """Tables that are rebuilt together: versions below ``path``, one commit for all.
+
+    Readers see the last committed version, also while the next one is written or
+    after its rebuild failed. The version before stays for readers still in it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+        self.commits = f"{path}/commits"
+
+    def _version(self) -> int:
+        """The last committed version; 0 if there is none."""
+        if not files.exists(self.spark, self.commits):
+            return 0
+        log = self.spark.read.schema("version bigint").parquet(self.commits)
+        return log.agg(F.max("version")).first()[0] or 0
+
+    def next_folder(self) -> str:
+        """Where the next version is written, freed of what a failed rebuild left."""
+        folder = f"{self.path}/version={self._version() + 1}"
+        files.remove(self.spark, folder)
+        return folder
+
+    def publish(self) -> int:
+        version = self._version() + 1
+        append(self.spark.range(version, version + 1).select(F.col("id").alias("version")).coalesce(1), self.commits)
+        if version > 2:
+            files.remove(self.spark, f"{self.path}/version={version - 2}")
+        return version
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/version={self._version()}/{name}")
+
+
+#: A keyed table never has more slices than this.
+MOST_SLICES = 1024
+
+
 class KeyedTable:
     """Current-state table with one row per key."""
 
@@ -67,7 +107,9 @@ class KeyedTable:
         return files.exists(self.spark, self.commits)
 
     def slice_of_key(self) -> Column:
-        return F.floor(F.col(self.key) / F.lit(self.width)).cast("bigint")
+        """Ranges of keys, dealt over a fixed number of slices."""
+        ranges = F.floor(F.col(self.key).cast("decimal(20,0)") / F.lit(self.width))
+        return F.pmod(ranges.cast("bigint"), F.lit(MOST_SLICES).cast("bigint"))
 
     def _state(self) -> tuple[int, dict[int, int]]:
         """Last version, and the current version of every slice.
@@ -121,16 +163,17 @@ class KeyedTable:
 
     def drop_old_versions(self, keep: int = 2) -> list[str]:
         """Delete slices replaced more than ``keep`` versions ago; returns their folders."""
-        last, current = self._state()
-        oldest_kept = last - keep
+        last = self._state()[0]
+        log = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits).where("slice IS NOT NULL")
+        following = F.lead("version").over(Window.partitionBy("slice").orderBy("version"))
+        old = log.select("version", "slice", following.alias("next")).where(F.col("next") <= last - keep)
         dropped = []
-        for folder in files.child_names(self.spark, self.data):
-            version = int(folder.removeprefix("version=")) if "=" in folder else None
-            if version is None or version > oldest_kept:
-                continue
-            for name in files.child_names(self.spark, f"{self.data}/{folder}"):
-                if name.startswith("slice=") and current[int(name.removeprefix("slice="))] != version:
-                    dropped.append(f"{self.data}/{folder}/{name}")
+        # Entries of versions that are still on disk; the log also knows those dropped before.
+        for version in {int(n.removeprefix("version=")) for n in files.child_names(self.spark, self.data) if "=" in n}:
+            folder = f"{self.data}/version={version}"
+            here = set(files.child_names(self.spark, folder))
+            names = [f"slice={row['slice']}" for row in old.where(F.col("version") == version).collect()]
+            dropped += [f"{folder}/{name}" for name in names if name in here]
         for path in dropped:
             files.remove(self.spark, path)
         return dropped

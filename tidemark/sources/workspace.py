@@ -32,12 +32,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """A private subfolder for one job; use as a context manager."""
+    """A private subfolder for one job; use as a context manager.
+
+    With ``keep`` it stays until the session's JVM ends, for tables that a returned
+    DataFrame still reads.
+    """
 
     def __init__(self, spark: SparkSession, label: str = "work", keep: bool = False):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self.keep = keep
+        if keep:
+            files.remove_at_exit(spark, self.path)
 
     def __enter__(self) -> Workspace:
         return self

@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contracts import Entity
 from tidemark.plans.jobs import Layout, Options, run_entity_batch
+from tidemark.sources.files import child_names
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arriving_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file, oldest first, one file per trigger.
+logger = logging.getLogger(__name__)
+
+# Spark's file stream forgets files that are older than the newest one by more than
+# this; a hundred years keep late ones (backfills and copies that keep their times).
+OLDEST = "36500d"
+
+
+def ignored_files(spark: SparkSession, folder: str, pattern: str | None) -> list[str]:
+    """Names in ``folder`` that the stream passes over because of ``pattern``."""
+    if pattern is None:
+        return []
+    names = set(child_names(spark, folder))
+    return sorted(names - set(child_names(spark, f"{folder}/{pattern}", glob=True)))
+
+
+def arriving_files(
+    spark: SparkSession, folder: str, pattern: str | None = None, files_per_trigger: int = 100
+) -> DataFrame:
+    """One row per file, oldest first, however old.
 
     Only names and times are read here; a header-only file is an arrival too.
+    ``pattern`` is a glob over names, case-sensitive; without it every file counts
+    (names that begin with ``_`` or ``.`` are hidden from Spark).
     """
-    return (
+    stream = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
-        .option("maxFilesPerTrigger", 1)
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select("path", "modificationTime")
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxFileAge", OLDEST)
     )
+    if pattern is not None:
+        stream = stream.option("pathGlobFilter", pattern)
+    return stream.load(folder).select("path", "modificationTime")
 
 
 def process_arrivals(
@@ -33,19 +56,26 @@ def process_arrivals(
     layout: Layout,
     checkpoint: str,
     options: Options = Options(),
+    pattern: str | None = None,
+    files_per_trigger: int = 100,
 ) -> StreamingQuery:
-    """Run every file that is in ``folder`` now as one batch, then stop.
+    """Run every file that is in ``folder`` now as one batch, oldest first, then stop.
 
-    Start it again to pick up what arrived since. The stream remembers paths; the
+    Files that ``pattern`` leaves out are named in the log. Start it again to pick
+    up what arrived since. The stream remembers paths; the
     batch itself recognises content, so a renamed copy is still skipped.
     """
 
+    ignored = ignored_files(spark, folder, pattern)
+    if ignored:
+        logger.warning("%d files of %s do not match %s: %s", len(ignored), folder, pattern, ignored[:20])
+
     def run(files: DataFrame, _: int) -> None:
         for file in files.orderBy("modificationTime", "path").collect():
             run_entity_batch(spark, entity, file["path"], layout, options)
 
     return (
-        arriving_files(spark, folder)
+        arriving_files(spark, folder, pattern, files_per_trigger)
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
