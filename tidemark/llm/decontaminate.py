@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, workspace
-from tidemark.llm.memo import Memo
+from tidemark.llm.common import fresh, slices, workspace
+from tidemark.llm.memo import Memo, flat
 
 WINDOW = 8
 LITERALS = 4
@@ -83,8 +83,10 @@ _memo: list[Memo] = []
 def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Template codes and fillings (0 for words) of all texts, and where each text ends."""
     if not _memo:
-        _memo.append(Memo(lambda chunks: [_tokens(c) for c in chunks], np.uint64))
+        _memo.append(Memo(lambda chunks: flat([_tokens(c) for c in chunks], np.uint64), np.uint64))
     chunks = [t.replace("\n", " \n ").split(" ") for t in texts]
+    if _memo[0].full():
+        _memo[0].clear()
     _memo[0].add(chunks)
     each = [_memo[0].of(_memo[0].places(c)) for c in chunks]
     owner = np.repeat(np.arange(len(texts)), [len(x) for x in each])
@@ -236,3 +238,11 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"),
         F.coalesce("n_windows", F.lit(0)).cast("long").alias("n_windows"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns."""
+    work = workspace(docs.sparkSession, "leaks")
+    name = fresh(docs, "leak")
+    found, _ = work.store(leaks(docs, items).select(F.col("doc_key").alias(name)).distinct(), "leaks")
+    return docs.join(found, document_key(docs) == F.col(name), "left_anti")

@@ -2,27 +2,37 @@
 
 Tokenizers that never join across a space encode a text as the ids of its
 space-separated chunks, one after the other. Natural text repeats its chunks, so
-each is encoded by the library once while the memo holds it. The memo is emptied
-when it passes its size bound; results do not depend on it.
+each is encoded by the library once while the memo holds it. Its owner empties it
+between texts once it is full; results do not depend on it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 
-MOST_CHUNKS = 400_000
-MOST_CHARACTERS = 8_000_000
+MOST_CHUNKS = 1_000_000
+MOST_CHARACTERS = 16_000_000
+
+
+def flat(lists: list[Iterable[int]], dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths, and all ids one after the other."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return lengths, np.fromiter(chain.from_iterable(lists), dtype, int(lengths.sum()))
 
 
 class Memo:
-    def __init__(self, learn: Callable[[list[str]], Sequence[Sequence[int]]], dtype):
-        """``learn`` gives the ids of chunks that are not known yet."""
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype):
+        """``learn`` gives the ids of chunks that are not known yet, as ``flat`` does."""
         self.learn, self.dtype = learn, dtype
-        self._clear()
+        self.clear()
+
+    def full(self) -> bool:
+        return len(self.index) > MOST_CHUNKS or self.characters > MOST_CHARACTERS
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, self.dtype)
         self.lengths = np.zeros(1 << 14, np.int64)
@@ -38,21 +48,17 @@ class Memo:
 
     def add(self, texts: list[list[str]]) -> None:
         """Learn all chunks of the texts; after this ``of`` answers for them."""
-        if len(self.index) > MOST_CHUNKS or self.characters > MOST_CHARACTERS:
-            self._clear()
         missing = list(set().union(*texts).difference(self.index)) if texts else []
         if not missing:
             return
-        found = self.learn(missing)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate([np.asarray(x, self.dtype) for x in found])
-        self._room(len(missing), len(flat))
+        lengths, ids = self.learn(missing)
+        self._room(len(missing), len(ids))
         n = len(self.index)
         self.lengths[n : n + len(missing)] = lengths
         self.starts[n : n + len(missing)] = self.used + np.cumsum(lengths) - lengths
-        self.ids[self.used : self.used + len(flat)] = flat
+        self.ids[self.used : self.used + len(ids)] = ids
         self.index.update(zip(missing, range(n, n + len(missing)), strict=True))
-        self.used += len(flat)
+        self.used += len(ids)
         self.characters += sum(map(len, missing))
 
     def places(self, chunks: list[str]) -> np.ndarray:

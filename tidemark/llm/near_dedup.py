@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_texts, connected_components, slices, workspace
+from tidemark.llm.common import byte_texts, connected_components, fresh, slices, workspace
 from tidemark.llm.memo import Memo
 
 SHINGLE = 5
@@ -55,9 +55,15 @@ RIGHT = _random.integers(0, 1 << 32, (REGISTERS, 1), dtype=np.uint32)
 _memo: list[Memo] = []
 
 
+def _learn(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.ones(len(words), np.int64), np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 def word_hashes(texts: list[list[bytes]]) -> list[np.ndarray]:
     if not _memo:
-        _memo.append(Memo(lambda words: [(xxhash.xxh64_intdigest(w),) for w in words], np.uint64))
+        _memo.append(Memo(_learn, np.uint64))
+    if _memo[0].full():
+        _memo[0].clear()
     _memo[0].add(texts)
     return [_memo[0].of(_memo[0].places(words)) for words in texts]
 
@@ -249,3 +255,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def without_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    work = workspace(docs.sparkSession, "near-copies")
+    gone, _ = work.store(near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct(), "gone")
+    name = fresh(docs, "gone")
+    return docs.join(gone.withColumnRenamed("doc_id", name), F.col("doc_id") == F.col(name), "left_anti")

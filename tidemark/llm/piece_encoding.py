@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
 from tidemark.llm.common import slices
-from tidemark.llm.memo import Memo
+from tidemark.llm.memo import Memo, flat
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁".encode()
@@ -176,19 +176,21 @@ class Encoder:
         plain = self.normalise.starts is None and spec.add_dummy_prefix and spec.escape_whitespaces
         return plain and not any(re.search(rb"[^\xe2\x96\x81]\xe2\x96\x81", s) for s in self.surface)
 
-    def _learn(self, chunks: list[str]) -> list[list[int]]:
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.pieces.encode(chunks, num_threads=1)
         for chunk, ids in zip(chunks, found, strict=True):
             spelled = b"".join(map(self.surface.__getitem__, ids))
             if chunk and self.unknown not in ids and spelled != SPACE + chunk.encode():
                 raise ValueError("the pieces do not spell the normalised text")
-        return found
+        return flat(found, np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text, with the end id."""
         whole = [i for i, t in enumerate(texts) if not self.separable or ODD.search(t)]
         out = dict(zip(whole, self.pieces.encode([texts[i] for i in whole], num_threads=1), strict=True)) if whole else {}
         chunks = [[] if i in out else t.split(" ") for i, t in enumerate(texts)]
+        if self.memo.full():
+            self.memo.clear()
         self.memo.add(chunks)
         end = [self.pieces.eos_id()]
         return [
@@ -287,5 +289,19 @@ def encode_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
     )
 
 
+def encode_and_check(docs: DataFrame, model: str = MODEL) -> DataFrame:
+    """doc_id, n_tokens, ids, and whether decoding the ids gives the text back."""
+
+    def run(batches):
+        for code, doc_ids, texts, ids in _encoded(batches, model):
+            for text, i in zip(texts, ids, strict=True):
+                code.spans(text, i)  # ends the job if the pieces do not cover the text
+            same = [a == b for a, b in zip(code.decode(ids), texts, strict=True)]
+            arrays = [doc_ids, pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids", "round_trip"])
+
+    return _columns(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+
+
 def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

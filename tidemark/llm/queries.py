@@ -18,7 +18,7 @@ def op1_token_files(spark, sf_dir):
 
 
 def op5_exact_dedup(spark, sf_dir):
-    return exact_duplicates(documents(spark, sf_dir))
+    return exact_duplicates(documents(spark, sf_dir)).drop("row_key")
 
 
 def op2_near_dedup(spark, sf_dir):

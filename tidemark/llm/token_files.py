@@ -38,13 +38,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import slices
-from tidemark.llm.memo import Memo
+from tidemark.llm.memo import Memo, flat
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 #: Keys of one block, and the ids after which a block is closed all the same.
 SPAN = 1024
 BLOCK_IDS = 1 << 22
+SIGNS = ".,!#$%&*|?;:"
 KEYS_PER_BUCKET = 4
 BLOCKS = "part int, block int, shard long, first long, n_ids long, width int, nulls int, keys binary, ends binary, index binary, payload binary"
 
@@ -55,8 +56,8 @@ BLOCKS = "part int, block int, shard long, first long, n_ids long, width int, nu
 class Encoder:
     """Ids of the tokenizers library, encoding each different chunk of a text once."""
 
-    #: One run of letters, which is one word of the vocabulary's splitting, and a run of signs.
-    WORD = re.compile(r"([a-zß-öø-ÿ]+)([.,!#$%&*|?;:]*)")
+    #: A run of letters, which is one word of the vocabulary's splitting; so is a run of signs after it.
+    LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -66,41 +67,40 @@ class Encoder:
         self.last = np.zeros(size, bool)  # pieces that end a word
         self.last[[i for piece, i in self.library.get_vocab().items() if piece.endswith("</w>")]] = True
         self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)", re.IGNORECASE)
-        self.words = Memo(self._learn_words, self.dtype)
-        self.memo = Memo(self._learn, self.dtype)
+        self.units = Memo(self._learn_units, self.dtype)
+        self.memo = Memo(self._learn, np.int32)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_words(self, words: list[str]) -> list[np.ndarray]:
-        """Many words in one text; each ends with the only piece that ends a word."""
-        out = []
+    def _learn_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters share a text, where each ends with the only piece that ends a word."""
+        lists: list[list[int]] = []
+        words = [u for u in units if self.LETTERS.fullmatch(u)]
         for a in range(0, len(words), 1000):
             some = words[a : a + 1000]
-            ids = np.array(self._library([" ".join(some)])[0], self.dtype)
-            cuts = np.flatnonzero(self.last[ids]) + 1
+            ids = self._library([" ".join(some)])[0]
+            cuts = (np.flatnonzero(self.last[ids]) + 1).tolist()
             if len(cuts) != len(some):
                 raise ValueError("a word did not end once")
-            out += np.split(ids, cuts[:-1])
-        return out
-
-    def _learn(self, chunks: list[str]) -> list:
-        parts = [self.WORD.fullmatch(c) for c in chunks]
-        words = [[p[1]] for p in parts if p]
-        signs = sorted({p[2] for p in parts if p and p[2]})
-        tails = dict(zip(signs, self._library(signs), strict=True)) | {"": []}
-        self.words.add(words)
-        others = iter(self._library([c for c, p in zip(chunks, parts, strict=True) if not p]))
-        known, flat, starts, lengths = self.words.index, self.words.ids, self.words.starts, self.words.lengths
-        out = []
-        for p in parts:
-            if p:
-                at = known[p[1]]
-                ids = flat[starts[at] : starts[at] + lengths[at]]
-                out.append(np.append(ids, np.array(tails[p[2]], self.dtype)) if p[2] else ids)
+            lists += map(ids.__getitem__, map(slice, [0, *cuts[:-1]], cuts))
+        others = [u for u in units if not self.LETTERS.fullmatch(u)]
+        place = dict(zip(words + others, lists + self._library(others), strict=True))
+        return flat([place[u] for u in units], self.dtype)
+
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks as one or two units: a word of letters and its signs, or the chunk itself."""
+        units: list[str] = []
+        lengths = np.ones(len(chunks), np.int64)
+        for i, chunk in enumerate(chunks):
+            word = chunk.rstrip(SIGNS)
+            if word != chunk and self.LETTERS.fullmatch(word):
+                units += (word, chunk[len(word) :])
+                lengths[i] = 2
             else:
-                out.append(next(others))
-        return out
+                units.append(chunk)
+        self.units.add([units])
+        return lengths, self.units.places(units)
 
     def _chunks(self, text: str) -> list[str]:
         """Chunks between spaces and line ends, in lower case where that is the library's."""
@@ -112,9 +112,13 @@ class Encoder:
         whole = [i for i, t in enumerate(texts) if self.special.search(t)]
         out = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True))
         chunks = [[] if i in out else self._chunks(t) for i, t in enumerate(texts)]
+        if self.memo.full():
+            self.memo.clear()
+            self.units.clear()
         self.memo.add(chunks)
         return [
-            np.array(out[i], self.dtype) if i in out else self.memo.of(self.memo.places(c)) for i, c in enumerate(chunks)
+            np.array(out[i], self.dtype) if i in out else self.units.of(self.memo.of(self.memo.places(c)))
+            for i, c in enumerate(chunks)
         ]
 
 
