@@ -33,6 +33,36 @@ SELECT doc_id, len(shingles)::BIGINT AS n_shingles, min(least) AS component_id,
 FROM sets JOIN reach ON node = doc_id GROUP BY doc_id, shingles
 """
 
+OP3 = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+  SELECT doc_id, h, length(h) // 2 AS n FROM bytes
+), strings AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS x
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM sized WHERE n >= 100)
+), repeats AS (
+  SELECT doc_id, p FROM strings QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, p) > 1
+), steps AS (
+  SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS opens
+  FROM repeats
+), numbered AS (
+  SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM steps
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, g
+), gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+                 || substr(any_value(h), 2 * max(b) + 1) AS h,
+         sum(b - a) AS removed, count(*) AS spans
+  FROM gaps JOIN sized USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.h, sized.h))) AS kept_sha256
+FROM sized LEFT JOIN kept USING (doc_id)
+"""
+
 OP5 = r"""
 WITH bare AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -69,4 +99,4 @@ FROM bare JOIN first USING (body)
 
 
 def all_sql():
-    return {"op2_near_dedup": OP2, "op5_exact_dedup": OP5, "op7_warc": OP7}
+    return {"op2_near_dedup": OP2, "op3_suffix_dedup": OP3, "op5_exact_dedup": OP5, "op7_warc": OP7}
