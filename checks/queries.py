@@ -143,7 +143,7 @@ def _quarantine(stored_batch: str, null_safe: bool):
 # --- files ------------------------------------------------------------------
 
 
-def _write_csv(rows: DataFrame, path: str) -> None:
+def write_csv(rows: DataFrame, path: str) -> None:
     (
         rows.write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
@@ -156,7 +156,7 @@ def _csv_roundtrip(entity: tm.Entity) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         work = Workspace(spark, "csv", keep=True)
         [raw] = _frames(spark, sf_dir, feeds.RAW[entity.name])
-        _write_csv(raw, f"{work.path}/{entity.name}")
+        write_csv(raw, f"{work.path}/{entity.name}")
         return read_raw(spark, f"{work.path}/{entity.name}", entity)
 
     return query
@@ -168,7 +168,7 @@ def _bronze_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = f"{work.path}/bronze"
     for label, deliveries in (("first", feeds.RAW_FIRST), ("second", feeds.RAW_SECOND)):
         [raw] = _frames(spark, sf_dir, deliveries["orders"])
-        _write_csv(raw, f"{work.path}/{label}")
+        write_csv(raw, f"{work.path}/{label}")
         ingest(spark, f"{work.path}/{label}", tm.ORDERS, bronze, f"orders-{label}")
     ingest(spark, f"{work.path}/second", tm.ORDERS, bronze, "orders-second")
     return read_batches(spark, bronze, tm.ORDERS.bronze_schema).select(
@@ -194,7 +194,7 @@ def _content_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashes, written = {}, []
     for name, variant in variants.items():
         path = f"{work.path}/{name.replace(' ', '_')}"
-        _write_csv(variant, path)
+        write_csv(variant, path)
         hashes[name] = content_hash(spark, path, tm.CUSTOMERS)
         lines = read_raw(spark, path, tm.CUSTOMERS).agg(F.count(F.lit(1)).alias("lines"))
         same = F.lit(hashes[name] == hashes["one part"]).alias("same_content")
@@ -233,7 +233,7 @@ def _lake(spark: SparkSession, sf_dir: str) -> tuple[tm.Layout, dict[str, str]]:
             sources = {}
             for name, feed in deliveries.items():
                 sources[name] = f"{work.path}/{label}/{name}"
-                _write_csv(feed.frame(spark, sf_dir), sources[name])
+                write_csv(feed.frame(spark, sf_dir), sources[name])
             results = tm.refresh(spark, sources, layout)
             delivery_of |= {result.batch_id: label for result in results.values()}
         again = tm.refresh(spark, sources, layout)
@@ -297,7 +297,7 @@ def _arriving_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files in a folder, taken up by the stream in one trigger, each as a batch."""
     work = Workspace(spark, "arrivals", keep=True)
     [raw] = _frames(spark, sf_dir, feeds.RAW_ORDERS)
-    _write_csv(raw.repartition(3, "status"), f"{work.path}/inbox")
+    write_csv(raw.repartition(3, "status"), f"{work.path}/inbox")
     layout = tm.Layout(f"{work.path}/lake")
     stream = tm.process_arrivals(
         spark, tm.ORDERS, f"{work.path}/inbox", layout, f"{work.path}/progress"
