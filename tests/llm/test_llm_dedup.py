@@ -116,3 +116,8 @@ def test_suffix_array(data, letters):
     whole = text.tobytes()
     some = [whole[i : i + 100] for i in array if i < len(data)]
     assert some == sorted(some) and sorted(array) == list(range(len(text)))
+    wanted = np.flatnonzero(np.arange(len(data)) % 3 == 0)
+    part = suffix_dedup.suffix_array(text, suffix_dedup._words(text), wanted)
+    assert set(wanted) <= set(part) and len(set(part)) == len(part)
+    some = [whole[i : i + 100] for i in part if i < len(data)]
+    assert some == sorted(some)

@@ -79,7 +79,7 @@ def test_pseudonyms_keep_formats_and_links(spark):
         kind, value = rows[r.doc_id]
         assert r[f"n_{kind}"] == 2 and r.n_private == 2 and value not in r.text, (kind, value, r.text)
         one, two = re.fullmatch(r"see (.+), and (.+)!", r.text, re.S).groups()
-        assert one == two and len(one.removeprefix(lead.get(kind, ""))) == len(value)
+        assert one == two and (kind == "ip" or len(one.removeprefix(lead.get(kind, ""))) == len(value))
         if kind == "card":
             digits = [int(c) for c in one if c.isdigit()][::-1]
             assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0

@@ -225,17 +225,28 @@ def _direct_sort(at: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
     return at[by_hash[np.repeat(starts[order] - after + lengths, lengths) + np.arange(len(at))]]
 
 
-def suffix_array(text: np.ndarray, words: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """All suffixes in order of their first ``depth`` bytes, by two-stage sorting."""
+def suffix_array(text: np.ndarray, words: np.ndarray, wanted: np.ndarray | None = None, depth: int = LENGTH) -> np.ndarray:
+    """Suffixes in order of their first ``depth`` bytes, by two-stage sorting.
+
+    All of them, or those at ``wanted`` places and, after each, those up to the next
+    that is smaller than its successor, from which the others are induced.
+    """
     n = len(text)
     step = np.sign(np.diff(text.astype(np.int16), append=256))
     last = np.where(step != 0, np.arange(n), n)
     smaller = step[np.minimum.accumulate(last[::-1])[::-1]] > 0  # than the suffix at the next place
-    counts = np.bincount(text, minlength=257)
+    needed = np.ones(n, bool)
+    if wanted is not None:
+        next_smaller = np.minimum.accumulate(np.where(smaller, np.arange(n), n - 1)[::-1])[::-1]
+        marks = np.zeros(n + 1, np.int32)
+        np.add.at(marks, wanted, 1)
+        np.add.at(marks, next_smaller[wanted] + 1, -1)
+        needed = np.cumsum(marks[:-1]) > 0
+    counts = np.bincount(text[needed], minlength=257)
     begin = np.concatenate([[0], np.cumsum(counts)])
     fill = begin[:256].copy()
-    array = np.zeros(n, np.int64)
-    direct = _direct_sort(np.flatnonzero(smaller), words, depth)
+    array = np.zeros(int(counts.sum()), np.int64)
+    direct = _direct_sort(np.flatnonzero(smaller & needed), words, depth)
     sizes = np.bincount(text[direct], minlength=256)
     array_ends = begin[1:257]
     after = np.cumsum(sizes)
@@ -244,7 +255,7 @@ def suffix_array(text: np.ndarray, words: np.ndarray, depth: int = LENGTH) -> np
 
     def induce(found: np.ndarray) -> None:
         before = found[found > 0] - 1
-        before = before[~smaller[before]]
+        before = before[~smaller[before] & needed[before]]
         first = text[before]
         order = np.argsort(first, kind="stable")
         before, first = before[order], first[order]
@@ -283,12 +294,13 @@ def _sorted_repeats(rows: pd.DataFrame):
     begin = np.cumsum(sizes + 1) - sizes - 1
     counts = sizes - LENGTH + 1
     words = _words(text)
-    array = suffix_array(text, words)
     string = np.full(len(text), -1, np.int64)  # number of each string, in order of document and place
     numbers = np.arange(counts.sum())
     region = np.repeat(np.arange(len(sizes)), counts)
     place = numbers - np.repeat(np.cumsum(counts) - counts, counts)
-    string[begin[region] + place] = numbers
+    wanted = begin[region] + place
+    string[wanted] = numbers
+    array = suffix_array(text, words, wanted)
     ordered = array[string[array] >= 0]
     same = np.flatnonzero(np.ones(len(ordered) - 1, bool))
     for d in [*range(0, LENGTH - 7, 8), LENGTH - 8]:  # adjacent common prefixes
