@@ -132,3 +132,33 @@ def test_given_items_are_found(spark):
     texts = [(r.item_id, r.text) for r in items.collect()]
     want = {(d.doc_id, i) for d in docs.collect() for i, t in texts if t in d.text}
     assert want <= got and len(got) <= 1.1 * len(want) + 2
+
+
+def _permuted(text, base, key, kind):
+    """The same permutation, number by number."""
+    import hashlib
+
+    def step(i, half, tweak):
+        return int(hashlib.sha256(f"{key}|{kind}{base}|{i}|{tweak}|{half}".encode()).hexdigest()[:15], 16)
+
+    out = ""
+    for at in range(0, len(text), pseudonyms.PIECE):
+        part = text[at : at + pseudonyms.PIECE]
+        left, right = len(part) // 2, len(part) - len(part) // 2
+        a, b, tweak = int(part[:left] or "0", base), int(part[left:], base), f"{len(part)}/{at + 1}"
+        for i in range(pseudonyms.ROUNDS):
+            if i % 2 == 0:
+                a = (a + step(i, b, tweak)) % base**left
+            else:
+                b = (b + step(i, a, tweak)) % base**right
+        out += "".join(np.base_repr(x, base).lower().rjust(n, "0") if n else "" for x, n in ((a, left), (b, right)))
+    return out
+
+
+@pytest.mark.parametrize("base,texts", [(10, ["411111111111111", "7", "0000"]), (36, ["und34", "z"]), (16, ["24be64439e3e49cf" * 3])])
+def test_permutation_is_as_described(spark, base, texts):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = rows.select("x", pseudonyms.permute(F.col("x"), base, "key", "kind").alias("y")).collect()
+    assert {r.x: r.y for r in got} == {t: _permuted(t, base, "key", "kind") for t in texts}

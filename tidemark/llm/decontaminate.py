@@ -83,7 +83,7 @@ _memo: list[Memo] = []
 def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Template codes and fillings (0 for words) of all texts, and where each text ends."""
     if not _memo:
-        _memo.append(Memo(lambda chunks: flat([_tokens(c) for c in chunks], np.uint64), np.uint64))
+        _memo.append(Memo(lambda chunks: flat([_tokens(c) for c in chunks], np.uint64), np.uint64, "templates"))
     chunks = [t.replace("\n", " \n ").split(" ") for t in texts]
     if _memo[0].full():
         _memo[0].clear()

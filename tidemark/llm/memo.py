@@ -13,8 +13,11 @@ from itertools import chain
 
 import numpy as np
 
-MOST_CHUNKS = 1_000_000
-MOST_CHARACTERS = 16_000_000
+#: Bounds of one memo: its chunks, and characters for each of them on average.
+MOST_CHUNKS = 250_000
+MOST_CHARACTERS = 16
+
+_owners: dict[str, list[Memo]] = {}
 
 
 def flat(lists: list[Iterable[int]], dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -24,15 +27,22 @@ def flat(lists: list[Iterable[int]], dtype) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Memo:
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype):
-        """``learn`` gives the ids of chunks that are not known yet, as ``flat`` does."""
-        self.learn, self.dtype = learn, dtype
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype, owner: str, most: int = MOST_CHUNKS):
+        """``learn`` gives the ids of chunks that are not known yet, as ``flat`` does.
+
+        A Python worker serves one operator's tasks after another's: it keeps the
+        memos of one ``owner`` at a time.
+        """
+        self.learn, self.dtype, self.owner, self.most = learn, dtype, owner, most
+        _owners.setdefault(owner, []).append(self)
         self.clear()
 
     def full(self) -> bool:
-        return len(self.index) > MOST_CHUNKS or self.characters > MOST_CHARACTERS
+        return len(self.index) > self.most or self.characters > self.most * MOST_CHARACTERS
 
     def clear(self) -> None:
+        if not getattr(self, "index", True):
+            return
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, self.dtype)
         self.lengths = np.zeros(1 << 14, np.int64)
@@ -48,6 +58,10 @@ class Memo:
 
     def add(self, texts: list[list[str]]) -> None:
         """Learn all chunks of the texts; after this ``of`` answers for them."""
+        for owner, memos in _owners.items():
+            if owner != self.owner:
+                for memo in memos:
+                    memo.clear()
         missing = list(set().union(*texts).difference(self.index)) if texts else []
         if not missing:
             return

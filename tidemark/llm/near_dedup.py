@@ -61,7 +61,7 @@ def _learn(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(texts: list[list[bytes]]) -> list[np.ndarray]:
     if not _memo:
-        _memo.append(Memo(_learn, np.uint64))
+        _memo.append(Memo(_learn, np.uint64, "words"))
     if _memo[0].full():
         _memo[0].clear()
     _memo[0].add(texts)

@@ -35,6 +35,8 @@ SPACE = "▁".encode()
 #: Kinds of pieces in the model file (fixed values of its format).
 UNKNOWN, CONTROL, USER_DEFINED, BYTE = 2, 3, 4, 6
 SLICE = 1 << 20
+#: Chunks that a task keeps the ids of.
+MOST_CHUNKS = 500_000
 #: Texts with runs of spaces, or spaces at an end, are encoded whole.
 ODD = re.compile("^ |  | $|▁")
 
@@ -169,7 +171,7 @@ class Encoder:
         self.names = [str(i) for i in range(len(self.surface))]
         self.normalise = Normaliser(model.normalizer_spec, symbols)
         self.separable = self._separable(model.normalizer_spec)
-        self.memo = Memo(self._learn, np.int32)
+        self.memo = Memo(self._learn, np.int32, "pieces", MOST_CHUNKS)
 
     def _separable(self, spec) -> bool:
         """Whether chunks between single spaces are encoded independently of each other."""

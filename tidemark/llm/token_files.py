@@ -45,6 +45,8 @@ END_ID = 2
 #: Keys of one block, and the ids after which a block is closed all the same.
 SPAN = 1024
 BLOCK_IDS = 1 << 22
+#: Chunks that a task keeps the ids of.
+MOST_WORDS = 1_000_000
 SIGNS = ".,!#$%&*|?;:"
 KEYS_PER_BUCKET = 4
 BLOCKS = "part int, block int, shard long, first long, n_ids long, width int, nulls int, keys binary, ends binary, index binary, payload binary"
@@ -67,8 +69,8 @@ class Encoder:
         self.last = np.zeros(size, bool)  # pieces that end a word
         self.last[[i for piece, i in self.library.get_vocab().items() if piece.endswith("</w>")]] = True
         self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)", re.IGNORECASE)
-        self.units = Memo(self._learn_units, self.dtype)
-        self.memo = Memo(self._learn, np.int32)
+        self.units = Memo(self._learn_units, self.dtype, "token ids", MOST_WORDS)
+        self.memo = Memo(self._learn, np.int32, "token ids", MOST_WORDS)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
