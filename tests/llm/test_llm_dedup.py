@@ -108,6 +108,16 @@ def test_repeats(spark, monkeypatch, hot, part):
     assert {i: (a, b, c, bytes(k)) for i, (a, b, c, k) in got.items()} == want
 
 
+def test_repeats_far_inside_a_long_text_after_a_short_one(spark):
+    rng = random.Random(2)
+    passage = rng.randbytes(150).hex()
+    long = rng.randbytes((9 << 20) // 4).hex() + passage + "z"
+    rows = [(1, "a short row"), (2, long), (3, "<" + passage + ">"), (4, "the end")]
+    docs = table(spark, rows).coalesce(1)
+    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in suffix_dedup.without_repeats(docs).collect()}
+    assert got == {1: (0, 0, b"a short row"), 2: (0, 0, long.encode()), 3: (300, 1, b"<>"), 4: (0, 0, b"the end")}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(max_size=200), st.integers(1, 4))
 def test_suffix_array(data, letters):

@@ -75,6 +75,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     The 40-bit hash of each anchor, its first string's place, and how many
     strings (one byte apart) have this anchor; strings cross no text's end.
     """
+    assert len(data) <= 1 << int(PLACE_BITS)
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return none, none, none
@@ -96,16 +97,19 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 
 def _parts(raw: list[bytes]):
-    """Texts put together in parts of bounded size; long texts in parts that overlap by a string less a byte."""
-    for a, b in slices(raw, PART):
-        if b - a == 1 and len(raw[a]) > PART:
-            for c in range(0, max(1, len(raw[a]) - LENGTH + 1), PART):
-                piece = raw[a][c : c + PART + LENGTH - 1]
-                yield np.array([a]), np.array([c]), np.frombuffer(piece, np.uint8), np.array([0]), np.array([len(piece)])
-        else:
-            ends = np.cumsum([len(t) for t in raw[a:b]])
+    """Texts put together in parts of bounded size; every long text alone, in parts that overlap by a string less a byte."""
+    done = 0
+    for long in [*(i for i, t in enumerate(raw) if len(t) > PART), len(raw)]:
+        for a, b in slices(raw[done:long], PART):
+            texts = raw[done + a : done + b]
+            ends = np.cumsum([len(t) for t in texts])
             starts = np.concatenate([[0], ends[:-1]])
-            yield np.arange(a, b), np.zeros(b - a, np.int64), np.frombuffer(b"".join(raw[a:b]), np.uint8), starts, ends
+            yield np.arange(done + a, done + b), np.zeros(b - a, np.int64), np.frombuffer(b"".join(texts), np.uint8), starts, ends
+        if long < len(raw):
+            for c in range(0, max(1, len(raw[long]) - LENGTH + 1), PART):
+                piece = raw[long][c : c + PART + LENGTH - 1]
+                yield np.array([long]), np.array([c]), np.frombuffer(piece, np.uint8), np.array([0]), np.array([len(piece)])
+        done = long + 1
 
 
 def _anchored(batches):
