@@ -95,6 +95,22 @@ def test_archive_round_trip(spark, tmp_path):
     assert records.where("gap IS NOT NULL").count() == 0
 
 
+def test_long_urls_are_read_back(spark, tmp_path):
+    urls = ["data:," + "x" * 100_000, "http://a/WARC/1.1", "data:," + "WARC/1.1 " * 50_000]
+    pages = spark.createDataFrame([(i, u, f"<p>{i}</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    warc.write(pages, str(tmp_path / "w"))
+    records = warc.read(spark, str(tmp_path / "w"))
+    assert sorted(r.page_id for r in warc.pages(records).collect()) == [0, 1, 2]
+    assert {r.target_uri for r in records.collect()} == {u.strip() for u in urls}
+
+
+def test_a_header_ends_before_the_next_record():
+    good = _record(b"payload")
+    cut = b"WARC/1.0\r\nWARC-Type: resource\r\n"
+    assert [(a, b) for a, b, r in warc.salvage(cut + good) if isinstance(r, str)] == [(0, len(cut))]
+    assert [r["payload"] for *_, r in warc.salvage(cut + good) if isinstance(r, dict)] == [b"payload"]
+
+
 def test_small_payloads_are_written_in_full(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab")], "page_id long, url string, html string")
     warc.write(pages, str(tmp_path / "w"), smallest_payload=3)

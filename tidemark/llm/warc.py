@@ -39,7 +39,7 @@ FILE_RECORDS = 2000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 STARTS = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
-LONGEST_HEADER = 1 << 16
+VERSION_LINE = re.compile(rb"\nWARC/1\.[01]\r\n")
 
 
 def base32_of_hex(digest):
@@ -108,8 +108,8 @@ def _parse(data: bytes, at: int) -> dict | str:
     """The record at ``at``, or what is wrong with it."""
     if not VERSION.match(data, at):
         return "no version line"
-    head_end = data.find(b"\r\n\r\n", at, at + LONGEST_HEADER)
-    if head_end < 0:
+    head_end = data.find(b"\r\n\r\n", at)
+    if head_end < 0 or VERSION_LINE.search(data, at, head_end):  # the next record's
         return "no end of the header"
     lines = data[at:head_end].decode("utf-8", "replace").split("\r\n")[1:]
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
