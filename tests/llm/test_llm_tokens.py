@@ -138,3 +138,34 @@ def test_salvage_after_damage():
     start = len(good[0])
     assert gaps[0] == (start, start + len(broken) + 5) and gaps[1][1] == len(data)
     assert sum(b - a for a, b in {(a, b) for a, b, _ in found}) == len(data)
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_within_one_member(level):
+    rng = np.random.default_rng(0)
+    bodies = [rng.bytes(50_000).hex().encode() for _ in range(6)]
+    good = [_record(b) for b in bodies]
+    broken = good[2].replace(bodies[2][:9], b"not these")
+
+    def read(data):
+        found = list(warc.salvage(data))
+        assert sum(b - a for a, b in {(a, b) for a, b, _ in found}) == len(data)
+        return [bodies.index(r["payload"]) for *_, r in found if isinstance(r, dict)], [(a, b) for a, b, r in found if isinstance(r, str)]
+
+    # A bad record inside a whole member.
+    whole = gzip.compress(b"".join([*good[:2], broken, *good[3:]]), level)
+    assert read(whole + good[0]) == ([0, 1, 3, 4, 5, 0], [(0, len(whole))])
+    # A member that ends early, alone and before others.
+    whole = gzip.compress(b"".join(good), level)
+    early = whole[: len(whole) * 3 // 4]
+    assert read(early)[0] == [0, 1, 2, 3]
+    got, gaps = read(early + gzip.compress(good[5], level) + good[4])
+    assert got == [0, 1, 2, 3, 5, 4] and len(gaps) == 1
+    # Bad bytes in the middle, a bad check sum at the end.
+    at = len(whole) * 3 // 5
+    bad = whole[:at] + b"\0" * 5000 + whole[at + 5000 :]
+    assert set(read(bad)[0]) >= {0, 1, 2} and 3 not in read(bad)[0]
+    assert read(whole[:-8] + bytes(8) + good[1])[0] == [0, 1, 2, 3, 4, 5, 1]
+    # A member without records is a gap.
+    member = gzip.compress(b"no record", level)
+    assert read(member + good[0]) == ([0], [(0, len(member))])

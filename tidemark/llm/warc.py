@@ -9,8 +9,9 @@ and Spark broadcasts them only below its own size threshold.
 
 Reading takes records one after the other, plain or as gzip members. A record
 counts if its version line, length, closing blank line and digest are right.
-Where one fails, the reader looks for the next place at which a whole record or
-member is valid, goes on there, and reports the bytes between as a gap.
+Where one fails, the reader looks for the next place at which a record is valid,
+goes on there, and reports the bytes between as a gap. A member is unpacked as far
+as it goes, also if it is damaged or ends early, and its content is read likewise.
 
 A null html is an empty payload; payloads of equal pages may be empty too. Null
 urls are written as empty. Rows that repeat a page_id are written one by one;
@@ -138,34 +139,67 @@ def sha1_base32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _member(data: bytes, at: int) -> dict | str:
-    """All records of the gzip member at ``at``."""
-    unpack = zlib.decompressobj(31)
-    try:
-        inner = unpack.decompress(data[at:]) + unpack.flush()
-    except zlib.error as error:
-        return f"gzip: {error}"
+def _inflate(data: bytes, at: int) -> tuple[bytes, int | None, str]:
+    """All that the gzip member at ``at`` gives, its end (None if damaged), and what is wrong with it."""
+    unpack, out, size = zlib.decompressobj(31), [], 1 << 16
+    while at < len(data) and not unpack.eof:
+        piece, before = data[at : at + size], unpack.copy()
+        try:
+            out.append(unpack.decompress(piece))
+            at += len(piece)
+        except zlib.error as error:  # output of the failing step is lost: make the step smaller
+            unpack = before
+            if size > 1:
+                size //= 2
+                continue
+            try:  # what the bad byte still gives
+                while got := unpack.decompress(piece, 1):
+                    out.append(got)
+                    piece = unpack.unconsumed_tail
+            except zlib.error:
+                pass
+            return b"".join(out), None, f"gzip: {error}"
     if not unpack.eof:
-        return "gzip: the member ends early"
-    found, here = [], 0
-    while here < len(inner):
-        record = _parse(inner, here)
-        if isinstance(record, str):
-            return record
-        found.append(record)
-        here = record["end"]
-    return {"end": len(data) - len(unpack.unused_data), "records": found}
-
-
-def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
-    """(start, end, record) in order; a gap has the reason in place of the record."""
+        return b"".join(out), None, "gzip: the member ends early"
+    return b"".join(out), at - len(unpack.unused_data), ""
+
+
+def _member(data: bytes, at: int) -> dict | str:
+    """All valid records of the gzip member at ``at``, with the gaps between them.
+
+    A damaged member ends where its last valid record has been unpacked. A record that
+    noise follows there, neither another record nor the end, does not count.
+    """
+    inner, end, reason = _inflate(data, at)
+    found = list(salvage(inner, packed=False))
+    valid = [stop for _, stop, record in found if not isinstance(record, str)]
+    if end is None and valid and not b"WARC/1.".startswith(inner[valid[-1] : valid[-1] + 7]):
+        valid.pop()
+    if not valid and (inner or reason):
+        return reason or found[0][2]
+    if end is None:
+        unpack = zlib.decompressobj(31)
+        unpack.decompress(memoryview(data)[at:], valid[-1] - 1)  # not on to the check sum
+        end = len(data) - len(unpack.unconsumed_tail)
+        found = [x for x in found if x[1] <= valid[-1]]
+    records = [f"{record}, from byte {a} to {b} of the member's content" if isinstance(record, str) else record for a, b, record in found]
+    return {"end": end, "records": records, "reason": reason}
+
+
+def salvage(data: bytes, packed: bool = True) -> Iterator[tuple[int, int, dict | str]]:
+    """(start, end, record) in order; a gap has the reason in place of the record.
+
+    Records of a gzip member, and gaps in its content, have the range of the member.
+    Without ``packed``, there are no members.
+    """
     at = gap = 0
     reason = ""
+    starts = STARTS if packed else VERSION
     while at < len(data):
-        found = _member(data, at) if data[at : at + 3] == b"\x1f\x8b\x08" else _parse(data, at)
+        found = _member(data, at) if packed and data[at : at + 3] == b"\x1f\x8b\x08" else _parse(data, at)
         if isinstance(found, str):
             reason = reason or found
-            ahead = STARTS.search(data, at + 1)
+            ahead = starts.search(data, at + 1)
             at = ahead.start() if ahead else len(data)
             continue
         if gap < at:
@@ -173,7 +207,10 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
         for record in found.get("records", [found]):
             yield at, found["end"], record
         at = gap = found["end"]
-        reason = ""
+        reason = found.get("reason", "")
+        if reason and at < len(data):  # the rest of a damaged member
+            ahead = starts.search(data, at)
+            at = ahead.start() if ahead else len(data)
     if gap < at:
         yield gap, at, reason
 
