@@ -125,6 +125,31 @@ def test_templates(spark, text, hit):
     assert [r.item_id for r in joined] == ([5] if hit else [])
 
 
+LONG = (
+    "The old mill by the river grinds 12 sacks of corn before noon and the miller rests for a while under the tall tree "
+    "near the bridge. After the rest the new mill on the hill grinds 12 sacks of rye until the sun goes down behind the "
+    "woods. How many sacks of corn and rye did both of the mills grind on this day, and how many more are left to grind?"
+)
+SAME = "A farmer puts 2 red apples and 2 green pears into the big basket and then walks slowly home with Anna and Bob over the long bridge."
+TWO = SAME.replace("2 red", "12 red").replace("2 green", "30 green")
+
+
+@pytest.mark.parametrize(
+    "item,text,hit",
+    [
+        (LONG, LONG.replace("12 sacks of rye", "13 sacks of rye"), True),
+        (TWO, TWO.replace("12", "7").replace("30", "7"), True),
+        (SAME, SAME.replace("2 red", "3 red").replace("2 green", "5 green"), True),
+        (SAME, SAME.replace("Anna", "Carl").replace("Bob", "Carl").replace("2 ", "4 "), True),
+        (ITEM, ITEM.replace("then Anna", "then Clara").replace("12 apples", "11 apples").replace("If Anna", "If Bernd").split(", how")[0], False),
+    ],
+)
+def test_inconsistent_slots_cost_only_their_windows(spark, item, text, hit):
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    got = decontaminate.decontaminate(table(spark, [(1, f"Well. {text} That is it.")]), items).collect()
+    assert [r.contaminated for r in got] == [hit]
+
+
 @given_tables
 def test_given_items_are_found(spark):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))

@@ -8,11 +8,13 @@ of their own length. Items' windows are few as a rule: up to ``MOST_BROADCAST``
 of them, counted first, tasks drop windows of documents that no item has before
 the join. Beyond that, all windows are joined by a shuffle.
 
-Windows of one document, item and offset are one alignment. What fills its
-placeholders must correspond one to one (the same number for the same number
-throughout); windows of fewer than ``LITERALS`` words count only if the fillings
-are equal. A document is contaminated by an item if consistent alignments hold
-at least ``ENOUGH`` of the item's windows, or half of them where that is less.
+Windows of one document, item and offset are one alignment. Those whose fillings
+are equal count. Of the others, each run of neighbouring windows counts if it has
+one name of the document for each name of the item; numbers and units may be drawn
+anew at each place, as equal ones may be equal by chance. Windows of fewer than
+``LITERALS`` words count only if the fillings are equal. A document is contaminated
+by an item if at least ``ENOUGH`` of the item's windows count in alignments, or half
+of them where that is less.
 
 Null and empty texts have no windows and stay. Null item ids are ids like
 others. Rows that repeat a document are judged alike; rows that repeat a doc_id
@@ -21,6 +23,7 @@ with another text on their own. Documents' extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 
@@ -46,6 +49,8 @@ UNITS = frozenset(
 #: Low bits of a token: what it is. The rest is a hash of the word.
 WORD, NUMBER, BREAK, UNIT_WORD = 0, 1, 2, 3
 CAPITAL, ENDS = 4, 8
+#: Low bits of a filling: number, name or unit.
+NAME = 2
 NUMBER_CODE, NAME_CODE, UNIT_CODE = (np.uint64(x << 4) for x in (1, 2, 3))
 PARTS = re.compile(r"(?P<number>\d+(?:[.,:/]\d+)*)|(?P<word>[^\W\d_]+(?:['’\-][^\W\d_]+)*)|(?P<unit>[%€$£]|°[CF]\b)|(?P<end>[.!?]+)")
 FACTOR = 0x9E3779B97F4A7C15
@@ -106,7 +111,8 @@ def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     number, unit = kind == NUMBER, (kind == UNIT_WORD) & (before == NUMBER)
     name = (coded & np.uint64(CAPITAL) > 0) & ~opens & ~unit
     code[number], code[unit], code[name] = NUMBER_CODE, UNIT_CODE, NAME_CODE
-    filling = np.where(number | unit | name, word, np.uint64(0))
+    sort = number * np.uint64(NUMBER) + name * np.uint64(NAME) + unit * np.uint64(UNIT_WORD)
+    filling = np.where(sort > 0, word | sort, np.uint64(0))
     again = np.zeros(len(coded), bool)  # the rest of a name
     again[1:] = name[1:] & name[:-1] & (owner[1:] == owner[:-1])
     code, filling, owner = code[~again], filling[~again], owner[~again]
@@ -169,6 +175,28 @@ def _window_rows(rows: DataFrame, sizes=None, only=None) -> DataFrame:
     return rows.mapInArrow(run, ROWS)
 
 
+def _counted(found: list[dict]) -> list[int]:
+    """Places in the item of an alignment's windows that count."""
+    windows: dict = {}
+    for f in found:
+        if f["item_at"] not in windows or (f["equal"], -len(f["names"])) > (windows[f["item_at"]]["equal"], -len(windows[f["item_at"]]["names"])):
+            windows[f["item_at"]] = f
+    changed = sorted(at for at, f in windows.items() if not f["equal"])
+    counted = [at for at, f in windows.items() if f["equal"]]
+    for _, run in itertools.groupby(enumerate(changed), lambda x: x[1] - x[0]):
+        run = [at for _, at in run]
+        names = {(p["item"], p["doc"]) for at in run for p in windows[at]["names"]}
+        if len(names) == len({item for item, _ in names}):
+            counted += run
+    return counted
+
+
+def _aligned(batches):
+    for batch in batches:
+        places = pa.array([_counted(f) for f in batch["found"].to_pylist()], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_key", "item_id", "item_tokens")), places], ["doc_key", "item_id", "item_tokens", "places"])
+
+
 def leaks(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """doc_key, item_id and the number of its windows that a document holds, for contaminated documents.
 
@@ -193,21 +221,14 @@ def leaks(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADCAS
     equal = F.col("fillings") == F.col("item_fillings")
     size = F.size("item_fillings")
     joined = joined.where((literals >= F.least(F.lit(LITERALS), F.ceil(size / 2))) | equal)
-    # A slot that overlapping windows share is one pair: its place in the item tells it apart.
-    pairs = F.filter(
-        F.zip_with("item_fillings", "fillings", lambda a, b: F.struct(a.alias("item"), b.alias("doc"))), lambda p: p["item"] != 0
-    )
-    slots = F.array_distinct(F.flatten(F.collect_set("pairs")))
-    one_to_one = [
-        F.size(F.array_distinct(F.transform("slots", lambda p: p["item"]))) == F.size("slots"),
-        F.size(F.array_distinct(F.transform("slots", lambda p: p["doc"]))) == F.size("slots"),
-    ]
+    slots = F.zip_with("item_fillings", "fillings", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    names = F.filter(slots, lambda p: p["item"].bitwiseAND(F.lit(3)) == NAME)
     aligned = (
-        joined.withColumn("pairs", pairs)
-        .withColumn("offset", F.col("at") - F.col("item_at"))
+        joined.select("doc_key", "item_id", "item_tokens", (F.col("at") - F.col("item_at")).alias("offset"), F.struct("item_at", equal.alias("equal"), names.alias("names")).alias("window"))
         .groupBy("doc_key", "item_id", "offset", "item_tokens")
-        .agg(F.collect_set("item_at").alias("places"), slots.alias("slots"))
-        .where(one_to_one[0] & one_to_one[1])
+        .agg(F.collect_set("window").alias("found"))
+        .select("doc_key", "item_id", "item_tokens", "found")
+        .mapInArrow(_aligned, "doc_key long, item_id long, item_tokens int, places array<int>")
     )
     held_windows = F.size(F.array_distinct(F.flatten(F.collect_list("places"))))
     of_item = F.col("item_tokens") - F.least("item_tokens", F.lit(WINDOW)) + 1
