@@ -150,6 +150,31 @@ def test_inconsistent_slots_cost_only_their_windows(spark, item, text, hit):
     assert [r.contaminated for r in got] == [hit]
 
 
+WHO = "Who wrote the play Hamlet?"
+NAMES = "Anna has 12 apples. Bob has 5 more. Anna eats 3. Bob eats 2. How many are left?"
+
+
+@pytest.mark.parametrize(
+    "item,text,hit",
+    [
+        (WHO, f"Q: {WHO} A: not me", True),
+        (WHO, f"Question: {WHO}", True),
+        (WHO, f"They asked, {WHO}", True),
+        (WHO, f'She said "{WHO}"', True),
+        ("Name the longest river of Europe", "Task - Name the longest river of Europe", True),
+        (WHO, "Shakespeare wrote the play Hamlet.", False),
+        (NAMES, "Carl has 7 apples. Dora has 9 more. Carl eats 4. Dora eats 6. How many are left?", True),
+        (NAMES, "So, Carl has 7 apples, Dora has 9 more, Carl eats 4, Dora eats 6, how many are left?", True),
+        (NAMES, NAMES.lower(), True),
+        (NAMES, "Carl has 7 dogs. Dora sees 9 cats. How many are left?", False),
+    ],
+)
+def test_openers_are_read_either_way(spark, item, text, hit):
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    got = decontaminate.decontaminate(table(spark, [(1, text)]), items).collect()
+    assert [r.contaminated for r in got] == [hit]
+
+
 @given_tables
 def test_given_items_are_found(spark):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))

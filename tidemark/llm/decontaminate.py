@@ -2,7 +2,9 @@
 
 A text becomes a template: words in lower case without the signs around them,
 numbers, names (capitalised inside a sentence; neighbours are one name) and
-units (after a number) as typed placeholders. Windows of ``WINDOW`` template
+units (after a number) as typed placeholders. A capitalised word that opens a
+sentence, a line, a quote or what follows a colon is read both as a word and as a
+name; ``COMMON`` words are names only beside a name. Windows of ``WINDOW`` template
 tokens of documents and items meet by a hash join; shorter items are one window
 of their own length. Items' windows are few as a rule: up to ``MOST_BROADCAST``
 of them, counted first, tasks drop windows of documents that no item has before
@@ -46,13 +48,24 @@ UNITS = frozenset(
     "ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hour hours day days week "
     "weeks month months year years mph kmh degree degrees °c °f watt watts kw volt volts hz".split()
 )
+#: Words that open sentences and are no names (fixed values).
+COMMON = frozenset(
+    "who whom whose what which when where why how the this that these those there it he she we they you his her its our their your "
+    "my if in on at of to for from by with and or but so as after before while during since then than is are was were do does did "
+    "has have had can could would should not no all each every some many much wer wen wem wessen was welche welcher welches wann wo "
+    "warum wie der die das den dem des ein eine einen einem einer es er sie wir ihr wenn im am an auf bei mit von zu und oder aber nach "
+    "vor ist sind war waren hat haben kann nicht alle jede jeder qui que quoi quel quelle quels quelles quand où pourquoi comment "
+    "combien le la les un une des ce cette ces il elle nous vous ils elles si dans sur à de du pour par avec et ou mais est sont a "
+    "quién qué cuál cuáles cuándo dónde cómo cuánto cuánta cuántos cuántas el los las una unos unas este esta estos en por con y o "
+    "pero es son él ella ellos".split()
+) - {"a", "y", "o"}
 #: Low bits of a token: what it is. The rest is a hash of the word.
 WORD, NUMBER, BREAK, UNIT_WORD = 0, 1, 2, 3
 CAPITAL, ENDS = 4, 8
 #: Low bits of a filling: number, name or unit.
 NAME = 2
 NUMBER_CODE, NAME_CODE, UNIT_CODE = (np.uint64(x << 4) for x in (1, 2, 3))
-PARTS = re.compile(r"(?P<number>\d+(?:[.,:/]\d+)*)|(?P<word>[^\W\d_]+(?:['’\-][^\W\d_]+)*)|(?P<unit>[%€$£]|°[CF]\b)|(?P<end>[.!?]+)")
+PARTS = re.compile(r"(?P<number>\d+(?:[.,:/]\d+)*)|(?P<word>[^\W\d_]+(?:['’\-][^\W\d_]+)*)|(?P<unit>[%€$£]|°[CF]\b)|(?P<end>[.!?:\"“”„«»‘’']+)")
 FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -82,11 +95,15 @@ def _tokens(chunk: str) -> list[int]:
     return out
 
 
+_COMMON = np.sort(np.array([_hash(x) for x in COMMON], np.uint64))
 _memo: list[Memo] = []
 
 
-def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template codes and fillings (0 for words) of all texts, and where each text ends."""
+def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template codes and fillings (0 for words) of all texts, which are words or names, and where each text ends.
+
+    Words that may be names have the code of the word and the filling of the name.
+    """
     if not _memo:
         _memo.append(Memo(lambda chunks: flat([_tokens(c) for c in chunks], np.uint64), np.uint64, "templates"))
     chunks = [t.replace("\n", " \n ").split(" ") for t in texts]
@@ -109,27 +126,62 @@ def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = coded & ~np.uint64(15)
     code = word.copy()
     number, unit = kind == NUMBER, (kind == UNIT_WORD) & (before == NUMBER)
-    name = (coded & np.uint64(CAPITAL) > 0) & ~opens & ~unit
+    capital = (coded & np.uint64(CAPITAL) > 0) & ~unit
+    common = capital.copy()
+    common[capital] = np.isin(word[capital], _COMMON)
+    name = capital & ~opens
+    near = owner[1:] == owner[:-1]
+    beside = np.zeros(len(coded), bool)  # a name
+    beside[1:] |= near & name[:-1]
+    beside[:-1] |= near & name[1:]
+    name &= ~common | beside
+    either = capital & opens & ~common
     code[number], code[unit], code[name] = NUMBER_CODE, UNIT_CODE, NAME_CODE
-    sort = number * np.uint64(NUMBER) + name * np.uint64(NAME) + unit * np.uint64(UNIT_WORD)
+    sort = number * np.uint64(NUMBER) + (name | either) * np.uint64(NAME) + unit * np.uint64(UNIT_WORD)
     filling = np.where(sort > 0, word | sort, np.uint64(0))
     again = np.zeros(len(coded), bool)  # the rest of a name
     again[1:] = name[1:] & name[:-1] & (owner[1:] == owner[:-1])
-    code, filling, owner = code[~again], filling[~again], owner[~again]
-    return code, filling, np.searchsorted(owner, np.arange(len(texts)), side="right")
+    code, filling, either, owner = code[~again], filling[~again], either[~again], owner[~again]
+    return code, filling, either, np.searchsorted(owner, np.arange(len(texts)), side="right")
+
 
+def _windows(code: np.ndarray, either: np.ndarray, ends: np.ndarray, size: int):
+    """Places and hashes of windows of ``size`` codes within a text, for each reading of their words that may be names.
 
-def _windows(code: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every window of ``size`` codes and whether it lies within one text."""
+    A bit of the reading says whether the window's first, second ... such word is a name.
+    """
     n = len(code) - size + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
+        return
+    text = np.searchsorted(ends, np.arange(len(code)), side="right")
+    at = np.flatnonzero(text[:n] == text[size - 1 :])
     total = np.full(n, size, np.uint64)
     for i in range(size):
         total = (total ^ code[i : i + n]) * np.uint64(FACTOR)
         total ^= total >> np.uint64(29)
-    text = np.searchsorted(ends, np.arange(len(code)), side="right")
-    return total, text[:n] == text[size - 1 :]
+    yield at, total[at], 0
+    before = np.concatenate([[0], np.cumsum(either)])
+    words = (before[size:] - before[:-size])[at]
+    for reading in range(1, 1 << size):
+        some = words >= reading.bit_length() if reading & (reading - 1) == 0 else some
+        here = at[some]
+        if not len(here):
+            return
+        total, seen = np.full(len(here), size, np.uint64), np.zeros(len(here), np.int64)
+        for i in range(size):
+            is_either = either[here + i]
+            total = (total ^ np.where(is_either & (reading >> seen & 1 > 0), NAME_CODE, code[here + i])) * np.uint64(FACTOR)
+            total ^= total >> np.uint64(29)
+            seen += is_either
+        yield here, total, reading
+
+
+def _fillings(filling: np.ndarray, either: np.ndarray, at: np.ndarray, size: int, reading: int) -> np.ndarray:
+    """What fills the windows at ``at`` in this reading."""
+    places = at[:, None] + np.arange(size)
+    words = either[places]
+    seen = np.cumsum(words, 1) - words
+    return np.where(words & (reading >> seen & 1 == 0), np.uint64(0), filling[places]).astype(np.int64)
 
 
 ROWS = "id long, at int, tokens int, window long, fillings array<long>"
@@ -137,28 +189,27 @@ ROWS = "id long, at int, tokens int, window long, fillings array<long>"
 
 def _rows(ids, texts: list[str], sizes, only: np.ndarray | None):
     """Window rows of texts; ``sizes`` None: one size for each text, of its own length."""
-    code, filling, ends = templates(texts)
+    code, filling, either, ends = templates(texts)
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     lengths = ends - starts
-    for size in sizes if sizes is not None else np.unique(np.clip(lengths[lengths > 0], None, WINDOW)).tolist():
-        hashes, inside = _windows(code, ends, size)
+    sizes_here = sizes if sizes is not None else np.unique(np.clip(lengths[lengths > 0], None, WINDOW)).tolist()
+    for size, (at, hashes, reading) in ((s, w) for s in sizes_here for w in _windows(code, either, ends, s)):
         if only is not None:
-            place = np.minimum(np.searchsorted(only, hashes), len(only) - 1)
-            inside &= only[place] == hashes
-        at = np.flatnonzero(inside)
+            wanted = only[np.minimum(np.searchsorted(only, hashes), len(only) - 1)] == hashes
+            at, hashes = at[wanted], hashes[wanted]
         text = np.searchsorted(ends, at, side="right")
         if sizes is None:
             fits = np.minimum(lengths[text], WINDOW) == size
-            at, text = at[fits], text[fits]
+            at, text, hashes = at[fits], text[fits], hashes[fits]
         for a in range(0, len(at), 20_000):
             here, own = at[a : a + 20_000], text[a : a + 20_000]
-            fillings = filling[here[:, None] + np.arange(size)].astype(np.int64)
+            fillings = _fillings(filling, either, here, size, reading)
             flat = pa.ListArray.from_arrays(np.arange(0, fillings.size + 1, size, dtype=np.int32), fillings.ravel())
             columns = [
                 ids.take(pa.array(own)),
                 pa.array((here - starts[own]).astype(np.int32)),
                 pa.array(lengths[own].astype(np.int32)),
-                pa.array(hashes[here].view(np.int64)),
+                pa.array(hashes[a : a + 20_000].view(np.int64)),
                 flat,
             ]
             yield pa.RecordBatch.from_arrays(columns, ["id", "at", "tokens", "window", "fillings"])
