@@ -1,0 +1,264 @@
+"""Whitening, the prefix trie and exact top-k against brute force, and their edge cases."""
+
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm import prefix_trie, voronoi_topk, whitening
+from tidemark.llm.common import workspace
+from tidemark.llm.vectors import integer_vectors
+
+VECTORS = "vec_id long, embedding array<float>, x int, class string, place int, best int"
+
+
+def embeddings(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "c", 2, 3) for i, v in rows], VECTORS)
+
+
+def random_rows(n, dims, seed, copies=0):
+    draw = random.Random(seed)
+    rows = [(i, [draw.gauss(0, 0.3) for _ in range(dims)]) for i in range(n)]
+    rows += [(n + i, rows[7][1]) for i in range(copies)]
+    draw.shuffle(rows)
+    return rows
+
+
+def integers(rows):
+    return {i: [math.floor(256 * float(np.float32(c))) for c in v] for i, v in rows}
+
+
+# -- op11 ----------------------------------------------------------------------------------
+
+
+def test_whitening_equals_brute_force(spark):
+    rows = random_rows(300, 7, 1, copies=150)
+    found = whitening.whiten(embeddings(spark, rows)).collect()
+    x = integers(rows)
+    fit = np.array(sorted(set(map(tuple, x.values()))))
+    n, sums = len(fit), fit.sum(0)
+    assert len(found) == 4 * len(rows) and {r.n for r in found} == {n} == {300}
+    centred = fit - sums / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    for r in found:
+        own = np.array(x[r.vec_id])
+        assert int(r.deviation) == sum((n * int(a) - int(s)) ** 2 for a, s in zip(own, sums, strict=True))
+        value, axis = values[-r.component], axes[:, -r.component]
+        assert abs(r.whitened) == pytest.approx(abs((own - sums / n) @ axis) / math.sqrt(value), abs=1e-9)
+        assert r.explained == pytest.approx(value / values.sum(), rel=1e-10)
+    assert found[0].identity_error < 1e-12
+
+
+def test_signs_are_the_same_for_all_rows(spark):
+    rows = random_rows(50, 3, 2)
+    found = whitening.whiten(embeddings(spark, rows)).where("component = 1").collect()
+    fit = np.array([integers(rows)[r.vec_id] for r in found]) * 1.0
+    axis = np.linalg.lstsq(fit - fit.mean(0), np.array([r.whitened for r in found]), rcond=None)[0]
+    assert np.allclose((fit - fit.mean(0)) @ axis, [r.whitened for r in found])
+
+
+def test_polarisation_is_exact_beyond_doubles():
+    draw = random.Random(3)
+    values = [[draw.randrange(-(1 << 51), 1 << 51) for _ in range(5)] for _ in range(64)]
+    assert whitening.exact_squares(np.array(values)).tolist() == [sum(r[i] ** 2 for r in values) for i in range(5)]
+
+
+def test_whitening_leaves_out_what_is_no_vector(spark):
+    rows = random_rows(20, 3, 4) + [(100, None), (101, [1.0, None, 0.0]), (102, [1.0, float("nan"), 0.0]), (103, [float("inf"), 0.0, 0.0])]
+    rows += [(104, [0.5, 0.5]), (None, [0.25, 0.5, 0.75]), (3, [0.1, 0.2, 0.3])]
+    found = whitening.whiten(embeddings(spark, rows)).collect()
+    assert sorted({r.vec_id for r in found if r.vec_id is not None}) == list(range(20))
+    assert sum(r.vec_id == 3 for r in found) == 6 and sum(r.vec_id is None for r in found) == 3
+    assert {r.n for r in found} == {22}
+
+
+def test_whitening_without_rows_or_variance(spark):
+    assert whitening.whiten(embeddings(spark, [])).collect() == []
+    assert whitening.whiten(embeddings(spark, [(1, None)])).collect() == []
+    assert whitening.whiten(embeddings(spark, [(1, [])])).collect() == []
+    found = whitening.whiten(embeddings(spark, [(1, [0.5, 0.5]), (2, [0.5, 0.5])])).collect()
+    assert [(r.n, int(r.deviation), r.whitened, r.explained, r.identity_error) for r in found] == [(1, 0, 0.0, 0.0, 0.0)] * 4
+
+
+def test_entries_that_would_lose_bits_end_the_job(spark):
+    with pytest.raises(ValueError, match="too large"):
+        whitening.whiten(embeddings(spark, [(1, [1e30]), (2, [0.0])]))
+
+
+def test_negative_zero_and_tiny_entries(spark):
+    table, dims, largest = integer_vectors(embeddings(spark, [(1, [-0.0, -1e-30, 0.999 / 256])]), workspace(spark, "v"))
+    assert (table.first()["x"], dims, largest) == ([0, -1, 0], 3, 1)
+
+
+# -- op12 ----------------------------------------------------------------------------------
+
+TURNS = "conv_id long, turn long, role string, text string, place int, words int, k1 string, depth int"
+
+
+def conversations(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, "k", 3) for r in rows], TURNS)
+
+
+def brute_trie(rows):
+    own = {}
+    for c, turn, role, text in sorted(
+        ((c, t, r or "", x or "") for c, t, r, x in rows if c is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2], r[3])
+    ):
+        own.setdefault(c, []).append((role, text))
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(math.fmod(c, 20))
+        built[c] = tuple(own.get(base, [])[:h] + turns[h:])
+    members = {}
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    out = set()
+    for node, convs in members.items():
+        subtree = [m for m in members if m[: len(node)] == node]
+        leaves = [m for m in subtree if not any(len(o) == len(m) + 1 and o[:-1] == m for o in subtree)]
+        saved = sum((len(members[m]) - 1) * len(m[-1][1].encode().split()) for m in subtree if m)
+        ends = ",".join(map(str, sorted(c for c in convs if len(built[c]) == len(node))))
+        children = sum(len(m) == len(node) + 1 for m in subtree)
+        parent = min(members[node[:-1]]) if node else None
+        out.add((min(convs), len(node), parent, len(convs), children, len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+NODE = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def trie(frame):
+    found = [tuple(r[c] for c in NODE) for r in prefix_trie.prefix_trie(frame).collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def drawn_conversations(seed, n, longest):
+    draw = random.Random(seed)
+    texts = ["a b", "c", "", None, "d  e\tf", "é\x1f x"]
+    rows = []
+    for c in draw.sample(range(-60, 200), n):
+        for t in range(draw.randint(1, longest)):
+            rows.append((c, t if draw.random() > 0.05 else None, draw.choice(["user", "bot", None]), draw.choice(texts)))
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_trie_equals_brute_force(spark, seed):
+    rows = drawn_conversations(seed, 120, 6)
+    assert trie(conversations(spark, rows)) == brute_trie(rows)
+
+
+def test_trie_of_edge_cases(spark):
+    assert trie(conversations(spark, [])) == set()
+    assert trie(conversations(spark, [(None, 1, "user", "x")])) == set()
+    rows = [(21, 1, "user", "x"), (None, 1, "u", "y"), (40, None, None, None), (40, None, None, None), (40, 2, "a", "b c")]
+    rows += [(45, 1, "", ""), (45, 2, "", ""), (45, 3, "a", "b c"), (46, 1, "long", "w " * 200_000)]
+    assert trie(conversations(spark, rows)) == brute_trie(rows)
+
+
+def test_one_long_conversation_and_many_equal_ones_fill_many_tasks(spark, with_settings):
+    with_settings(**{"spark__sql__shuffle__partitions": "7", "spark__sql__adaptive__coalescePartitions__enabled": "false"})
+    rows = [(20, t, "user", f"t{t % 3}") for t in range(40)]
+    rows += [(c, t, "user", f"t{t}") for c in range(100, 140) for t in range(3)]
+    assert trie(conversations(spark, rows)) == brute_trie(rows)
+
+
+def test_running_sums_span_tasks(spark, with_settings):
+    with_settings(**{"spark__sql__shuffle__partitions": "9", "spark__sql__adaptive__coalescePartitions__enabled": "false"})
+    rows = [(1, 0, 3), (2, 0, 1 << 62), (2, 1, 1 << 62), (2, 2, 1 << 62)] + [(5, i, i) for i in range(2000)] + [(9, 0, 7)]
+    frame = spark.createDataFrame(rows, "g long, o long, v long")
+    found = prefix_trie.running(frame, "g", ["o"], ["v"], workspace(spark, "running"), "t", ["o"]).collect()
+    sums = {(r.g, r.o): (r.v_before, r.v_sum) for r in found}
+    assert len(found) == len(rows) and sums[1, 0] == (0, 3) and sums[9, 0] == (0, 7)
+    assert [sums[2, i][1] for i in range(3)] == [1 << 62, -(1 << 63), -(1 << 62)]
+    assert all(sums[5, i] == (i * (i - 1) // 2, i * (i + 1) // 2) for i in range(2000))
+    assert len({r.part for r in spark.read.parquet(*_tables(spark, "running")).where("g = 5").select("part").distinct().collect()}) > 3
+
+
+def _tables(spark, label):
+    import glob
+
+    return glob.glob(f"{spark.conf.get('spark.checkpoint.dir').removeprefix('file:')}/{label}-*/t")
+
+
+def test_ends_in_many_texts(spark, monkeypatch):
+    ids = list(range(0, 5000, 3))
+    frame = spark.createDataFrame([(0, 1, 2, i) for i in ids] + [(1, 1, 2, 4)], "depth long, k1 long, k2 long, conv_id long")
+    packed = list(prefix_trie._packed(iter(frame.where("depth = 0").toArrow().to_batches())))
+    assert b",".join(t.as_py().encode() for b in packed for t in b["packed"]) == ",".join(map(str, ids)).encode()
+    monkeypatch.setattr(prefix_trie, "PACKED", 64)
+    parts = list(prefix_trie._packed(iter(frame.where("depth = 0").toArrow().to_batches())))
+    assert len(parts) > 50
+    (row,) = prefix_trie._hashed(iter(parts))
+    assert row["ends_sha256"][0].as_py() == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert {r.depth: r.ends_sha256 for r in prefix_trie.end_hashes(frame).collect()}[1] == hashlib.sha256(b"4").hexdigest()
+
+
+# -- op13 ----------------------------------------------------------------------------------
+
+
+def brute_top(rows, k=5, every=50):
+    x = [(i, v) for i, v in rows if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    size = max((len(v) for _, v in x), default=0)
+    x = [(i, np.array(integers([(0, v)])[0], object)) for i, v in x if len(v) == size]
+    out = []
+    for a, (query, q) in enumerate(x):
+        if query % every == 0:
+            scored = sorted((-int(q @ v), i) for b, (i, v) in enumerate(x) if b != a)
+            out += [(query, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def top(frame, **more):
+    return sorted(tuple(r) for r in voronoi_topk.top_k(frame, **more).select("query_id", "rank", "vec_id", "score").collect())
+
+
+@pytest.mark.parametrize("blocks", [{}, {"query_block": 8, "data_block": 50, "pivots": 6}])
+def test_top_k_equals_brute_force(spark, blocks):
+    rows = random_rows(900, 5, 5, copies=300)
+    assert top(embeddings(spark, rows), **blocks) == brute_top(rows)
+
+
+def test_top_k_of_clusters_sends_less_than_everything(spark):
+    draw = random.Random(6)
+    centres = [[draw.choice([-3, 3]) for _ in range(8)] for _ in range(10)]
+    rows = [(i, [c + draw.gauss(0, 0.05) for c in centres[i // 10 % 10]]) for i in range(1500)]
+    assert top(embeddings(spark, rows), query_block=3, pivots=30) == brute_top(rows)
+    path = max(_folders(spark, "voronoi"), key=lambda p: p.stat().st_mtime)
+    sent = spark.read.parquet(str(path / "sent"))
+    groups = sent.select("part").distinct().count()
+    assert groups > 5 and sent.count() < 0.5 * groups * 1500
+
+
+def _folders(spark, label):
+    from pathlib import Path
+
+    return Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob(f"{label}-*")
+
+
+def test_top_k_of_edge_cases(spark):
+    assert top(embeddings(spark, [])) == []
+    assert top(embeddings(spark, [(1, [0.5]), (2, [0.5])])) == []
+    assert top(embeddings(spark, [(0, [0.5])])) == []
+    assert top(embeddings(spark, [(0, None), (50, [1.0])])) == []
+    rows = [(0, [0.5, 0.1]), (0, [0.5, 0.1]), (0, [0.9, 0.1]), (50, [0.5, 0.1]), (7, None), (8, [1.0, None]), (9, [float("nan"), 1.0])]
+    rows += [(10, [1.0]), (None, [9.0, 9.0]), (-50, [0.5, 0.1]), (11, [0.0, 0.0]), (12, [0.0, 0.0])]
+    assert top(embeddings(spark, rows)) == brute_top(rows)
+
+
+def test_top_k_with_ties_everywhere(spark):
+    draw = random.Random(8)
+    rows = [(i, [float(draw.choice([-1, 0, 1])) for _ in range(3)]) for i in range(400)]
+    assert top(embeddings(spark, rows), query_block=4, data_block=8, pivots=4) == brute_top(rows)
+
+
+def test_products_beyond_doubles_are_exact(spark):
+    rows = [(0, [3e6, 1.0]), (1, [3e6, 1.0]), (2, [3e6, 0.996]), (3, [3e6, 1.004])]
+    assert top(embeddings(spark, rows)) == brute_top(rows)

@@ -98,5 +98,72 @@ FROM bare JOIN first USING (body)
 """
 
 
+#: Every prefix as a list of turns; the checksum bit by bit (a byte, then eight steps marked -1).
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'r': r, 't': t} ORDER BY place) AS ts FROM turns GROUP BY conv_id
+), opened AS (
+  SELECT conv_id, ts, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(
+           list_concat([4294967295::BIGINT],
+             flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[]))),
+           lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END
+         ), 4294967295::BIGINT) % 4 AS h
+  FROM own
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.ts[1:o.h], []), o.ts[o.h + 1:]) AS ts
+  FROM opened o LEFT JOIN own b ON b.conv_id = o.base
+), depths AS (
+  SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS depth FROM rebuilt
+), prefixes AS (
+  SELECT conv_id, depth, ts[1:depth] AS node, len(ts) = depth AS ended,
+         CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(ts[depth].t, '[^\x20\x09-\x0D]+')) END AS words
+  FROM depths
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, depth
+), linked AS (
+  SELECT c.node, p.node AS parent, p.conv_id AS parent_conv_id
+  FROM nodes c JOIN nodes p ON p.depth = c.depth - 1 AND p.node = c.node[1:c.depth - 1]
+), counted AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children
+  FROM nodes n LEFT JOIN (SELECT parent AS node, count(*) AS n FROM linked GROUP BY parent) c ON c.node = n.node
+), below AS (
+  SELECT a.node, sum(b.saved)::BIGINT AS saved_tokens, count(*) FILTER (b.n_children = 0) AS n_leaves
+  FROM counted a JOIN counted b ON b.depth >= a.depth AND b.node[1:a.depth] = a.node GROUP BY a.node
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM counted JOIN below USING (node) LEFT JOIN linked USING (node)
+"""
+
+OP13 = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def all_sql():
-    return {"op2_near_dedup": OP2, "op3_suffix_dedup": OP3, "op5_exact_dedup": OP5, "op7_warc": OP7}
+    return {
+        "op2_near_dedup": OP2,
+        "op3_suffix_dedup": OP3,
+        "op5_exact_dedup": OP5,
+        "op7_warc": OP7,
+        "op12_prefix_trie": OP12,
+        "op13_voronoi_topk": OP13,
+    }

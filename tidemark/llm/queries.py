@@ -8,7 +8,10 @@ from tidemark.llm import decontaminate, language, piece_encoding, pseudonyms, qu
 from tidemark.llm.common import documents, importable, workspace
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.prefix_trie import prefix_trie
 from tidemark.llm.suffix_dedup import without_repeats
+from tidemark.llm.voronoi_topk import top_k
+from tidemark.llm.whitening import whiten
 
 
 def op1_token_files(spark, sf_dir):
@@ -60,6 +63,22 @@ def op10_piece_encoding(spark, sf_dir):
     return piece_encoding.encode_digests(documents(spark, sf_dir))
 
 
+def op11_whitening(spark, sf_dir):
+    importable(spark)
+    white = whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    importable(spark)
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_voronoi_topk(spark, sf_dir):
+    importable(spark)
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def all_queries():
     return {
         "op1_token_files": op1_token_files,
@@ -72,4 +91,7 @@ def all_queries():
         "op8_quality_votes": op8_quality_votes,
         "op9_decontaminate": op9_decontaminate,
         "op10_piece_encoding": op10_piece_encoding,
+        "op11_whitening": op11_whitening,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_voronoi_topk": op13_voronoi_topk,
     }
