@@ -139,8 +139,8 @@ def split(sql: str, valid: bool, columns: str = "*") -> str:
 # --- merges -----------------------------------------------------------------
 
 
-def merged(entity: str, target: str, source: str, columns: str, ids: str | None = None) -> str:
-    """Next state of a keyed table; with ``ids`` also the soft delete."""
+def merged(entity: str, target: str, source: str, columns: str, ids: str | None = None, label: bool = False) -> str:
+    """Next state of a keyed table; with ``ids`` also the soft delete; with ``label`` what happened to each row."""
     key = KEYS[entity]
     changed = " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in COMPARED[entity])
     take = f"s.{key} IS NOT NULL AND (t.{key} IS NULL OR {changed})"
@@ -153,24 +153,49 @@ def merged(entity: str, target: str, source: str, columns: str, ids: str | None
                 f"(SELECT {key} FROM ({ids}) WHERE {key} IS NOT NULL) THEN FALSE ELSE {value} END"
             )
         parts.append(f"{value} AS {column}")
+    if label:
+        flips = ""
+        if ids is not None:
+            flips = f"""
+                WHEN s.{key} IS NULL AND t.is_active
+                     AND t.{key} NOT IN (SELECT {key} FROM ({ids}) WHERE {key} IS NOT NULL) THEN 'deactivated'
+                WHEN s.{key} IS NOT NULL AND NOT t.is_active THEN 'reactivated'"""
+        parts.append(
+            f"CASE WHEN t.{key} IS NULL THEN 'inserted' {flips} WHEN {take} THEN 'updated' ELSE 'same' END AS change"
+        )
     return f"""
         SELECT {", ".join(parts)}
         FROM ({target}) t FULL OUTER JOIN ({source}) s ON t.{key} = s.{key}"""
 
 
-def delivered_twice(entity: str) -> str:
+def delivered_twice(entity: str, label: bool = False) -> str:
     """Silver after both raw deliveries, with the delivery a row came from."""
     columns = f"{COLUMNS[entity]}, delivery"
     deliveries = []
-    for label, raw in (("first", feeds.RAW_FIRST), ("second", feeds.RAW_SECOND)):
+    for name, raw in (("first", feeds.RAW_FIRST), ("second", feeds.RAW_SECOND)):
         checked = validated_raw(entity, raw[entity])
         deliveries.append(
-            f"SELECT {COLUMNS[entity]}, '{label}' AS delivery FROM ({checked}) WHERE is_valid"
+            f"SELECT {COLUMNS[entity]}, '{name}' AS delivery FROM ({checked}) WHERE is_valid"
         )
     ids = None
     if "is_active" in columns:
         ids = typed(entity, feeds.RAW_SECOND[entity].sql())
-    return merged(entity, deliveries[0], deliveries[1], columns, ids)
+    return merged(entity, deliveries[0], deliveries[1], columns, ids, label)
+
+
+def change_counts() -> str:
+    """How many rows of silver each delivery changed, by kind."""
+    kinds = ("inserted", "updated", "deactivated", "reactivated", "same")
+    parts = []
+    for entity in feeds.RAW:
+        first = validated_raw(entity, feeds.RAW_FIRST[entity])
+        zeros = ", ".join(f"CAST(0 AS BIGINT) AS {kind}" for kind in kinds[1:])
+        parts.append(
+            f"SELECT '{entity}' AS entity, 'first' AS delivery, count(*) AS inserted, {zeros} FROM ({first}) WHERE is_valid"
+        )
+        counted = ", ".join(f"count(*) FILTER (change = '{kind}') AS {kind}" for kind in kinds)
+        parts.append(f"SELECT '{entity}' AS entity, 'second' AS delivery, {counted} FROM ({delivered_twice(entity, True)})")
+    return " UNION ALL ".join(parts)
 
 
 # --- reports ----------------------------------------------------------------
@@ -320,6 +345,11 @@ def all_queries() -> dict[str, str]:
     snapshot = merged("products", products_before, products_next, product_columns, listed)
     upsert = merged("orders", orders_before, orders_next, order_columns)
     sql |= {
+        "merge_changes_products": merged("products", products_before, products_next, product_columns, listed, True),
+        "merge_changes_customers": merged(
+            "customers", customers_before, customers_next, customer_columns, customers_next, True
+        ),
+        "merge_changes_orders": merged("orders", orders_before, orders_next, order_columns, label=True),
         "merge_snapshot_products": snapshot,
         "merge_snapshot_twice": snapshot,
         "merge_snapshot_customers": merged(
@@ -412,6 +442,7 @@ def all_queries() -> dict[str, str]:
     silver = {entity: delivered_twice(entity) for entity in KEYS}
     for entity, state in silver.items():
         sql[f"silver_{entity}"] = state
+        sql[f"folded_{entity}"] = state
         sql[f"quarantine_{entity}"] = " UNION ALL ".join(
             f"SELECT {COLUMNS[entity]}, errors, '{label}' AS delivery "
             f"FROM ({validated_raw(entity, raw[entity])}) WHERE NOT is_valid"
@@ -450,6 +481,7 @@ def all_queries() -> dict[str, str]:
     sql["logged_batch_counts"] = " UNION ALL ".join(logged_counts)
     sql["logged_error_counts"] = " UNION ALL ".join(logged_errors)
     sql["logged_file_states"] = " UNION ALL ".join(states)
+    sql["logged_change_counts"] = change_counts()
     sql["arriving_orders"] = split(
         validated_raw("orders", feeds.RAW_ORDERS), True, COLUMNS["orders"]
     )

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 import tidemark as tm
 from checks import feeds
 from tidemark.operators.control import latest_states, plan_files
-from tidemark.operators.merge import missing_keys
+from tidemark.operators.merge import CHANGE, CHANGES, incremental_changes, missing_keys, snapshot_changes
 from tidemark.operators.quality import invalid_rows, repeated_keys, valid_rows
 from tidemark.plans.jobs import read_report, read_silver
+from tidemark.sources.control_log import read_events
 from tidemark.sources.csv import ingest, read_raw
 from tidemark.sources.fingerprint import content_hash, file_sha256
 from tidemark.sources.tables import read_batches
@@ -101,6 +102,17 @@ def _upsert(entity: tm.Entity, **options):
     )
 
 
+def _snapshot_changes(entity: tm.Entity):
+    return lambda target, source, ids: snapshot_changes(
+        target, source, ids, entity.key, entity.compare
+    ).withColumnRenamed(CHANGE, "change")
+
+
+def _upsert_changes(target: DataFrame, source: DataFrame) -> DataFrame:
+    changes = incremental_changes(target, source, tm.ORDERS.key, tm.ORDERS.compare)
+    return changes.withColumnRenamed(CHANGE, "change")
+
+
 def _snapshot_with_rejected(target: DataFrame, source: DataFrame, rejected: DataFrame) -> DataFrame:
     """The snapshot lists rows beyond its valid ones, so their entities stay as they are."""
     listed = source.select("product_id").union(rejected.select("product_id"))
@@ -290,7 +302,31 @@ def _logged_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _logged_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout, delivery_of = _lake(spark, sf_dir)
-    return spark.read.parquet(layout.control).select("entity", _delivery(delivery_of), "status")
+    return read_events(spark, layout.control).select("entity", _delivery(delivery_of), "status")
+
+
+def _logged_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout, delivery_of = _lake(spark, sf_dir)
+    return spark.read.parquet(layout.change_counts).select("entity", _delivery(delivery_of), *CHANGES)
+
+
+def _folded(entity: tm.Entity) -> Query:
+    """Both deliveries of an entity, and the second once more under another name, as one run."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work = Workspace(spark, "folded", keep=True)
+        layout, sources = tm.Layout(f"{work.path}/lake"), []
+        for label, deliveries in (("first", feeds.RAW_FIRST), ("second", feeds.RAW_SECOND)):
+            sources.append(f"{work.path}/{label}")
+            write_csv(deliveries[entity.name].frame(spark, sf_dir), sources[-1])
+        sources.append(f"{work.path}/again")
+        write_csv(feeds.RAW_SECOND[entity.name].frame(spark, sf_dir), sources[-1])
+        results = tm.run_entity_batches(spark, entity, sources, layout)
+        assert [result.skipped for result in results] == [False, False, True]
+        delivery_of = {result.batch_id: label for result, label in zip(results, ("first", "second"))}
+        return read_silver(spark, layout, entity).select(*SHOWN[entity.name], _delivery(delivery_of))
+
+    return query
 
 
 def _arriving_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,6 +382,13 @@ def all_queries() -> dict[str, Query]:
     queries |= {
         "batch_counts": lambda spark, sf_dir: _per_entity(spark, sf_dir, tm.batch_counts),
         "error_counts": lambda spark, sf_dir: _per_entity(spark, sf_dir, tm.error_counts),
+        "merge_changes_products": _over(
+            _snapshot_changes(tm.PRODUCTS), f.PRODUCTS_BEFORE, f.PRODUCTS_NEXT, f.PRODUCTS_LISTED
+        ),
+        "merge_changes_customers": _over(
+            _snapshot_changes(tm.CUSTOMERS), f.CUSTOMERS_BEFORE, f.CUSTOMERS_NEXT, f.CUSTOMERS_NEXT
+        ),
+        "merge_changes_orders": _over(_upsert_changes, f.ORDERS_BEFORE, f.ORDERS_NEXT),
         "merge_snapshot_products": _over(
             _snapshot(tm.PRODUCTS), f.PRODUCTS_BEFORE, f.PRODUCTS_NEXT, f.PRODUCTS_LISTED
         ),
@@ -407,11 +450,13 @@ def all_queries() -> dict[str, Query]:
         "logged_batch_counts": _logged_counts,
         "logged_error_counts": _logged_errors,
         "logged_file_states": _logged_states,
+        "logged_change_counts": _logged_changes,
         "arriving_orders": _arriving_orders,
     }
     for name, entity in tm.ENTITIES.items():
         queries[f"csv_{name}"] = _csv_roundtrip(entity)
         queries[f"silver_{name}"] = _silver(entity)
+        queries[f"folded_{name}"] = _folded(entity)
         queries[f"quarantine_{name}"] = _quarantined(entity)
     for name in ("daily_sales", "product_performance", "category_performance", "customer_metrics"):
         queries[f"refreshed_{name}"] = _report(name)

@@ -1,7 +1,13 @@
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.sql import functions as F
+
 from tidemark.operators.control import EVENT_SCHEMA, latest_states, plan_files
+from tidemark.sources import files
 from tidemark.sources.control_log import file_state, read_events, record_state
+from tidemark.sources.files import child_names
+from tidemark.sources.tables import EventLog
 
 NOON = datetime(2025, 1, 1, 12)
 
@@ -65,3 +71,31 @@ def test_recorded_states_are_found_again(spark, tmp_path):
     assert file_state(spark, path, "orders", "h")["status"] == "SUCCESS"
     assert file_state(spark, path, "products", "h") is None
     assert read_events(spark, path).count() == 2
+
+
+def test_many_events_are_few_files(spark, tmp_path):
+    log = EventLog(spark, str(tmp_path / "log"), "n bigint", every=4)
+    assert log.read().count() == 0
+    early = None
+    for n in range(18):
+        log.append(spark.range(n, n + 1).select(F.col("id").alias("n")))
+        assert sorted(r["n"] for r in log.read().collect()) == list(range(n + 1))
+        assert len(log.read().inputFiles()) <= 4
+        if n == 14:
+            early = log.read()
+    assert early.count() == 15  # a reader outlives the next fold
+    folders = [n for n in child_names(spark, log.path) if not n.startswith("_")]
+    assert folders == ["after-00000003", "after-00000004", "fold-00000003", "fold-00000004"]
+
+
+def test_a_fold_that_was_lost_is_made_again(spark, tmp_path, monkeypatch):
+    log = EventLog(spark, str(tmp_path / "log"), "n bigint", every=2)
+    one = spark.range(1).select(F.col("id").alias("n"))
+    log.append(one)
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "move", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            log.append(one)
+    assert log.read().count() == 2
+    log.append(one)
+    assert log.read().count() == 3 and "fold-00000001" in child_names(spark, log.path)

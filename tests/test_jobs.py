@@ -1,10 +1,15 @@
+from datetime import timedelta
+
 import pytest
 
 from tidemark import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS, PRODUCTS, Layout, read_report, refresh
-from tidemark import run_entity_batch
-from tidemark.plans import jobs, reports
+from tidemark import run_entity_batch, run_entity_batches
+from tidemark.plans import jobs, sales_state
 from tidemark.plans.jobs import Options, SuspiciousSnapshot, read_silver
 from tidemark.sources.control_log import read_events, record_state
+from tidemark.sources.files import child_names
+from tidemark.sources.fingerprint import content_hash
+from tidemark.sources.staging import Staging
 from tidemark.sources.tables import read_batches
 
 FILES = {
@@ -132,15 +137,19 @@ def test_header_only_first_load(spark, deliver, layout):
 
 
 @pytest.mark.parametrize(
-    "stage", ["ingest", "record_state", "validate", "load_quarantine", "load_incremental", "final"]
+    "stage", ["take", "publish", "moved", "record_states", "validate", "load_quarantine", "load_incremental", "final"]
 )
 def test_a_crash_at_any_stage_is_made_good_by_a_retry(spark, deliver, layout, monkeypatch, stage):
     source = deliver(ORDER_ITEMS, FILES[ORDER_ITEMS] + "y,2,1,1,1.00\n")
-    real_record = record_state
+    real_record, real_publish = jobs.record_states, Staging.publish
 
     def crash(*args, **kwargs):
         raise RuntimeError("lost")
 
+    def crash_after_the_move(*args):
+        real_publish(*args)
+        raise RuntimeError("lost")
+
     def crash_at_the_end(*args, **kwargs):
         if kwargs["status"] == "SUCCESS":
             raise RuntimeError("lost")
@@ -148,7 +157,11 @@ def test_a_crash_at_any_stage_is_made_good_by_a_retry(spark, deliver, layout, mo
 
     with monkeypatch.context() as patch:
         if stage == "final":
-            patch.setattr(jobs, "record_state", crash_at_the_end)
+            patch.setattr(jobs, "record_states", crash_at_the_end)
+        elif stage == "moved":
+            patch.setattr(Staging, "publish", crash_after_the_move)
+        elif stage in ("take", "publish"):
+            patch.setattr(Staging, stage, crash)
         else:
             patch.setattr(jobs, stage, crash)
         with pytest.raises(RuntimeError, match="lost"):
@@ -185,19 +198,20 @@ def test_a_failed_rebuild_leaves_all_old_reports(spark, deliver, layout, monkeyp
     sources = {entity.name: deliver(entity) for entity in FILES}
     refresh(spark, sources, layout)
     before = {name: sorted(map(str, read_report(spark, layout, name).collect())) for name in jobs.REPORTS}
-    whole, written = reports.overwrite, []
+    whole = sales_state.overwrite
+    for failing in ("totals_product_performance", "customer_metrics"):
 
-    def third_fails(rows, path):
-        written.append(path)
-        whole(rows if len(written) < 3 else rows.selectExpr("raise_error('lost')"), path)
+        def fails(rows, path, failing=failing):
+            whole(rows.selectExpr("raise_error('lost')") if path.endswith(f"/{failing}") else rows, path)
 
-    with monkeypatch.context() as patch:
-        patch.setattr(reports, "overwrite", third_fails)
-        with pytest.raises(Exception, match="lost"):
-            jobs.refresh_reports(spark, layout)
-    for name in jobs.REPORTS:
-        assert sorted(map(str, read_report(spark, layout, name).collect())) == before[name]
-    jobs.refresh_reports(spark, layout)
+        for full in (True, False):
+            with monkeypatch.context() as patch:
+                patch.setattr(sales_state, "overwrite", fails)
+                with pytest.raises(Exception, match="lost"):
+                    jobs.refresh_reports(spark, layout, full)
+            for name in jobs.REPORTS:
+                assert sorted(map(str, read_report(spark, layout, name).collect())) == before[name]
+    assert jobs.refresh_reports(spark, layout) == "changes"
 
 
 def test_plain_equality_quarantine_adds_keyless_rows_again(spark, deliver, layout, monkeypatch):
@@ -233,7 +247,7 @@ def test_unknown_state_is_an_error(spark, deliver, layout):
         layout.control,
         entity="orders",
         source_file=source,
-        file_hash=jobs.content_hash(spark, source, ORDERS),
+        file_hash=content_hash(spark, source, ORDERS),
         batch_id="b",
         status="LOST",
     )
@@ -255,3 +269,167 @@ def test_reports_of_an_empty_lake(spark, layout):
     for name in jobs.REPORTS:
         assert read_report(spark, layout, name).count() == 0
     assert set(ENTITIES) == {"products", "customers", "orders", "order_items"}
+
+
+# -- many files in one run ------------------------------------------------------------------
+
+COUNTS = ("inserted", "updated", "deactivated", "reactivated", "same")
+
+
+def many(deliver, entity, bodies):
+    return [deliver(entity, body, f"{entity.name}-{i}") for i, body in enumerate(bodies)]
+
+
+def whole(spark, layout, entity):
+    """Silver without the time of reading."""
+    rows = read_silver(spark, layout, entity).drop("ingestion_timestamp")
+    return sorted(map(str, rows.collect()))
+
+
+SNAPSHOTS = [
+    "1,lamp,home,10.00,5\n2,desk,home,20.00,1\n3,chair,home,5.00,2\n",
+    "1,lamp,home,11.00,5\n3,,home,5.00,2\n",  # 2 is gone, 3 is rejected and stays
+    "1,lamp,home,10.00,5\n2,desk,home,20.00,1\n2,desk,home,20.00,1\n,x,y,1.00,1\n",  # 1 is as before, 2 repeated, 3 gone
+    "2,desk,home,20.00,1\n4,sofa,home,90.00,1\n",
+]
+CHANGING_ORDERS = [
+    "1,1,2025-02-01,pending\n2,1,2025-02-01,pending\n",
+    "1,1,2025-02-01,completed\n3,1,2025-02-01,pending\n4,1,2025-02-01,x\n",
+    "1,1,2025-02-01,pending\n2,1,2025-02-01,pending\n",  # content of the first file
+    "1,1,2025-02-01,pending\n5000000,1,2025-02-02,pending\n3,1,x,pending\n3,1,x,pending\n",
+]
+
+
+@pytest.mark.parametrize("entity, bodies", [(PRODUCTS, SNAPSHOTS), (ORDERS, CHANGING_ORDERS)], ids=["snapshots", "incremental"])
+def test_files_of_one_run_equal_one_run_each(spark, deliver, tmp_path, entity, bodies):
+    sources = many(deliver, entity, bodies)
+    single, bulk = (Layout(str(tmp_path / name)) for name in ("single", "bulk"))
+    options = Options(guard_unkeyed=True)
+    results = [run_entity_batch(spark, entity, source, single, options) for source in sources]
+    together = run_entity_batches(spark, entity, sources, bulk, options)
+    shown = lambda found: [(r.batch_id, r.skipped, r.total_rows, r.valid_rows, r.invalid_rows) for r in found]
+    assert shown(results) == shown(together)
+    assert whole(spark, bulk, entity) == whole(spark, single, entity)
+    for table in (bulk.batch_counts, bulk.error_counts, bulk.quarantine(entity)):
+        columns = [c for c in spark.read.parquet(table).columns if c != "ingestion_timestamp"]
+        expected = spark.read.parquet(table.replace(bulk.root, single.root)).select(columns).collect()
+        assert sorted(map(str, spark.read.parquet(table).select(columns).collect())) == sorted(map(str, expected))
+    assert states(spark, bulk) == states(spark, single)
+
+
+def test_the_number_of_spark_jobs_does_not_depend_on_the_files(spark, deliver, tmp_path):
+    def jobs_of(files, name):
+        sources = many(deliver, ORDERS, [f"{i + 1},1,2025-02-01,pending\n{i + 1000},0,x,y\n" for i in range(files)])
+        spark.sparkContext.setJobGroup(name, name)
+        run_entity_batches(spark, ORDERS, sources, Layout(str(tmp_path / name)))
+        spark.sparkContext.setJobGroup("", "")
+        assert read_silver(spark, Layout(str(tmp_path / name)), ORDERS).count() == files
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    few, lots = jobs_of(3, "few"), jobs_of(200, "lots")
+    assert lots <= few + 4  # folders beyond 32 are listed by a job of their own
+
+
+def test_folders_and_files_are_sources_alike(spark, tmp_path):
+    sources = [tmp_path / "a", tmp_path / "a b"]
+    for n, folder in enumerate(sources):
+        folder.mkdir()
+        for part in range(2):
+            (folder / f"{part}.csv").write_text(f"{','.join(ORDERS.columns)}\n{2 * n + part},1,2025-02-01,pending\n")
+    sources = [str(s) for s in sources] + [str(tmp_path / "c.csv")]
+    (tmp_path / "c.csv").write_text(f"{','.join(ORDERS.columns)}\n9,1,2025-02-01,pending\n")
+    layout = Layout(str(tmp_path / "lake"))
+    results = run_entity_batches(spark, ORDERS, sources, layout)
+    assert [r.total_rows for r in results] == [2, 2, 1]
+    assert results[0].batch_id == f"orders-{content_hash(spark, sources[0], ORDERS)[:32]}"
+    assert silver(spark, layout, ORDERS, "order_id") == [(1,), (2,), (3,), (9,)]
+    with pytest.raises(ValueError, match="none of the sources"):
+        run_entity_batches(spark, ORDERS, [sources[0], str(tmp_path / "*.csv")], layout)
+
+
+def test_a_failed_run_of_many_files_resumes(spark, deliver, layout, monkeypatch):
+    sources = many(deliver, ORDERS, CHANGING_ORDERS)
+    moved = Staging.publish
+
+    def second_fails(self, number, batch_id):
+        if number == 1:
+            raise RuntimeError("lost")
+        moved(self, number, batch_id)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Staging, "publish", second_fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_entity_batches(spark, ORDERS, sources, layout)
+    assert [n for n in child_names(spark, layout.bronze(ORDERS)) if n.startswith("_staging")] == []
+    run_entity_batches(spark, ORDERS, sources, layout)
+    assert silver(spark, layout, ORDERS, "order_id", "status") == [(1, "pending"), (2, "pending"), (3, "pending"), (5000000, "pending")]
+    bronze = read_batches(spark, layout.bronze(ORDERS), ORDERS.bronze_schema)
+    assert bronze.count() == 9
+    assert states(spark, layout) == ["BRONZE_WRITTEN"] * 3 + ["SUCCESS"] * 3
+
+
+def test_a_source_is_scanned_once(spark, deliver, layout, monkeypatch):
+    from tidemark.sources import staging
+
+    scans = []
+    real = staging.read_raw
+    monkeypatch.setattr(staging, "read_raw", lambda *a, **k: scans.append(a[1]) or real(*a, **k))
+    run_entity_batch(spark, ORDERS, deliver(ORDERS), layout)
+    assert len(scans) == 1
+
+
+def test_the_callers_settings_come_back(spark, deliver, layout, with_settings):
+    with_settings(spark__sql__session__timeZone="Asia/Tokyo", spark__sql__adaptive__forceOptimizeSkewedJoin="false")
+    run_entity_batch(spark, ORDERS, deliver(ORDERS), layout)
+    assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
+
+
+# -- change sets and versions -----------------------------------------------------------------
+
+
+def test_a_load_tells_what_it_changed(spark, deliver, layout):
+    bodies = [
+        "1,lamp,home,10.00,5\n2,desk,home,20.00,1\n3,chair,home,5.00,2\n",
+        "1,lamp,home,11.00,5\n3,,home,5.00,2\n4,sofa,home,9.00,1\n",
+        "1,lamp,home,11.00,5\n2,desk,home,20.00,1\n4,sofa,home,9.00,1\n",
+    ]
+    found = [run_entity_batch(spark, PRODUCTS, source, layout).changes for source in many(deliver, PRODUCTS, bodies)]
+    assert [tuple(c[k] for k in COUNTS) for c in found] == [(3, 0, 0, 0, 0), (1, 1, 1, 0, 1), (0, 0, 1, 1, 2)]
+    logged = spark.read.parquet(layout.change_counts).where("entity = 'products'")
+    assert sorted(tuple(r[k] for k in COUNTS) for r in logged.collect()) == sorted(tuple(c[k] for k in COUNTS) for c in found)
+
+
+def test_only_changed_slices_are_written(spark, deliver, layout):
+    wide = 4_194_304
+    for entity, line in ((ORDERS, "{},1,2025-02-01,{}\n"), (PRODUCTS, "{},{},home,1.00,1\n")):
+        keys = [1, 2, wide + 1, 3 * wide + 1]
+        words = {ORDERS: ("pending", "completed"), PRODUCTS: ("lamp", "desk")}[entity]
+        body = "".join(line.format(k, words[0]) for k in keys) + "bad,1,1,1\n"
+        run_entity_batch(spark, entity, deliver(entity, body, f"{entity.name}1"), layout)
+        data = f"{layout.silver(entity)}/data"
+        first = child_names(spark, f"{data}/version=1")
+        assert [n for n in first if "=" in n] == ["slice=0", "slice=1", "slice=3"]
+        # The same rows again, as another file by one more rejected row.
+        same = run_entity_batch(spark, entity, deliver(entity, body + "worse,1,1,1\n", f"{entity.name}2"), layout)
+        assert child_names(spark, data) == ["version=1"] and same.changes["same"] == 4
+        body = body.replace(line.format(wide + 1, words[0]), line.format(wide + 1, words[1]))
+        changed = run_entity_batch(spark, entity, deliver(entity, body, f"{entity.name}3"), layout)
+        assert [n for n in child_names(spark, f"{data}/version=3") if "=" in n] == ["slice=1"]
+        assert tuple(changed.changes[k] for k in COUNTS) == (0, 1, 0, 0, 3)
+        assert len(silver(spark, layout, entity, entity.key)) == 4
+
+
+def test_old_versions_go_and_the_one_before_stays(spark, deliver, layout):
+    options = Options(keep_versions=2)
+    reader = None
+    for n in range(4):
+        if n == 3:
+            reader = read_silver(spark, layout, PRODUCTS)
+        body = f"1,lamp,home,{n}.00,1\n"
+        run_entity_batch(spark, PRODUCTS, deliver(PRODUCTS, body, f"p{n}"), layout, options)
+        assert len(child_names(spark, f"{layout.silver(PRODUCTS)}/data")) <= 2
+    assert [str(r["price"]) for r in reader.collect()] == ["2.00"]
+    kept = Options(keep_versions=1, keep_for=timedelta(hours=1))
+    run_entity_batch(spark, PRODUCTS, deliver(PRODUCTS, "1,lamp,home,7.00,1\n", "p7"), layout, kept)
+    assert len(child_names(spark, f"{layout.silver(PRODUCTS)}/data")) == 3

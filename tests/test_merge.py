@@ -1,11 +1,13 @@
+import random
 from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark import ORDERS, PRODUCTS, merge_incremental, merge_snapshot, soft_delete_missing
-from tidemark.operators.merge import missing_keys
+from tidemark.operators.merge import folded_changes, incremental_changes, missing_keys, snapshot_changes, unchanged_slices
 
 PRODUCT = "product_id int, name string, price decimal(10,2), is_active boolean, batch_id string"
 COMPARE = ("name", "price", "is_active")
@@ -161,3 +163,78 @@ def test_snapshots_refuse_repeated_and_unlisted_keys(frame):
     other = frame(schema, (2, "a", "b", None, 1, True))
     with pytest.raises(Exception, match="the snapshot does not list product_id 2"):
         merge_snapshot(old, other, one, "product_id", PRODUCTS.compare).collect()
+
+
+# -- labels and folds -------------------------------------------------------------------------
+
+STOCK = "product_id int, name string, category string, price decimal(10,2), stock_quantity int, is_active boolean, batch_id string"
+COMPARED = ("name", "category", "price", "stock_quantity", "is_active")
+
+
+def stocked(key, name, batch, active=True):
+    return (key, name, "home", Decimal("1.00"), 1, active, batch)
+
+
+def labelled(frame):
+    return {r["product_id"]: (r["_change"], r["batch_id"], r["is_active"]) for r in frame.collect()}
+
+
+def test_every_row_of_a_snapshot_merge_is_labelled(frame):
+    target = frame(STOCK, *[stocked(k, "a", "old", k != 4 and k != 5) for k in range(1, 7)])
+    source = frame(STOCK, stocked(1, "a", "new"), stocked(2, "b", "new"), stocked(4, "a", "new"), stocked(9, "a", "new"))
+    listed = frame("product_id int", (1,), (2,), (4,), (9,), (6,), (6,), (None,))
+    assert labelled(snapshot_changes(target, source, listed, "product_id", COMPARED)) == {
+        1: ("same", "old", True),
+        2: ("updated", "new", True),
+        3: ("deactivated", "old", False),
+        4: ("reactivated", "new", True),
+        5: ("same", "old", False),
+        6: ("same", "old", True),
+        9: ("inserted", "new", True),
+    }
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_every_row_of_an_upsert_is_labelled(frame, small):
+    target = frame(STOCK, *[stocked(k, "a", "old") for k in (1, 2, 3)])
+    source = frame(STOCK, stocked(1, "a", "new"), stocked(2, "b", "new"), stocked(9, "a", "new"))
+    found = labelled(incremental_changes(target, source, "product_id", COMPARED, broadcast_source=small))
+    assert {k: v[:2] for k, v in found.items()} == {1: ("same", "old"), 2: ("updated", "new"), 3: ("same", "old"), 9: ("inserted", "new")}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("snapshots", [True, False])
+def test_folded_deliveries_equal_one_after_the_other(frame, seed, snapshots):
+    draw = random.Random(seed)
+    target = frame(STOCK, *[stocked(k, draw.choice("ab"), "old", draw.random() < 0.7 or not snapshots) for k in range(1, 9)])
+    rows, listed, deleting, state = [], [], [], target
+    for n in range(5):
+        keys = draw.sample(range(1, 12), 6)
+        new = [stocked(k, draw.choice("ab"), f"b{n}") for k in keys[:4]]
+        deleting.append(draw.random() < 0.8)
+        rows += [(*r, n) for r in new]
+        listed += [(k, n) for k in keys for _ in range(draw.randint(1, 2))] + [(None, n)]
+        source = frame(STOCK, *new)
+        if snapshots and deleting[-1]:
+            state = merge_snapshot(state, source, frame("product_id int", *[(k,) for k in keys]), "product_id", COMPARED)
+        else:
+            state = merge_incremental(state, source, "product_id", COMPARED)
+    found = folded_changes(
+        target, frame(f"{STOCK}, no int", *rows), "product_id", COMPARED, "no",
+        frame("product_id int, no int", *listed) if snapshots else None, deleting,
+    )
+    assert sorted(map(tuple, found.drop("_change").collect())) == sorted(map(tuple, state.collect()))
+    before = {r["product_id"]: tuple(r) for r in target.collect()}
+    for row in found.collect():
+        old, new = before.get(row["product_id"]), tuple(row)[:-1]
+        flipped = "deactivated" if old and old[5] and not new[5] else "reactivated" if old and new[5] and not old[5] else None
+        assert row["_change"] == ("inserted" if old is None else flipped or ("same" if old == new else "updated"))
+
+
+def test_unchanged_slices_are_told_by_sums(frame):
+    target = frame(STOCK, *[stocked(k, "a", "old", k != 13) for k in (1, 2, 11, 12, 13, 21, 31, 41)])
+    source = frame(STOCK, *[stocked(k, "a", "new") for k in (1, 11, 12, 21, 51)], stocked(31, "b", "new"))
+    rejected = frame("product_id int", (2,), (2,))
+    slice_of = F.floor(F.col("product_id") / 10)
+    found = unchanged_slices(target, source, slice_of, "product_id", COMPARED, rejected).collect()
+    assert sorted(map(tuple, found)) == [(0, 2), (1, 3), (2, 1)]

@@ -19,6 +19,7 @@ from tidemark import (
     standardize,
     validate,
 )
+from tidemark.operators import quality
 from tidemark.operators.quality import repeated_keys
 
 NO_BROADCAST = {
@@ -77,10 +78,47 @@ def test_many_warm_keys_are_marked_alike(spark, with_settings):
     assert max(sizes) < 2 * 50_000 / 8
 
 
-def test_uniqueness_reads_its_input_twice(skewed, with_settings):
+def test_rows_whose_key_does_not_repeat_are_not_moved(spark, with_settings):
+    with_settings(**SMALL_SKEW, **NO_BROADCAST)
+    rows = spark.range(0, 40_000, numPartitions=8).select(F.when(F.col("id") < 39_000, F.col("id")).otherwise(7).cast("int").alias("k"), "id")
+    marked = mark_unique(rows, "k")
+    plan = plan_of(marked)
+    assert "Window" not in plan and "Subquery" in plan and "Union" in plan
+    assert marked.where("NOT is_unique").count() == 1001
+    moved = marked._jdf.queryExecution().executedPlan()
+    moved.executeCollect()
+    assert written_rows(marked) < 40_000 + 5_000  # the keys to be counted, then little more than the copies
+
+
+def written_rows(frame):
+    """Rows that all shuffles of a frame write, once it ran."""
+    execution = frame._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    found, todo = 0, [execution.executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name == "ShuffleQueryStage":
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_the_filter_of_repeated_keys_is_exact_with_any_number_of_them(spark, with_settings, monkeypatch):
     with_settings(**NO_BROADCAST)
-    plan = mark_unique(skewed, "k")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Range (") == 2 and "Window" not in plan
+    monkeypatch.setattr(quality, "FILTER_BITS", 128)
+    rows = spark.range(0, 3000).select((F.col("id") % 2500).cast("int").alias("k"), (F.col("id") % 5).alias("b"), "id")
+    assert mark_unique(rows, "k").where("NOT is_unique").count() == 1000
+    within = {(r["k"], r["b"]) for r in mark_unique(rows, "k", within=["b"]).where("NOT is_unique").collect()}
+    assert within == {(k, k % 5) for k in range(500)}
+    assert mark_unique(rows, "k", within=["id"]).where("NOT is_unique").count() == 0
 
 
 def test_rejected_rows_are_matched_without_gathering(spark, with_settings):

@@ -5,7 +5,7 @@ from tidemark.operators.merge import merge_incremental, merge_snapshot, soft_del
 from tidemark.operators.quality import batch_counts, error_counts, mark_unique, validate
 from tidemark.operators.quarantine import not_yet_quarantined
 from tidemark.operators.standardize import standardize
-from tidemark.plans.jobs import Layout, read_report, refresh, run_entity_batch
+from tidemark.plans.jobs import Layout, read_report, refresh, refresh_reports, run_entity_batch, run_entity_batches
 from tidemark.plans.reports import (
     build_reports,
     category_performance,
@@ -40,7 +40,9 @@ __all__ = [
     "product_performance",
     "read_report",
     "refresh",
+    "refresh_reports",
     "run_entity_batch",
+    "run_entity_batches",
     "sales_lines",
     "soft_delete_missing",
     "standardize",

@@ -2,47 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
 from tidemark.functions.conditions import broken_rules
 
 
-def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
-    """Non-NULL keys that occur more than once, with their number of copies."""
+#: Bits of the filter over hashes of repeated keys: 512 KB in every task, however many keys repeat.
+FILTER_BITS = 1 << 22
+WORD = 64
+
+
+def repeated_keys(rows: DataFrame, key: str, *within: str) -> DataFrame:
+    """Non-NULL keys that occur more than once (in the same ``within``), with their number of copies."""
     return (
         rows.where(F.col(key).isNotNull())
-        .groupBy(key)
+        .groupBy(key, *within)
         .agg(F.count(F.lit(1)).alias("copies"))
         .where(F.col("copies") > 1)
     )
 
 
+def _may_repeat(repeated: DataFrame, *columns: str) -> Column:
+    """Whether the hash of a row's ``columns`` is one of ``repeated``'s: true for all of those, and by chance for few others.
+
+    The filter is one bit for each place of the hash, as an array of words that a
+    scalar subquery makes of the repeated keys: of fixed size, whatever their number.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    word, bit = F.floor(place / WORD).cast("int"), (place % WORD).cast("int")
+    set_bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
+    some = repeated.groupBy(word.alias("word")).agg(set_bits.alias("bits"))
+    every = repeated.sparkSession.range(FILTER_BITS // WORD).select(F.col("id").cast("int").alias("word"))
+    entry = F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))
+    words = every.join(some, "word", "left").agg(F.sort_array(F.collect_list(entry)).alias("words"))
+    bits = words.select(F.transform("words", lambda w: w["bits"])).scalar()
+    return F.getbit(F.get(bits, word), bit) == 1
+
+
 def mark_unique(
-    rows: DataFrame, key: str, repeated: DataFrame | None = None, broadcast_repeated: bool = False
+    rows: DataFrame,
+    key: str,
+    repeated: DataFrame | None = None,
+    broadcast_repeated: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``is_unique``: false on every copy of a repeated key; NULL keys are unique.
 
-    Repeated keys are counted on the key column, with partial sums, and their rows
-    look them up in a join whose large partitions adaptive execution splits, so a
-    hot key needs no bound and no list. Rows without a key match nothing and stay
-    spread over the tasks that read them.
+    Copies count within the same values of ``within`` (such as the batch). Repeated
+    keys are counted on the key column, with partial sums. A filter of fixed
+    size over their hashes then tells most rows, where they are read, that their key
+    cannot repeat; these are not moved. The others look their key up in a join
+    whose large partitions adaptive execution splits, so a hot key needs no bound
+    and no list, and were all keys repeated, all rows would join.
 
     ``repeated`` takes an already computed :func:`repeated_keys`;
-    ``broadcast_repeated`` is for callers who measured it and found it small, and
-    leaves the rows where they are.
+    ``broadcast_repeated`` is for callers who measured it and found it small: the
+    rows are then read once.
     """
-    marks = repeated_keys(rows, key) if repeated is None else repeated
-    marks = marks.select(key, F.lit(False).alias("is_unique"))
+    columns = [key, *within]
+    marks = repeated_keys(rows, *columns) if repeated is None else repeated
+    marked = marks.select(*columns, F.lit(False).alias("is_unique"))
+    is_unique = F.coalesce("is_unique", F.lit(True)).alias("is_unique")
     if broadcast_repeated:
-        flagged = rows.join(F.broadcast(marks), key, "left")
-    else:
-        # The route is a join key of its own: the key's hash, and the reading task without one.
-        route = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(F.xxhash64(key))
-        marks = marks.withColumn("_route", F.xxhash64(key))
-        flagged = rows.withColumn("_route", route).join(marks, [key, "_route"], "left").drop("_route")
-    return flagged.select(*rows.columns, F.coalesce("is_unique", F.lit(True)).alias("is_unique"))
+        return rows.join(F.broadcast(marked), columns, "left").select(*rows.columns, is_unique)
+    suspect = F.col(key).isNotNull() & _may_repeat(marks, *columns)
+    alone = rows.where(~suspect).select(*rows.columns, F.lit(True).alias("is_unique"))
+    # The route is a join key of its own, for which both sides are dealt out anew, so that both can be split.
+    route = F.xxhash64(*columns)
+    looked_up = rows.where(suspect).withColumn("_route", route).join(marked.withColumn("_route", route), [*columns, "_route"], "left")
+    return alone.unionByName(looked_up.select(*rows.columns, is_unique))
 
 
 def validate(
@@ -50,9 +82,10 @@ def validate(
     entity: Entity,
     repeated: DataFrame | None = None,
     broadcast_repeated: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``is_unique``, ``quality_errors`` and ``is_valid`` to standardized rows."""
-    marked = mark_unique(rows, entity.key, repeated, broadcast_repeated)
+    marked = mark_unique(rows, entity.key, repeated, broadcast_repeated, within)
     checked = marked.withColumn("quality_errors", broken_rules(entity.rules))
     return checked.withColumn("is_valid", F.size("quality_errors") == 0)
 

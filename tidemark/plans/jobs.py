@@ -1,6 +1,10 @@
 """Entity batches and the full refresh.
 
-Every stage can be repeated: bronze and quarantine replace the batch's own
+Any number of sources of one entity are one run: they are read once, named by
+content, decided upon in bulk, and validated, quarantined and merged together, each
+as a batch of its own. The number of Spark jobs does not depend on that of the sources.
+
+Every stage can be repeated: publishing and quarantine replace a batch's own
 partition, silver merges are idempotent and become visible
 with one commit. A batch that fails stays at ``BRONZE_WRITTEN`` and resumes there.
 """
@@ -8,17 +12,28 @@ with one commit. A batch that fails stays at ``BRONZE_WRITTEN`` and resumes ther
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import ENTITIES, Entity
-from tidemark.operators.control import BRONZE_WRITTEN, SUCCESS
-from tidemark.operators.merge import merge_incremental, merge_snapshot, missing_keys
+from tidemark.operators.control import BRONZE_WRITTEN, SUCCESS, plan_files
+from tidemark.operators.merge import (
+    CHANGE,
+    CHANGES,
+    INSERTED,
+    SAME,
+    folded_changes,
+    incremental_changes,
+    missing_keys,
+    snapshot_changes,
+    unchanged_slices,
+)
 from tidemark.operators.quality import (
-    count_columns,
+    batch_counts,
     error_counts,
     invalid_rows,
     repeated_keys,
@@ -27,12 +42,11 @@ from tidemark.operators.quality import (
 )
 from tidemark.operators.quarantine import not_yet_quarantined
 from tidemark.operators.standardize import standardize
-from tidemark.plans.reports import build_reports
-from tidemark.session import tune
+from tidemark.plans.sales_state import SalesState, changed_items, changed_orders
+from tidemark.session import tuned
 from tidemark.sources import files
-from tidemark.sources.control_log import file_state, record_state
-from tidemark.sources.csv import ingest
-from tidemark.sources.fingerprint import content_hash
+from tidemark.sources.control_log import read_events, record_states
+from tidemark.sources.staging import Staging
 from tidemark.sources.tables import KeyedTable, ReportSet, append, read_batch, replace_batch
 from tidemark.sources.workspace import Workspace
 
@@ -74,10 +88,18 @@ class Layout:
     def error_counts(self) -> str:
         return f"{self.root}/control/error_counts"
 
+    @property
+    def change_counts(self) -> str:
+        return f"{self.root}/control/change_counts"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def state(self) -> str:
+        return f"{self.root}/state"
+
 
 @dataclass(frozen=True)
 class Options:
@@ -88,6 +110,8 @@ class Options:
     null_safe_quarantine: bool = True  # a retried batch adds no keyless rows again
     guard_unkeyed: bool = False  # no soft delete if the snapshot has unreadable keys
     max_missing_fraction: float | None = None  # fail if a snapshot would delete more
+    keep_versions: int = 3  # states of a silver table that stay on disk, the current one included
+    keep_for: timedelta = timedelta(0)  # and how long a replaced state stays at least
 
 
 @dataclass(frozen=True)
@@ -97,42 +121,62 @@ class BatchResult:
     total_rows: int = 0
     valid_rows: int = 0
     invalid_rows: int = 0
+    changes: Mapping[str, int] = field(default_factory=dict)  # of the run that merged it
+
+
+@dataclass(frozen=True)
+class Delivery:
+    """One source and what is to be done with it."""
+
+    source: str
+    file_hash: str
+    batch_id: str
+    action: str  # run, resume or skip
+
+    @property
+    def event(self) -> tuple[str, str, str]:
+        return self.source, self.file_hash, self.batch_id
 
 
 class SuspiciousSnapshot(RuntimeError):
     """A snapshot that would soft-delete more rows than allowed."""
 
 
-def open_batch(
-    spark: SparkSession, entity: Entity, source: str, layout: Layout, options: Options
-) -> tuple[str, str, bool]:
-    """Bring a source into bronze unless that already happened.
+def decide(spark: SparkSession, entity: Entity, hashes: Mapping[str, str], layout: Layout) -> list[Delivery]:
+    """What to do with each source (source -> content hash), in bulk.
 
-    Returns ``(file_hash, batch_id, skip)``. The batch id follows from entity and
-    content, so a crash between the bronze write and its event leaves nothing
-    behind that the retry would not replace.
+    The batch id follows from entity and content, so a crash between the bronze write
+    and its event leaves nothing behind that the retry would not replace. Of
+    sources of equal content the first counts.
     """
-    file_hash = content_hash(spark, source, entity, options.check_header)
-    state = file_state(spark, layout.control, entity.name, file_hash)
-    if state is not None and state["status"] == SUCCESS:
-        return file_hash, state["batch_id"], True
-    if state is not None and state["status"] == BRONZE_WRITTEN:
-        return file_hash, state["batch_id"], False
-    if state is not None:
-        raise ValueError(f"unknown file state {state['status']!r} of {source}")
-
-    batch_id = f"{entity.name}-{file_hash[:32]}"
-    ingest(spark, source, entity, layout.bronze(entity), batch_id, options.check_header)
-    record_state(
-        spark,
-        layout.control,
-        entity=entity.name,
-        source_file=source,
-        file_hash=file_hash,
-        batch_id=batch_id,
-        status=BRONZE_WRITTEN,
-    )
-    return file_hash, batch_id, False
+    named = [(entity.name, source, file_hash) for source, file_hash in hashes.items()]
+    files_found = spark.createDataFrame(named, "entity string, source_file string, file_hash string")
+    events = read_events(spark, layout.control).where(F.col("entity") == entity.name)
+    planned = {row["source_file"]: row for row in plan_files(files_found, events).collect()}  # one row a source
+    deliveries, seen = [], set()
+    for source, file_hash in hashes.items():
+        row = planned[source]
+        if row["action"] == "unknown":
+            raise ValueError(f"unknown file state {row['status']!r} of {source}")
+        action = "skip" if file_hash in seen else row["action"]
+        seen.add(file_hash)
+        deliveries.append(Delivery(source, file_hash, row["batch_id"] or f"{entity.name}-{file_hash[:32]}", action))
+    return deliveries
+
+
+def open_batches(
+    spark: SparkSession, entity: Entity, sources: Sequence[str], layout: Layout, options: Options
+) -> list[Delivery]:
+    """Bring sources into bronze unless that already happened, with one scan of them."""
+    with Staging(spark, layout.bronze(entity)) as staging:
+        hashes = dict(zip(sources, staging.take(sources, entity, options.check_header), strict=True))
+        deliveries = decide(spark, entity, hashes, layout)
+        new = [d for d in deliveries if d.action == "run"]
+        for delivery in new:
+            staging.publish(sources.index(delivery.source), delivery.batch_id)
+    if new:
+        record_states(spark, layout.control, entity.name, [d.event for d in new], status=BRONZE_WRITTEN)
+    return deliveries
 
 
 def load_quarantine(
@@ -140,45 +184,49 @@ def load_quarantine(
     invalid: DataFrame,
     path: str,
     key: str,
-    batch_id: str,
+    batch_ids: Sequence[str],
     null_safe: bool = True,
 ) -> None:
-    """Store the rejected rows of one batch.
+    """Store the rejected rows of some batches.
 
-    The batch's own partition is replaced, so a retry after half a write ends with
+    The batches' own partitions are replaced, so a retry after half a write ends with
     every copy. With plain equality (``null_safe=False``) rows are appended unless
     their key is stored, and keyless rows are added again.
     """
     if null_safe:
         replace_batch(invalid, path)
         return
-    if files.exists(spark, f"{path}/batch_id={batch_id}"):
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in invalid.schema)
-        stored = read_batch(spark, path, batch_id, schema)
+    stored_names = set(files.child_names(spark, path))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in invalid.schema)
+    known = [f"{path}/batch_id={b}" for b in batch_ids if f"batch_id={b}" in stored_names]
+    if known:
+        stored = spark.read.schema(schema).option("basePath", path).parquet(*known)
         invalid = not_yet_quarantined(invalid, stored, key, null_safe=False)
     append(invalid, path, "batch_id")
 
 
+def _first_load(table: KeyedTable, source: DataFrame, batch_id: str) -> dict[str, int]:
+    return table.commit_changes(source.withColumn(CHANGE, F.lit(INSERTED)), batch_id)
+
+
 def load_incremental(
     table: KeyedTable,
     source: DataFrame,
     compare: tuple[str, ...],
     batch_id: str,
     small: bool = False,
-) -> None:
-    """Upsert into a keyed table, rewriting only the slices the batch touches.
+) -> dict[str, int]:
+    """Upsert into a keyed table, rewriting only the slices the batch changes; returns the change counts.
 
     ``small`` is for callers who measured the source.
     """
     if not table.exists():
-        table.commit(source, batch_id)
-        return
-    target = table.read_slices(table.touched_slices(source))
+        return _first_load(table, source, batch_id)
+    slices = table.touched_slices(source)
+    target = table.read_slices(slices)
     if target is None:
-        rows = source
-    else:
-        rows = merge_incremental(target, source, table.key, compare, broadcast_source=small)
-    table.commit(rows, batch_id)
+        return _first_load(table, source, batch_id)
+    return table.commit_changes(incremental_changes(target, source, table.key, compare, broadcast_source=small), batch_id)
 
 
 def load_snapshot(
@@ -188,30 +236,68 @@ def load_snapshot(
     compare: tuple[str, ...],
     batch_id: str,
     max_missing_fraction: float | None = None,
-) -> None:
-    """Replace a keyed table by its merge with a full snapshot."""
+    rejected: DataFrame | None = None,
+) -> dict[str, int]:
+    """Merge a full snapshot into a keyed table, reading whole only slices that it changes; returns the change counts.
+
+    ``rejected`` are the keys that the snapshot lists without a valid row, if the caller knows them.
+    """
     target = table.read()
     if target is None:
-        table.commit(source, batch_id)
-        return
+        return _first_load(table, source, batch_id)
     if max_missing_fraction is not None:
         live = target.where("is_active")
         known = live.count()
         missing = missing_keys(live, snapshot_ids, table.key).count()
         if missing > max_missing_fraction * known:
             raise SuspiciousSnapshot(f"{missing} of {known} active rows are not in the snapshot")
-    table.commit(merge_snapshot(target, source, snapshot_ids, table.key, compare), batch_id)
+    if rejected is None:
+        rejected = missing_keys(snapshot_ids, source, table.key)
+    alike = unchanged_slices(target, source, table.slice_of_key(), table.key, compare, rejected).collect()  # one row a slice
+    same = {row["slice"]: row["n_rows"] for row in alike}
+    rest = [s for s in table.slices() if s not in same]
+    changing = ~table.slice_of_key().isin(list(same)) if same else F.lit(True)
+    target = table.read_slices(rest)
+    if target is None:
+        source = source.where(changing)
+        if source.isEmpty():
+            table.log_nothing(batch_id)
+            return dict.fromkeys(CHANGES, 0) | {SAME: sum(same.values())}
+        target = table.read().limit(0)
+    merged = snapshot_changes(target, source.where(changing), snapshot_ids.where(changing), table.key, compare)
+    return table.commit_changes(merged, batch_id, {SAME: sum(same.values())})
+
+
+def load_folded(
+    table: KeyedTable,
+    source: DataFrame,
+    compare: tuple[str, ...],
+    batch_id: str,
+    listed: DataFrame | None = None,
+    deleting: Sequence[bool] = (),
+) -> dict[str, int]:
+    """Merge several deliveries (column ``_number``) as if one after the other; returns the change counts."""
+    target = table.read() if listed is not None else table.read_slices(table.touched_slices(source))
+    if target is None:
+        target = source.drop("_number").limit(0)
+    merged = folded_changes(target, source, table.key, compare, "_number", listed, deleting)
+    return table.commit_changes(merged, batch_id)
 
 
-def _record_counts(
-    spark: SparkSession, layout: Layout, entity: Entity, batch_id: str, counts: Mapping[str, int]
+def _record_run(
+    spark: SparkSession, layout: Layout, entity: Entity, counts: Mapping[str, Mapping[str, int]]
 ) -> None:
-    row = spark.range(1).select(
-        F.lit(entity.name).alias("entity"),
-        *[F.lit(value).cast("bigint").alias(name) for name, value in counts.items()],
-        F.lit(batch_id).alias("batch_id"),
-    )
-    replace_batch(row.coalesce(1), layout.batch_counts)
+    """The row counts of each batch of a run."""
+    rows = [(entity.name, c["total_rows"], c["valid_rows"], c["invalid_rows"], b) for b, c in counts.items()]
+    schema = "entity string, total_rows bigint, valid_rows bigint, invalid_rows bigint, batch_id string"
+    replace_batch(spark.createDataFrame(rows, schema).coalesce(1), layout.batch_counts)
+
+
+def _record_changes(spark: SparkSession, layout: Layout, entity: Entity, changes: Mapping[str, int], batch_id: str) -> None:
+    """What a run changed in silver, under its last batch."""
+    row = (entity.name, *[changes[kind] for kind in CHANGES], batch_id)
+    schema = ", ".join(["entity string", *[f"{kind} bigint" for kind in CHANGES], "batch_id string"])
+    replace_batch(spark.createDataFrame([row], schema).coalesce(1), layout.change_counts)
 
 
 def _text_bytes(rows: DataFrame):
@@ -220,6 +306,126 @@ def _text_bytes(rows: DataFrame):
     return F.coalesce(F.sum(sum(sizes, F.lit(0).cast("bigint"))), F.lit(0))
 
 
+def _bronze(spark: SparkSession, layout: Layout, entity: Entity, batch_ids: Sequence[str]) -> DataFrame:
+    """The rows of some batches, listing only their folders."""
+    if len(batch_ids) == 1:
+        return read_batch(spark, layout.bronze(entity), batch_ids[0], entity.bronze_schema)
+    path = layout.bronze(entity)
+    here = set(files.child_names(spark, path))
+    folders = [f"{path}/batch_id={b}" for b in batch_ids if f"batch_id={b}" in here]
+    if not folders:
+        return spark.createDataFrame([], entity.bronze_schema)
+    return spark.read.schema(entity.bronze_schema).option("basePath", path).parquet(*folders)
+
+
+def run_entity_batches(
+    spark: SparkSession,
+    entity: Entity,
+    sources: Sequence[str],
+    layout: Layout,
+    options: Options = Options(),
+) -> list[BatchResult]:
+    """Sources of one entity in order of arrival, from CSV to quarantine and silver.
+
+    Each source (a file or a folder) is a batch; the result is that of one after the
+    other. With ``max_missing_fraction``, which looks at the state between
+    two snapshots, snapshots do run one after the other.
+    """
+    sources = list(dict.fromkeys(sources))
+    if not sources:
+        return []
+    if options.max_missing_fraction is not None and entity.snapshot and len(sources) > 1:
+        return [run_entity_batch(spark, entity, source, layout, options) for source in sources]
+    with tuned(spark):
+        return _run(spark, entity, sources, layout, options)
+
+
+def _run(spark: SparkSession, entity: Entity, sources: list[str], layout: Layout, options: Options) -> list[BatchResult]:
+    deliveries = open_batches(spark, entity, sources, layout, options)
+    active = [d for d in deliveries if d.action != "skip"]
+    for delivery in deliveries:
+        if delivery.action == "skip":
+            logger.info("%s: content already processed, skipped", delivery.source)
+    counts: dict[str, dict[str, int]] = {}
+    changes: dict[str, int] = {}
+    if active:
+        batch_ids = [d.batch_id for d in active]
+        typed = standardize(_bronze(spark, layout, entity, batch_ids), entity, options.strict)
+        with Workspace(spark, entity.name) as work:
+            # Repeated keys are counted on the key column alone; their measured number
+            # decides whether the rows themselves have to move.
+            repeated, measured = work.store(repeated_keys(typed, entity.key, "batch_id"), "repeated")
+            checked = validate(
+                typed, entity, repeated, broadcast_repeated=measured["rows"] <= BROADCAST_KEYS, within=["batch_id"]
+            )
+            checked, sizes = work.store(
+                checked,
+                "checked",
+                partition_by=("is_valid",),
+                measures=[F.count_if("is_valid").alias("valid_rows"), _text_bytes(checked).alias("text_bytes")],
+            )
+            counts = {b: {"total_rows": 0, "valid_rows": 0, "invalid_rows": 0} for b in batch_ids}
+            for row in batch_counts(checked, "batch_id").collect():  # one row a batch
+                counts[row["batch_id"]] = {name: row[name] for name in ("total_rows", "valid_rows", "invalid_rows")}
+            logger.info("%s: %s", entity.name, counts)
+            valid, invalid = valid_rows(checked), invalid_rows(checked)
+            _record_run(spark, layout, entity, counts)
+            replace_batch(error_counts(invalid, "batch_id"), layout.error_counts)
+            load_quarantine(
+                spark, invalid, layout.quarantine(entity), entity.key, batch_ids, options.null_safe_quarantine
+            )
+            small = sizes["valid_rows"] <= BROADCAST_ROWS and sizes["text_bytes"] <= BROADCAST_TEXT_BYTES
+            changes = _load_silver(spark, entity, layout, options, batch_ids, checked, valid, invalid, small)
+            _record_changes(spark, layout, entity, changes, batch_ids[-1])
+        silver_table(spark, layout, entity).drop_old_versions(options.keep_versions - 1, options.keep_for)
+        record_states(spark, layout.control, entity.name, [d.event for d in active], status=SUCCESS)
+    return [
+        BatchResult(d.batch_id, skipped=True) if d.action == "skip" else BatchResult(d.batch_id, False, **counts[d.batch_id], changes=changes)
+        for d in deliveries
+    ]
+
+
+def _load_silver(
+    spark: SparkSession,
+    entity: Entity,
+    layout: Layout,
+    options: Options,
+    batch_ids: list[str],
+    checked: DataFrame,
+    valid: DataFrame,
+    invalid: DataFrame,
+    small: bool,
+) -> dict[str, int]:
+    table, last = silver_table(spark, layout, entity), batch_ids[-1]
+    state = sales_state(spark, layout)
+    if state.reports.marks() is not None:  # else the first refresh reads everything
+        if entity.name == "orders":
+            table.before_commit = lambda new, old: state.feed.add("orders", changed_orders(new, batch_ids))
+        elif entity.name == "order_items":
+            table.before_commit = lambda new, old: state.feed.add("order_items", changed_items(new, old, batch_ids))
+    unkeyed: set[str] = set()
+    if options.guard_unkeyed and entity.snapshot:
+        rows = invalid.where(F.col(entity.key).isNull()).select("batch_id").distinct()
+        unkeyed = {row["batch_id"] for row in rows.collect()}  # at most one row a batch
+    if len(batch_ids) > 1:
+        number = F.create_map(*[F.lit(x) for n, b in enumerate(batch_ids) for x in (b, n)])[F.col("batch_id")].alias("_number")
+        listed = checked.select(entity.key, number) if entity.snapshot else None
+        return load_folded(
+            table, valid.select("*", number), entity.compare, last, listed, [b not in unkeyed for b in batch_ids]
+        )
+    if entity.snapshot and not unkeyed:
+        return load_snapshot(
+            table,
+            valid,
+            checked.select(entity.key),
+            entity.compare,
+            last,
+            options.max_missing_fraction,
+            rejected=invalid.where(F.col(entity.key).isNotNull()).select(entity.key),
+        )
+    return load_incremental(table, valid, entity.compare, last, small)
+
+
 def run_entity_batch(
     spark: SparkSession,
     entity: Entity,
@@ -228,67 +434,8 @@ def run_entity_batch(
     options: Options = Options(),
 ) -> BatchResult:
     """One source of one entity, from CSV to quarantine and silver."""
-    tune(spark)
-    file_hash, batch_id, skip = open_batch(spark, entity, source, layout, options)
-    if skip:
-        logger.info("%s: content already processed, skipped", source)
-        return BatchResult(batch_id, skipped=True)
-
-    bronze = read_batch(spark, layout.bronze(entity), batch_id, entity.bronze_schema)
-    typed = standardize(bronze, entity, options.strict)
-
-    with Workspace(spark, entity.name) as work:
-        # Repeated keys are counted on the key column alone; their measured number
-        # decides whether the rows themselves have to move.
-        repeated, measured = work.store(repeated_keys(typed, entity.key), "repeated")
-        checked = validate(
-            typed, entity, repeated, broadcast_repeated=measured["rows"] <= BROADCAST_KEYS
-        )
-        checked, counts = work.store(
-            checked,
-            "checked",
-            partition_by=("is_valid",),
-            measures=[*count_columns(), _text_bytes(checked).alias("text_bytes")],
-        )
-        text_bytes = counts.pop("text_bytes")
-        logger.info("%s: %s", batch_id, counts)
-        valid, invalid = valid_rows(checked), invalid_rows(checked)
-        _record_counts(spark, layout, entity, batch_id, counts)
-        replace_batch(error_counts(invalid, "batch_id"), layout.error_counts)
-
-        load_quarantine(
-            spark,
-            invalid,
-            layout.quarantine(entity),
-            entity.key,
-            batch_id,
-            options.null_safe_quarantine,
-        )
-        table = silver_table(spark, layout, entity)
-        unkeyed = options.guard_unkeyed and not invalid.where(F.col(entity.key).isNull()).isEmpty()
-        if entity.snapshot and not unkeyed:
-            load_snapshot(
-                table,
-                valid,
-                checked.select(entity.key),
-                entity.compare,
-                batch_id,
-                options.max_missing_fraction,
-            )
-        else:
-            small = counts["valid_rows"] <= BROADCAST_ROWS and text_bytes <= BROADCAST_TEXT_BYTES
-            load_incremental(table, valid, entity.compare, batch_id, small)
-
-    record_state(
-        spark,
-        layout.control,
-        entity=entity.name,
-        source_file=source,
-        file_hash=file_hash,
-        batch_id=batch_id,
-        status=SUCCESS,
-    )
-    return BatchResult(batch_id, skipped=False, **counts)
+    [result] = run_entity_batches(spark, entity, [source], layout, options)
+    return result
 
 
 def silver_table(spark: SparkSession, layout: Layout, entity: Entity) -> KeyedTable:
@@ -304,19 +451,19 @@ def read_silver(spark: SparkSession, layout: Layout, entity: Entity) -> DataFram
     return valid_rows(validate(standardize(bronze, entity), entity))
 
 
-def refresh_reports(spark: SparkSession, layout: Layout) -> None:
-    """Rebuild all reports from the current silver tables; all four become visible at once."""
+def sales_state(spark: SparkSession, layout: Layout) -> SalesState:
+    return SalesState(spark, layout.gold, layout.state)
+
+
+def refresh_reports(spark: SparkSession, layout: Layout, full: bool = False) -> str:
+    """Bring the reports to the current silver tables; all four become visible at once.
+
+    Reads the orders that changed since the last time, or with ``full`` all of them;
+    returns which it did, ``changes`` or ``full``.
+    """
     silver = {name: read_silver(spark, layout, entity) for name, entity in ENTITIES.items()}
-    gold = ReportSet(spark, layout.gold)
-    folder = gold.next_folder()
-    build_reports(
-        silver["orders"],
-        silver["order_items"],
-        silver["products"],
-        silver["customers"],
-        {name: f"{folder}/{name}" for name in REPORTS},
-    )
-    gold.publish()
+    with tuned(spark):
+        return sales_state(spark, layout).refresh(silver, silver_table(spark, layout, ENTITIES["orders"]), full)
 
 
 def read_report(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

@@ -37,6 +37,15 @@ def sales_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+#: What each report is about, and what it calls its items and its money.
+GROUPS = {
+    "daily_sales": ("order_date", "items_sold", "revenue"),
+    "product_performance": ("product_id", "items_sold", "revenue"),
+    "category_performance": ("category", "items_sold", "revenue"),
+    "customer_metrics": ("customer_id", "items_bought", "total_spent"),
+}
+
+
 def _totals(items_name: str, revenue_name: str) -> list:
     return [
         F.countDistinct("order_id").alias("order_count"),
@@ -45,16 +54,22 @@ def _totals(items_name: str, revenue_name: str) -> list:
     ]
 
 
-def _daily(lines: DataFrame) -> DataFrame:
-    days = lines.groupBy("order_date").agg(*_totals("items_sold", "revenue"))
+def _totals_of(name: str, lines: DataFrame) -> DataFrame:
+    group, items_name, revenue_name = GROUPS[name]
+    dates = [F.min("order_date").alias("first_order_date"), F.max("order_date").alias("last_order_date")]
+    return lines.groupBy(group).agg(*_totals(items_name, revenue_name), *(dates if name == "customer_metrics" else []))
+
+
+def day_report(days: DataFrame) -> DataFrame:
+    """Totals per day as the report shows them."""
     revenue = money(F.col("revenue"))
     return days.withColumn("revenue", revenue).withColumn(
         "average_order_value", average(F.col("revenue"), F.col("order_count"))
     )
 
 
-def _by_product(lines: DataFrame, products: DataFrame) -> DataFrame:
-    sold = lines.groupBy("product_id").agg(*_totals("items_sold", "revenue"))
+def product_report(sold: DataFrame, products: DataFrame) -> DataFrame:
+    """Totals per product_id as the report shows them, for known products."""
     named = sold.join(products.select("product_id", "name", "category"), "product_id", "inner")
     # One row per product already, unless the dimension repeats a product.
     report = named.groupBy("product_id", "name", "category").agg(
@@ -66,20 +81,15 @@ def _by_product(lines: DataFrame, products: DataFrame) -> DataFrame:
     return report.withColumn("average_selling_price", per_item)
 
 
-def _by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
-    labelled = lines.join(products.select("product_id", "category"), "product_id", "inner")
-    report = labelled.groupBy("category").agg(*_totals("items_sold", "revenue"))
-    return report.withColumn("revenue", money(F.col("revenue"))).withColumn(
+def category_report(sold: DataFrame) -> DataFrame:
+    """Totals per category as the report shows them."""
+    return sold.withColumn("revenue", money(F.col("revenue"))).withColumn(
         "average_selling_price", average(F.col("revenue"), F.col("items_sold"))
     )
 
 
-def _by_customer(lines: DataFrame, customers: DataFrame) -> DataFrame:
-    spent = lines.groupBy("customer_id").agg(
-        *_totals("items_bought", "total_spent"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-    )
+def customer_report(spent: DataFrame, customers: DataFrame) -> DataFrame:
+    """Totals per customer_id as the report shows them; unknown customers have no name."""
     spent = spent.withColumn("total_spent", money(F.col("total_spent"))).withColumn(
         "average_order_value", average(F.col("total_spent"), F.col("order_count"))
     )
@@ -87,6 +97,23 @@ def _by_customer(lines: DataFrame, customers: DataFrame) -> DataFrame:
     return spent.join(names, "customer_id", "left")
 
 
+def _daily(lines: DataFrame) -> DataFrame:
+    return day_report(_totals_of("daily_sales", lines))
+
+
+def _by_product(lines: DataFrame, products: DataFrame) -> DataFrame:
+    return product_report(_totals_of("product_performance", lines), products)
+
+
+def _by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
+    labelled = lines.join(products.select("product_id", "category"), "product_id", "inner")
+    return category_report(_totals_of("category_performance", labelled))
+
+
+def _by_customer(lines: DataFrame, customers: DataFrame) -> DataFrame:
+    return customer_report(_totals_of("customer_metrics", lines), customers)
+
+
 def daily_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders, items, revenue and average order value per day."""
     return _daily(sales_lines(orders, items))

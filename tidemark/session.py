@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # AQE picks join strategies and partition sizes from measured sizes, and splits
@@ -25,6 +28,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[SparkSession]:
+    """The settings for the time of one job; the caller's own come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    try:
+        yield tune(spark)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def build_session(app_name: str = "tidemark", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for name, value in {**SETTINGS, **extra}.items():

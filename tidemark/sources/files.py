@@ -34,6 +34,22 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as Spark's file sources name it."""
+    system, target = _open(spark, path)
+    return system.makeQualified(target).toString()
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file or folder, in the place of what ``target`` was; one step in most stores."""
+    system, old = _open(spark, path)
+    _, new = _open(spark, target)
+    system.delete(new, True)
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
     """Make a folder that goes when the session's JVM ends."""
     system, target = _open(spark, path)

@@ -2,25 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
 from tidemark.sources.csv import read_raw
 
+PARTS = ("content_rows", "content_first", "content_second")
+
 
-def rows_hash(rows: DataFrame) -> DataFrame:
-    """One row ``file_hash``: the identity of a multiset of rows of text columns.
+def content_parts(columns: Sequence[str]) -> list[Column]:
+    """What identifies a multiset of rows of text columns, as aggregates.
 
-    Taken from their number and two independent 64-bit hash sums, so neither order
-    nor the number of files or tasks matters. A NULL differs from every text.
+    Their number and two independent 64-bit hash sums, so neither order nor the
+    number of files or tasks matters. A NULL differs from every text.
     """
-    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in rows.columns]
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
     sums = [F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)")) for seed in ("first", "second")]
-    parts = [F.count(F.lit(1)), *[F.coalesce(part, F.lit(0)) for part in sums]]
-    return rows.agg(
-        F.sha2(F.concat_ws(":", *[part.cast("string") for part in parts]), 256).alias("file_hash")
-    )
+    parts = [F.count(F.lit(1)), *[F.coalesce(part, F.lit(0).cast("decimal(38,0)")) for part in sums]]
+    return [part.alias(name) for part, name in zip(parts, PARTS, strict=True)]
+
+
+def identity(parts: Mapping[str, int]) -> str:
+    """The hash of measured :func:`content_parts`."""
+    return hashlib.sha256(":".join(str(int(parts[name])) for name in PARTS).encode()).hexdigest()
+
+
+#: The identity of a file with a header only.
+NOTHING = identity(dict.fromkeys(PARTS, 0))
+
+
+def rows_hash(rows: DataFrame, *by: str) -> DataFrame:
+    """``file_hash``, the identity of a multiset of rows of text columns; with ``by``, one row for each group."""
+    columns = [c for c in rows.columns if c not in by]
+    parts = rows.groupBy(*by).agg(*content_parts(columns))
+    text = F.concat_ws(":", *[F.col(name).cast("string") for name in PARTS])
+    return parts.select(*by, F.sha2(text, 256).alias("file_hash"))
 
 
 def content_hash(
@@ -35,6 +55,12 @@ def content_hash(
     return rows_hash(read_raw(spark, source, entity, check_header)).first()["file_hash"]
 
 
+def file_hashes(spark: SparkSession, paths: str | list[str], entity: Entity, check_header: bool = True) -> DataFrame:
+    """``source_file, file_hash`` of every CSV file below ``paths``, in one pass; without those that hold a header only."""
+    raw = read_raw(spark, paths, entity, check_header)
+    return rows_hash(raw.select("*", F.col("_metadata.file_path").alias("source_file")), "source_file")
+
+
 def file_sha256(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``path, length, sha256`` of the bytes of every file; one task reads a file whole.
 

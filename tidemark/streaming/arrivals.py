@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contracts import Entity
-from tidemark.plans.jobs import Layout, Options, run_entity_batch
+from tidemark.plans.jobs import Layout, Options, run_entity_batches
 from tidemark.sources.files import child_names
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -59,10 +59,12 @@ def process_arrivals(
     pattern: str | None = None,
     files_per_trigger: int = 100,
 ) -> StreamingQuery:
-    """Run every file that is in ``folder`` now as one batch, oldest first, then stop.
+    """Run every file that is in ``folder`` now as a batch, oldest first, then stop.
 
-    Files that ``pattern`` leaves out are named in the log. Start it again to pick
-    up what arrived since. The stream remembers paths; the
+    The files of a trigger are one run, with as many Spark jobs for a thousand of them as for
+    one. Files that ``pattern`` leaves out are named in the log. Start it again to pick
+    up what arrived since. The stream remembers the path of every file that is still
+    in the folder, in the driver: move finished files away when they are millions. The
     batch itself recognises content, so a renamed copy is still skipped.
     """
 
@@ -71,8 +73,8 @@ def process_arrivals(
         logger.warning("%d files of %s do not match %s: %s", len(ignored), folder, pattern, ignored[:20])
 
     def run(files: DataFrame, _: int) -> None:
-        for file in files.orderBy("modificationTime", "path").collect():
-            run_entity_batch(spark, entity, file["path"], layout, options)
+        arrived = files.orderBy("modificationTime", "path").collect()  # at most files_per_trigger
+        run_entity_batches(spark, entity, [file["path"] for file in arrived], layout, options)
 
     return (
         arriving_files(spark, folder, pattern, files_per_trigger)
