@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fresh, slices, workspace
 from tidemark.llm.memo import Memo, flat
 
+#: Chunks that a task keeps the tokens of.
+MOST_CHUNKS = 500_000
 WINDOW = 8
 LITERALS = 4
 ENOUGH = 6
@@ -76,6 +78,12 @@ def _hash(text: str) -> int:
 
 def _tokens(chunk: str) -> list[int]:
     """Coded tokens of a chunk without spaces; a line end is a break."""
+    word = chunk.rstrip(",;.:!?")
+    if word.isalpha():  # most chunks: one word, and signs after it
+        low = word.lower()
+        capital = CAPITAL if word[0].isupper() and word != word.upper() or len(word) == 1 and word.isupper() else 0
+        ends = ENDS if len(word) < len(chunk) and chunk[len(word) :].strip(",;") else 0
+        return [_hash(low) | (UNIT_WORD if low in UNITS else WORD) | capital | ends]
     out: list[int] = []
     for found in PARTS.finditer(chunk):
         text = found.group()
@@ -105,7 +113,7 @@ def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     Words that may be names have the code of the word and the filling of the name.
     """
     if not _memo:
-        _memo.append(Memo(lambda chunks: flat([_tokens(c) for c in chunks], np.uint64), np.uint64, "templates"))
+        _memo.append(Memo(lambda chunks: flat([_tokens(c) for c in chunks], np.uint64), np.uint64, "templates", MOST_CHUNKS))
     chunks = [t.replace("\n", " \n ").split(" ") for t in texts]
     if _memo[0].full():
         _memo[0].clear()
