@@ -29,6 +29,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,6 +125,19 @@ def _anchored(batches):
             )
 
 
+def _packed(batches):
+    """Texts on their way to where they are cut, compressed: they are moved twice."""
+    compressor = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        bodies = pa.array([compressor.compress(t) if t else None for t in byte_texts(batch["text"])], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch["key"], batch["doc_id"], bodies], ["key", "doc_id", "body"])
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    decompressor = zstandard.ZstdDecompressor()
+    return [decompressor.decompress(x) if x else b"" for x in column.to_pylist()]
+
+
 UNIT = "unit long, key long, doc_id long, start long, size int, region binary"
 _UNIT = pa.schema([("unit", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("size", pa.int32()), ("region", pa.binary())])
 
@@ -145,7 +159,7 @@ def _regions(units: int):
         bytes_held = 0
         for batch in batches:
             columns = (batch[c] for c in ("key", "doc_id", "found"))
-            for raw, key, doc_id, found in zip(byte_texts(batch["text"]), *(c.to_pylist() for c in columns), strict=True):
+            for raw, key, doc_id, found in zip(_unpacked(batch["body"]), *(c.to_pylist() for c in columns), strict=True):
                 doc_id = LAST if doc_id is None else doc_id
                 for anchor, place, hot in sorted({(f["anchor"], f["place"], f["hot"]) for f in found}):
                     start, count = place >> 7, place & 127
@@ -328,7 +342,7 @@ def _cut(batches):
     """Documents without their repeated stretches."""
     for batch in batches:
         rows = []
-        for raw, found in zip(byte_texts(batch["text"]), batch["found"].to_pylist(), strict=True):
+        for raw, found in zip(_unpacked(batch["body"]), batch["found"].to_pylist(), strict=True):
             kept, at, spans, removed = [], 0, 0, 0
             stop = -1
             for f in sorted((f["start"], f["stop"]) for f in found or ()):
@@ -357,17 +371,20 @@ def without_repeats(docs: DataFrame, unit_bytes: int = UNIT_BYTES, hot: int = HO
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    places = texts.select("key", "text").mapInArrow(_anchored, "anchor long, key long, place long")
+    # Written, so that texts are anchored once, and both sides of the join are dealt out anew and can be split.
+    places, _ = work.store(texts.select("key", "text").mapInArrow(_anchored, "anchor long, key long, place long"), "places")
     repeated = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated, _ = work.store(repeated.select("anchor", (F.col("n") > hot).alias("hot")), "anchors")
     found, seen = work.store(
-        places.join(repeated.select("anchor", (F.col("n") > hot).alias("hot")), "anchor"),
+        places.join(repeated, "anchor"),
         "repeated",
         measures=[F.coalesce(F.sum(F.expr("place & 127") + LENGTH), F.lit(0)).alias("bytes")],
     )
     units = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen["bytes"] // unit_bytes))
     by_document = found.groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "hot")).alias("found"))
-    regions = texts.join(by_document, "key").mapInArrow(_regions(units), UNIT)
+    bodies = texts.mapInArrow(_packed, "key long, doc_id long, body binary")
+    regions = bodies.join(by_document, "key").mapInArrow(_regions(units), UNIT)
     stretches = regions.groupBy("unit").applyInPandas(_repeats, "key long, start long, stop long")
     cuts = stretches.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
-    rows = texts.join(cuts, "key", "left").select("doc_id", "text", "found")
+    rows = bodies.join(cuts, "key", "left").select("doc_id", "body", "found")
     return rows.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary")
