@@ -70,6 +70,32 @@ def test_near_duplicates(spark, monkeypatch, percent, block):
     assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (want[r.doc_id] == r.doc_id) for r in got)
 
 
+def test_rows_that_repeat_a_doc_id_are_judged_by_their_own_text(spark):
+    base = [(i % 23, t) for i, t in _noisy()] + [(3, "one text alone here now"), (3, "another text quite alone"), (None, "one text alone here now")]
+    rows = [(i, t) for i, t in base if i is not None]
+    sets = [shingles(t) for _, t in rows]
+    links = [
+        (a, b) for a, b in itertools.combinations(range(len(rows)), 2)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    roots = components(range(len(rows)), links)
+    least = {}
+    for n, (i, _) in enumerate(rows):
+        least[roots[n]] = min(i, least.get(roots[n], i))
+    want = sorted((i, least[roots[n]]) for n, (i, _) in enumerate(rows))
+    got = near_dedup.near_duplicates(table(spark, base), 80).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == want
+    kept = sorted((r.doc_id, r.text) for r in near_dedup.without_near_copies(table(spark, base)).where("doc_id IS NOT NULL").collect())
+    assert kept == sorted((i, t) for n, (i, t) in enumerate(rows) if least[roots[n]] == i)
+
+
+def test_a_unique_row_is_not_lost_with_its_namesake(spark):
+    text = "the quick brown fox jumps over the lazy dog"
+    docs = table(spark, [(3, text), (7, text.upper()), (7, "a text unlike all of the others in the table")])
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()) == [(3, 3, True), (7, 3, False), (7, 7, True)]
+    assert sorted((r.doc_id, r.text[:3]) for r in near_dedup.without_near_copies(docs).collect()) == [(3, "the"), (7, "a t")]
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(0)
     items = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)

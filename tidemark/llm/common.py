@@ -84,6 +84,8 @@ def connected_components(spark: SparkSession, edges: DataFrame, work: Workspace,
         near = ways if large else ways.where("b < a")
         least = near.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         chosen = ways.where("b > a") if large else near
+        # Written, so that both sides of the join are dealt out anew, and a hot centre can be split.
+        least, _ = work.store(least, f"{name}-{step}-{'large' if large else 'small'}-least")
         linked = chosen.join(least, "a").select(F.col("b").alias("x"), F.col("m").alias("y"))
         if not large:
             linked = linked.union(least.select(F.col("a").alias("x"), F.col("m").alias("y")))

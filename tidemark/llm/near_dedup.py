@@ -16,8 +16,10 @@
 
 A text without words (null, empty, white space) has an empty set and is linked
 to nothing. Fewer words than a shingle are one shingle. Rows that repeat a doc_id
-are one document with several texts. Rows without doc_id are linked to nothing and
-kept, with a null component. Extra columns are ignored.
+with different texts are judged row by row: each has the component of its own text,
+and stays if no linked text has a smaller doc_id. Rows without doc_id are linked to
+nothing and kept, with a null component. An empty table gives no rows. Texts of any
+length are taken whole. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import byte_texts, connected_components, fresh, slices, workspace
+from tidemark.llm.exact_dedup import row_key
 from tidemark.llm.memo import Memo
 
 SHINGLE = 5
@@ -115,11 +118,12 @@ def _sketched(batches):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"][a:b],
+                    batch["row_key"][a:b],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(names, pa.binary()),
                     pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "words", "sketch"],
+                ["doc_id", "row_key", "n_shingles", "words", "sketch"],
             )
 
 
@@ -131,7 +135,7 @@ def _bands(batches):
         keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         keys ^= keys >> np.uint64(29)
         owner = pa.array(np.repeat(np.arange(len(table)), BANDS))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), batch["first_id"].take(owner)], ["band", "first_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), batch["class"].take(owner)], ["band", "class"])
 
 
 def log_likelihood(more: np.ndarray, less: np.ndarray, equal: np.ndarray, n: np.ndarray, m: np.ndarray, similarity):
@@ -162,7 +166,7 @@ def _block_links(percent: int):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         sets = [shingles(h) for h in word_hashes([_split(t.encode()) for t in rows["text"]])]
-        ids, block = rows["first_id"].to_numpy(np.int64), rows["block"].to_numpy()
+        ids, block = rows["class"].to_numpy(np.int64), rows["block"].to_numpy()
         if not sets:
             return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
         sizes = np.array([len(s) for s in sets])
@@ -196,45 +200,53 @@ def _block_links(percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, row_key, n_shingles, component_id, kept.
 
-    Documents are linked when 100 times the intersection of their sets is at
+    ``row_key`` is ``exact_dedup.row_key(docs)``, by which the row can be found again. Documents are linked when 100 times the intersection of their sets is at
     least ``percent`` times the union.
     """
     spark = docs.sparkSession
     work = workspace(spark, "near-dedup")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("row_key"), F.col("text").cast("string").alias("text"))
     sketched, _ = work.store(
-        texts.mapInArrow(_sketched, "doc_id long, n_shingles long, words binary, sketch binary"), "sketches"
+        texts.mapInArrow(_sketched, "doc_id long, row_key long, n_shingles long, words binary, sketch binary"), "sketches"
     )
     named = sketched.where("words IS NOT NULL AND doc_id IS NOT NULL")
+    # A class has a number of its own, as rows that repeat a doc_id may be of several.
     classes, _ = work.store(
-        named.groupBy("words").agg(F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles")),
+        named.groupBy("words")
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            F.min_by("row_key", F.struct("doc_id", "row_key")).alias("row_key"),
+            F.first("sketch").alias("sketch"),
+            F.first("n_shingles").alias("n_shingles"),
+        )
+        .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
-    keys = classes.mapInArrow(_bands, "band long, first_id long")
-    least = keys.groupBy("band").agg(F.min("first_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = keys.join(least.select("band", "least"), "band").where("first_id <> least")
-    stars = stars.select(F.col("first_id").alias("a"), F.col("least").alias("b")).distinct()
-    clusters = connected_components(spark, stars, work, "clusters")
+    keys = classes.select("class", "sketch").mapInArrow(_bands, "band long, class long")
+    least = keys.groupBy("band").agg(F.min("class").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    stars = keys.join(least.select("band", "least"), "band").where("class <> least")
+    stars = stars.select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
+    clusters = connected_components(spark, stars, work, "clusters").withColumnRenamed("node", "class")
+    located = clusters.join(classes.select("class", "first_id", "row_key", "n_shingles"), "class")
     blocked = (
-        clusters.join(classes.select(F.col("first_id").alias("node"), "n_shingles"), "node")
-        .groupBy("component")
+        located.groupBy("component")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("n_shingles"))
         .select(
             "component",
             F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
         )
     )
-    members = clusters.join(blocked, "component").select(
-        F.col("node").alias("doc_id"), "component", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")
+    members = located.join(blocked, "component").select(
+        F.col("first_id").alias("doc_id"), "row_key", "class", "component", "blocks", F.pmod(F.xxhash64("class"), "blocks").cast("int").alias("block")
     )
     pairs = (
         texts.where("text IS NOT NULL")
-        .join(members, "doc_id")
+        .join(members, ["doc_id", "row_key"])
         .withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            F.col("doc_id").alias("first_id"),
+            "class",
             "text",
             "component",
             "block",
@@ -245,21 +257,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     links = pairs.groupBy("component", "low", "other").applyInPandas(_block_links(percent), "a long, b long")
     links, _ = work.store(links, "links")
     joined = connected_components(spark, links, work, "components")
-    known = classes.select("words", "first_id").join(
-        joined.select(F.col("node").alias("first_id"), "component"), "first_id", "left"
-    )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first_id", "doc_id"))
+    rooted = classes.select("words", "first_id", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
+    rooted, _ = work.store(rooted.select("words", "first_id", F.coalesce("component", "class").alias("root")), "rooted")
+    first, _ = work.store(rooted.groupBy("root").agg(F.min("first_id").alias("component")), "first")
+    known, _ = work.store(rooted.join(first, "root").select("words", "component"), "known")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
-        sketched.select("doc_id", "n_shingles", "words")
+        sketched.select("doc_id", "row_key", "n_shingles", "words")
         .join(known, "words", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
+        .select("doc_id", "row_key", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
 
 def without_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns; rows, not doc_ids, are dropped."""
     work = workspace(docs.sparkSession, "near-copies")
-    gone, _ = work.store(near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct(), "gone")
-    name = fresh(docs, "gone")
-    return docs.join(gone.withColumnRenamed("doc_id", name), F.col("doc_id") == F.col(name), "left_anti")
+    key, doc_id = fresh(docs, "gone_key"), fresh(docs, "gone_id")
+    gone = near_duplicates(docs, percent).where("NOT kept").select(F.col("row_key").alias(key), F.col("doc_id").alias(doc_id)).distinct()
+    gone, _ = work.store(gone, "gone")
+    same = (row_key(docs) == F.col(key)) & (docs["doc_id"].cast("long") == F.col(doc_id))
+    return docs.join(gone, same, "left_anti")

@@ -25,7 +25,7 @@ def op5_exact_dedup(spark, sf_dir):
 
 
 def op2_near_dedup(spark, sf_dir):
-    return near_duplicates(documents(spark, sf_dir), percent=85)
+    return near_duplicates(documents(spark, sf_dir), percent=85).drop("row_key")
 
 
 def op3_suffix_dedup(spark, sf_dir):
