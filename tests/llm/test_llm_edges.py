@@ -36,7 +36,7 @@ OPERATORS = {
     "suffix_dedup": lambda docs, tmp: suffix_dedup.without_repeats(docs),
     "language": lambda docs, tmp: language.predict(docs, language.fit(docs)),
     "exact_dedup": lambda docs, tmp: exact_dedup.exact_duplicates(docs),
-    "pseudonyms": lambda docs, tmp: pseudonyms.pseudonymise(docs),
+    "pseudonyms": lambda docs, tmp: pseudonyms.pseudonymise(docs, "k"),
     "quality_votes": lambda docs, tmp: quality_votes.score(docs, quality_votes.fit(docs, labels(docs.sparkSession))),
     "decontaminate": lambda docs, tmp: decontaminate.decontaminate(docs, items(docs.sparkSession)),
     "piece_encoding": lambda docs, tmp: piece_encoding.encode_digests(docs),

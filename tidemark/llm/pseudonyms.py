@@ -7,18 +7,24 @@ and the other half. Equal values get equal pseudonyms in all documents, differen
 ones different pseudonyms, and nothing is stored.
 
 kind     validated by                                permuted
-card     13 to 19 digits, Luhn sum                   all digits but the last, which is the new check digit
+card     13 to 19 digits in groups, Luhn sum         all digits but the last, which is the new check digit
 iban     length, remainder 1 modulo 97               digits after the check digits, which are made anew
-ssn      ddd-dd-dddd, no impossible group            digits
-phone    + and 8 to 15 digits, or (ddd) ddd-dddd     digits after the country code
+ssn      ddd-dd-dddd, no impossible group            area, group and number among the possible ones
+phone    + and 8 to 15 digits, or ddd ddd dddd       digits after the country code
 ip       four numbers up to 255                      all 32 bits
 date     a day of the years 1800 to 2199             days of these 400 years (146,097 = 189 x 773)
 email    name@domain                                 letters and digits of the name, base 36
 secret   32 or more hex digits, quoted, assigned     hex digits
 
+A value's signs (spaces, dashes, points, leading zeros) stay as they were written and
+do not matter for the pseudonym, so one number in two spellings stays one number.
+The key has no default and decides everything: whoever has it can undo the
+pseudonyms. It is a literal of the plan, so keep plans and event logs as secret as it.
+
 Candidates that fail their rule (a number that is no card, a version number) stay
-as they are. A null text stays null, an empty one empty. Rows that repeat a
-doc_id are handled one by one; extra columns are ignored. There is no shuffle.
+as they are. A null text stays null, an empty one empty; texts and secrets may be of any
+length. Rows that repeat a doc_id are handled one by one, an empty table gives no
+rows; extra columns are ignored. There is no shuffle.
 """
 
 from __future__ import annotations
@@ -26,24 +32,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "tidemark"
 ROUNDS = 8
 #: Characters permuted together; longer values are cut into such pieces.
 PIECE = 18
 KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
 
+#: Length of an IBAN by country (fixed values, ISO 13616).
+IBAN_LENGTHS = {
+    "NO": 15, "BE": 16, "DK": 18, "FI": 18, "FO": 18, "GL": 18, "NL": 18, "MK": 19, "SI": 19, "AT": 20, "BA": 20, "EE": 20,
+    "KZ": 20, "LT": 20, "LU": 20, "XK": 20, "CH": 21, "HR": 21, "LI": 21, "LV": 21, "BG": 22, "BH": 22, "CR": 22, "DE": 22,
+    "GB": 22, "GE": 22, "IE": 22, "ME": 22, "RS": 22, "VA": 22, "AE": 23, "GI": 23, "IL": 23, "IQ": 23, "TL": 23, "AD": 24,
+    "CZ": 24, "ES": 24, "MD": 24, "PK": 24, "RO": 24, "SA": 24, "SE": 24, "SK": 24, "TN": 24, "VG": 24, "LY": 25, "PT": 25,
+    "ST": 25, "IS": 26, "TR": 26, "FR": 27, "GR": 27, "IT": 27, "MC": 27, "MR": 27, "SM": 27, "AL": 28, "AZ": 28, "BY": 28,
+    "CY": 28, "DO": 28, "GT": 28, "HU": 28, "LB": 28, "PL": 28, "SV": 28, "BR": 29, "EG": 29, "PS": 29, "QA": 29, "UA": 29,
+    "JO": 30, "KW": 30, "MU": 30, "MT": 31, "SC": 31, "LC": 32,
+}
+#: Country codes of telephone numbers of one and two digits; all others have three (fixed values, ITU E.164).
+CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
 _EDGE, _STOP = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + _STOP,
-    "secret": r"(?<=[=:] ?[\"'])[0-9A-Fa-f]{32,128}+(?=[\"'])",
-    "ip": r"(?<![\p{L}\p{N}.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[\p{L}\p{N}])",
-    "iban": _EDGE + r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}" + _STOP,
-    "date": _EDGE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})" + _STOP,
-    "ssn": _EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _STOP,
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}" + _STOP
-    + r"|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}" + _STOP,
-    "card": _EDGE + r"[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}" + _STOP,
+_LEFT = {
+    "email": r"(?<![A-Za-z0-9._%+-])",
+    "secret": r"(?<=[=:] ?[\"'])",
+    "ip": r"(?<![\p{L}\p{N}.])",
+    "phone": r"(?<![\p{L}\p{N}+.-])",
+    "card": r"(?<![\p{L}\p{N}.-])",
 }
+_RIGHT = {"secret": r"(?=[\"'])", "ip": r"(?!\.?[\p{L}\p{N}])", "phone": r"(?![.-]?[\p{L}\p{N}])", "card": r"(?!-?[\p{L}\p{N}])"}
+
+
+def _ibans() -> str:
+    """Compact, or with single spaces or dashes between any two characters, as long as the country's are."""
+    by_length: dict[int, list[str]] = {}
+    for country, length in IBAN_LENGTHS.items():
+        by_length.setdefault(length, []).append(country)
+    known = [f"(?:{'|'.join(names)})[ -]?[0-9]{{2}}(?:[ -]?[A-Z0-9]){{{n - 4}}}" for n, names in by_length.items()]
+    return "|".join([*known, "[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"])
+
+
+#: Each kind's written forms; what may not stand beside them is in ``_LEFT`` and ``_RIGHT``.
+FORMS = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "secret": r"[0-9A-Fa-f]{32,}+",
+    "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
+    "iban": _ibans(),
+    "date": r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}",
+    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|\+[0-9]{8,15}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}"
+    r"|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}",
+    "card": r"[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|[0-9]{13,19}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{2,7}(?:[ -][0-9]{2,7}){2,6}",
+}
+PATTERNS = {kind: f"{_LEFT.get(kind, _EDGE)}(?:{form}){_RIGHT.get(kind, _STOP)}" for kind, form in FORMS.items()}
 ANY = "|".join(PATTERNS.values())
 
 
@@ -146,22 +185,42 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    tail = m.substr(F.lit(5), F.length(m))
-    moved = refill(tail, "[0-9]", permute(_digits(tail), 10, key, "iban"))
-    new = _let(moved, lambda t: F.concat(m.substr(1, 2), F.lpad((98 - _mod97(F.concat(m.substr(1, 2), F.lit("00"), t))).cast("string"), 2, "0"), t))
-    return F.when((_mod97(m) == 1) & F.length(m).between(15, 34), new)
+    def made(bare: Column) -> Column:
+        tail = bare.substr(F.lit(5), F.length(bare))
+        moved = refill(tail, "[0-9]", permute(_digits(tail), 10, key, "iban"))
+        new = _let(moved, lambda t: F.concat(bare.substr(1, 2), F.lpad((98 - _mod97(F.concat(bare.substr(1, 2), F.lit("00"), t))).cast("string"), 2, "0"), t))
+        return F.when((_mod97(bare) == 1) & F.length(bare).between(15, 34), refill(m, "[A-Z0-9]", new))
+
+    return _let(F.regexp_replace(m, "[ -]", ""), made)
 
 
 def _ssn(m: Column, key: str) -> Column:
+    """Areas 001 to 899 but 666, groups 01 to 99 and numbers 0001 to 9999, counted without the gaps."""
     valid = ~m.rlike("^(000|666|9)|-00-|-0000$")
-    return F.when(valid, refill(m, "[0-9]", permute(_digits(m), 10, key, "ssn")))
+    area, group, number = (m.substr(a, n).cast("int") for a, n in ((1, 3), (5, 2), (8, 4)))
+    place = area - 1 - F.when(area > 666, 1).otherwise(0)
+    moved = feistel(place, (group - 1) * 9999 + number - 1, F.lit(898), F.lit(99 * 9999), key, "ssn", F.lit(""))
+
+    def written(s: Column) -> Column:
+        shown = s["a"] + 1 + F.when(s["a"] + 1 >= 666, 1).otherwise(0)
+        parts = ((shown, 3), (F.floor(s["b"] / 9999) + 1, 2), (s["b"] % 9999 + 1, 4))
+        return F.concat_ws("-", *[F.lpad(x.cast("string"), n, "0") for x, n in parts])
+
+    return F.when(valid, _let(moved, written))
 
 
 def _phone(m: Column, key: str) -> Column:
-    code = F.regexp_extract(m, r"^(\+[0-9]{1,3})(?=[ .(-])|^(\+[0-9]{2})", 0)
-    rest = m.substr(F.length(code) + 1, F.length(m))
-    new = F.concat(code, refill(rest, "[0-9]", permute(_digits(rest), 10, key, "phone")))
-    return F.when(F.length(_digits(m)).between(8, 15), new)
+    """Digits after the country code, however they are grouped; numbers without one as a whole."""
+    digits = _digits(m)
+    size = F.when(~m.startswith("+"), 0)
+    for n in (1, 2):
+        size = size.when(digits.substr(1, n).isin([c for c in CODES if len(c) == n]), n)
+
+    def made(n: Column) -> Column:
+        rest = digits.substr(n + 1, F.length(digits))
+        return refill(m, "[0-9]", F.concat(digits.substr(F.lit(1), n), permute(rest, 10, key, "phone")))
+
+    return F.when(F.length(digits).between(8, 15), _let(size.otherwise(3), made))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -172,7 +231,10 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    """ISO, or day and month and year with strokes or points; month first where only that is a day."""
+    """ISO, or day and month and year with strokes or points; month first where only that is a day.
+
+    Days and months below ten have a zero if they had one, or had none to show.
+    """
     first = F.lit("1800-01-01").cast("date")
 
     def moved(day: Column) -> Column:
@@ -182,19 +244,28 @@ def _date(m: Column, key: str) -> Column:
         return F.when(inside, _let(pair, lambda s: F.date_add(first, (s["a"] * 773 + s["b"]).cast("int"))))
 
     def day(y, mo, d):
-        return F.concat_ws("-", y, mo, d).try_cast("date")
+        return F.concat_ws("-", y, F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")).try_cast("date")
+
+    def made(parts: Column) -> Column:
+        a, b, c = parts[0], parts[1], parts[2]
+        iso = m.rlike("^[0-9]{4}-")
+        sign = F.regexp_extract(m, "[-/.]", 0)
+        short = m.rlike("(^|[-/.])[0-9]([-/.]|$)")
 
-    def written(x, one, two, three):
-        return F.concat(F.date_format(x, one), sign, F.date_format(x, two), sign, F.date_format(x, three))
+        def shown(x: Column, *letters: str) -> Column:
+            def part(letter: str) -> Column:
+                if letter == "y":
+                    return F.date_format(x, "yyyy")
+                return F.when(short, F.date_format(x, letter)).otherwise(F.date_format(x, letter * 2))
 
-    a, b, y = m.substr(1, 2), m.substr(4, 2), m.substr(7, 4)
-    sign = m.substr(3, 1)
-    iso = F.date_format(moved(m.try_cast("date")), "yyyy-MM-dd")
-    back = _let(moved(day(y, b, a)), lambda x: written(x, "dd", "MM", "yyyy"))
-    front = _let(moved(day(y, a, b)), lambda x: written(x, "MM", "dd", "yyyy"))
-    slash = F.when(day(y, b, a).isNotNull(), F.when(moved(day(y, b, a)).isNotNull(), back))
-    slash = slash.otherwise(F.when(moved(day(y, a, b)).isNotNull(), front))
-    return F.when(m.rlike("^[0-9]{4}-"), iso).otherwise(slash)
+            return F.concat_ws("/", *map(part, letters))
+
+        days = F.when(iso, moved(day(a, b, c))).when(day(c, b, a).isNotNull(), moved(day(c, b, a))).otherwise(moved(day(c, a, b)))
+        front = ~iso & day(c, b, a).isNull()
+        written = _let(days, lambda x: F.when(x.isNotNull(), F.when(iso, shown(x, "y", "M", "d")).when(front, shown(x, "M", "d", "y")).otherwise(shown(x, "d", "M", "y"))))
+        return F.replace(written, F.lit("/"), sign)
+
+    return _let(F.split(m, "[-/.]"), made)
 
 
 def _email(m: Column, key: str) -> Column:
@@ -211,12 +282,12 @@ def _secret(m: Column, key: str) -> Column:
 _MAKERS = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date, "email": _email, "secret": _secret}
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, text with pseudonyms, n_private, and the number of each kind (n_card ...)."""
 
     def one(m: Column) -> Column:
         """The kind whose rule the candidate passes first, and its pseudonym."""
-        made = [F.when(m.rlike(f"^(?:{_bare(k)})$"), F.struct(F.lit(k).alias("kind"), _MAKERS[k](m, key).alias("new"))) for k in PATTERNS]
+        made = [F.when(m.rlike(f"^(?:{FORMS[k]})$"), F.struct(F.lit(k).alias("kind"), _MAKERS[k](m, key).alias("new"))) for k in FORMS]
         valid = [F.when(x["new"].isNotNull(), x) for x in made]
         return F.coalesce(*valid, F.struct(F.lit(None).cast("string").alias("kind"), m.alias("new")))
 
@@ -236,10 +307,3 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     changed = F.when(F.size("found") > 0, new).otherwise(F.col("text"))
     return rows.select("doc_id", changed.alias("text"), total, *kinds)
 
-
-def _bare(kind: str) -> str:
-    """A kind's pattern without what it asks of the surroundings."""
-    pattern = PATTERNS[kind]
-    for edge in (_EDGE, _STOP, r"(?<![A-Za-z0-9._%+-])", r"(?<=[=:] ?[\"'])", r"(?=[\"'])", r"(?<![\p{L}\p{N}.])", r"(?!\.?[\p{L}\p{N}])", r"(?<![\p{L}\p{N}+])"):
-        pattern = pattern.replace(edge, "")
-    return pattern

@@ -39,7 +39,8 @@ def op4_language(spark, sf_dir):
 
 
 def op6_pseudonyms(spark, sf_dir):
-    return pseudonyms.pseudonymise(documents(spark, sf_dir))
+    key = spark.conf.get("spark.tidemark.pseudonyms.key", "for comparisons only")
+    return pseudonyms.pseudonymise(documents(spark, sf_dir), key)
 
 
 def op7_warc(spark, sf_dir):
