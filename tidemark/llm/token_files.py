@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -49,7 +50,7 @@ BLOCK_IDS = 1 << 22
 MOST_WORDS = 1_000_000
 SIGNS = ".,!#$%&*|?;:"
 KEYS_PER_BUCKET = 4
-BLOCKS = "part int, block int, shard long, first long, n_ids long, width int, nulls int, keys binary, ends binary, index binary, payload binary"
+BLOCKS = "part int, block int, shard long, first long, before long, n_ids long, width int, nulls int, keys binary, ends binary, index binary, payload binary"
 
 
 # -- ids ---------------------------------------------------------------------------------
@@ -75,10 +76,16 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _is_word(self, unit: str) -> bool:
+        if unit.isascii():
+            return unit.isalpha() and unit.islower()
+        return self.LETTERS.fullmatch(unit) is not None
+
     def _learn_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters share a text, where each ends with the only piece that ends a word."""
         lists: list[list[int]] = []
-        words = [u for u in units if self.LETTERS.fullmatch(u)]
+        is_word = [self._is_word(u) for u in units]
+        words = list(compress(units, is_word))
         for a in range(0, len(words), 1000):
             some = words[a : a + 1000]
             ids = self._library([" ".join(some)])[0]
@@ -86,7 +93,7 @@ class Encoder:
             if len(cuts) != len(some):
                 raise ValueError("a word did not end once")
             lists += map(ids.__getitem__, map(slice, [0, *cuts[:-1]], cuts))
-        others = [u for u in units if not self.LETTERS.fullmatch(u)]
+        others = [u for u, word in zip(units, is_word, strict=True) if not word]
         place = dict(zip(words + others, lists + self._library(others), strict=True))
         return flat([place[u] for u in units], self.dtype)
 
@@ -96,7 +103,7 @@ class Encoder:
         lengths = np.ones(len(chunks), np.int64)
         for i, chunk in enumerate(chunks):
             word = chunk.rstrip(SIGNS)
-            if word != chunk and self.LETTERS.fullmatch(word):
+            if word != chunk and self._is_word(word):
                 units += (word, chunk[len(word) :])
                 lengths[i] = 2
             else:
@@ -204,7 +211,7 @@ def find(index: bytes, keys: np.ndarray) -> np.ndarray:
 
 
 def _blocks(model: str, end_id: int, span: int, block_ids: int):
-    def close(part, block, shard, keys, ids, width):
+    def close(part, block, shard, keys, ids, before, width):
         own = np.array([k for k in keys if k is not None], np.int64)
         nulls = len(keys) - len(own)
         distinct, first = np.unique(own, return_index=True)
@@ -214,6 +221,7 @@ def _blocks(model: str, end_id: int, span: int, block_ids: int):
             "block": block,
             "shard": shard,
             "first": None if nulls == len(keys) else int(own[0]),
+            "before": before,
             "n_ids": int(ends[-1]),
             "width": width,
             "nulls": nulls,
@@ -225,7 +233,7 @@ def _blocks(model: str, end_id: int, span: int, block_ids: int):
         return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
     def run(batches):
-        part, block, shard, keys, ids, held = TaskContext.get().partitionId(), 0, None, [], [], 0
+        part, block, shard, keys, ids, held, before = TaskContext.get().partitionId(), 0, None, [], [], 0, 0
         code = encoder(model)
         end = np.array([end_id], code.dtype)
         for batch in batches:
@@ -235,20 +243,20 @@ def _blocks(model: str, end_id: int, span: int, block_ids: int):
                 for key, found in zip(doc_ids[a:b], code.encode(texts[a:b]), strict=True):
                     now = None if key is None else key // span
                     if keys and (now != shard or held >= block_ids):
-                        yield close(part, block, shard, keys, ids, code.width)
-                        block, keys, ids, held = block + 1, [], [], 0
+                        yield close(part, block, shard, keys, ids, before, code.width)
+                        block, keys, ids, held, before = block + 1, [], [], 0, before + held
                     shard = now
                     keys.append(key)
                     ids.append(np.append(found, end))
                     held += len(ids[-1])
         if keys:
-            yield close(part, block, shard, keys, ids, code.width)
+            yield close(part, block, shard, keys, ids, before, code.width)
 
     return run
 
 
 _SCHEMA = pa.schema(
-    [("part", pa.int32()), ("block", pa.int32()), ("shard", pa.int64()), ("first", pa.int64()), ("n_ids", pa.int64())]
+    [("part", pa.int32()), ("block", pa.int32()), ("shard", pa.int64()), ("first", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64())]
     + [("width", pa.int32()), ("nulls", pa.int32())]
     + [(name, pa.binary()) for name in ("keys", "ends", "index", "payload")]
 )
@@ -275,50 +283,38 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     ids as little-endian unsigned 32-bit integers.
     """
     blocks = spark.read.parquet(path)
-    totals = sorted((r["part"], r["n"]) for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
-    before = dict(zip([p for p, _ in totals], np.cumsum([0] + [n for _, n in totals]).tolist(), strict=False))
-    starts = blocks.select("part", "block", "n_ids").groupBy("part").applyInPandas(_starts(before), "part int, block int, base long")
-    joined = blocks.join(starts, ["part", "block"]) if totals else blocks.withColumn("base", F.lit(0).cast("long"))
-    return joined.select("base", "width", "nulls", "keys", "ends", "index", "payload").mapInArrow(
-        _documents, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    totals = sorted((r["part"], r["n"]) for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())  # one row a partition
+    starts = dict(zip([p for p, _ in totals], np.cumsum([0] + [n for _, n in totals]).tolist(), strict=False))
+    return blocks.select("part", "before", "width", "nulls", "keys", "ends", "index", "payload").mapInArrow(
+        _documents(starts), "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
 
-def _starts(before: dict[int, int]):
-    """The place of each block of one range partition."""
+def _documents(part_starts: dict[int, int]):
+    """The documents of blocks; a block's place is that of its part and what the part holds before it."""
 
-    def run(blocks: pd.DataFrame) -> pd.DataFrame:
-        blocks = blocks.sort_values("block")
-        return pd.DataFrame(
-            {
-                "part": blocks["part"],
-                "block": blocks["block"],
-                "base": before[int(blocks["part"].iloc[0])] + blocks["n_ids"].cumsum() - blocks["n_ids"],
-            }
-        )
+    def run(batches):
+        for batch in batches:
+            for block in batch.to_pylist():
+                keys = np.frombuffer(block["keys"], "<i8")
+                distinct, copies = np.unique(keys, return_counts=True)
+                first = find(block["index"], distinct)
+                if (first < 0).any():
+                    raise ValueError("a key of the block is not in its index")
+                at = np.repeat(first, copies) + np.arange(len(keys)) - np.repeat(np.cumsum(copies) - copies, copies)
+                at = np.concatenate([np.arange(block["nulls"]), at])
+                ids = [None] * block["nulls"] + np.repeat(distinct, copies).tolist()
+                ends = np.frombuffer(block["ends"], "<i8")
+                starts = np.concatenate([[0], ends[:-1]])
+                base = part_starts[block["part"]] + block["before"]
+                sums = [zlib.crc32(_record(block, i).astype("<u4").tobytes()) for i in at.tolist()]
+                columns = [ids, (base + starts[at]).tolist(), (ends - starts)[at].tolist(), sums]
+                arrays = [pa.array(c, pa.int64()) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return run
 
 
-def _documents(batches):
-    for batch in batches:
-        for block in batch.to_pylist():
-            keys = np.frombuffer(block["keys"], "<i8")
-            distinct, copies = np.unique(keys, return_counts=True)
-            first = find(block["index"], distinct)
-            if (first < 0).any():
-                raise ValueError("a key of the block is not in its index")
-            at = np.repeat(first, copies) + np.arange(len(keys)) - np.repeat(np.cumsum(copies) - copies, copies)
-            at = np.concatenate([np.arange(block["nulls"]), at])
-            ids = [None] * block["nulls"] + np.repeat(distinct, copies).tolist()
-            ends = np.frombuffer(block["ends"], "<i8")
-            starts = np.concatenate([[0], ends[:-1]])
-            sums = [zlib.crc32(_record(block, i).astype("<u4").tobytes()) for i in at.tolist()]
-            columns = [ids, (block["base"] + starts[at]).tolist(), (ends - starts)[at].tolist(), sums]
-            arrays = [pa.array(c, pa.int64()) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-
 def lookup(spark: SparkSession, path: str, keys: DataFrame, span: int = SPAN) -> DataFrame:
     """doc_id and ids of every record under the distinct non-null keys of ``keys`` (doc_id)."""
     wanted = keys.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
