@@ -39,6 +39,8 @@ LENGTH, GRAM = 100, 32
 #: Bytes of text that are anchored together, and of regions in a unit on average.
 PART = 1 << 20
 UNIT_BYTES = 4 << 20
+#: Bytes of a region on average: a string, and one more for each place that its anchor spans.
+REGION = LENGTH + 34
 HOT = 200_000
 PLACE_BITS = np.uint64(22)
 LAST = (1 << 63) - 1
@@ -138,20 +140,39 @@ def _unpacked(column: pa.Array) -> list[bytes]:
     return [decompressor.decompress(x) if x else b"" for x in column.to_pylist()]
 
 
-UNIT = "unit long, key long, doc_id long, start long, size int, region binary"
-_UNIT = pa.schema([("unit", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("size", pa.int32()), ("region", pa.binary())])
+UNIT = "unit long, body binary"
+
+
+def _chunk(regions: list[tuple]) -> bytes:
+    """Regions of one unit, packed: their number, documents, doc_ids, starts and sizes (below 0: to cut), then their bytes."""
+    keys, doc_ids, starts, sizes, bodies = zip(*regions, strict=True)
+    numbers = [np.array([len(regions)], "<i8"), *(np.array(x, "<i8") for x in (keys, doc_ids, starts)), np.array(sizes, "<i4")]
+    return b"".join([*(x.tobytes() for x in numbers), *bodies])
+
+
+def _unchunked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    keys, doc_ids, starts = (np.frombuffer(raw, "<i8", n, 8 + 8 * n * i) for i in range(3))
+    sizes = np.frombuffer(raw, "<i4", n, 8 + 24 * n)
+    ends = 8 + 28 * n + np.cumsum(np.maximum(sizes, 0), dtype=np.int64)
+    return keys, doc_ids, starts, sizes, [raw[e - max(0, s) : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
 def _regions(units: int):
-    """Regions of documents; where a task holds one twice, the later ones as stretches to cut (size < 0)."""
+    """Regions of documents by unit; where a task holds one twice, the later ones as stretches to cut (size < 0)."""
 
     def flush(held: dict, cut: list):
-        rows = [(u, k, d, s, len(r), r) for (u, r), (d, k, s) in held.items()]
-        rows += [(k % units, k, d, s, -n, None) for d, k, s, n in cut]
-        for a in range(0, len(rows), 20_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows[a : a + 20_000], strict=True), _UNIT, strict=True)], schema=_UNIT
-            )
+        compressor = zstandard.ZstdCompressor(level=3)
+        by_unit: dict[int, list] = {}
+        for (u, r), (d, k, s) in held.items():
+            by_unit.setdefault(u, []).append((k, d, s, len(r), r))
+        for d, k, s, n in cut:
+            by_unit.setdefault(k % units, []).append((k, d, s, -n, b""))
+        names, size = list(by_unit), 1000
+        for a in range(0, len(names), size):
+            some = names[a : a + size]
+            bodies = [compressor.compress(_chunk(by_unit.pop(u))) for u in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(bodies, pa.binary())], ["unit", "body"])
 
     def run(batches):
         held: dict = {}
@@ -294,6 +315,12 @@ def suffix_array(text: np.ndarray, words: np.ndarray, wanted: np.ndarray | None
 
 def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     """Stretches of a unit's regions whose strings start earlier elsewhere: key, start, stop."""
+    decompressor = zstandard.ZstdDecompressor()
+    columns = zip(*(_unchunked(decompressor.decompress(body)) for body in rows["body"]), strict=True)
+    *numbers, regions = columns
+    names = ("key", "doc_id", "start", "size")
+    rows = pd.DataFrame({name: np.concatenate(x) for name, x in zip(names, numbers, strict=True)})
+    rows["region"] = [r for some in regions for r in some]
     is_cut = rows["size"].to_numpy() < 0
     done = rows[is_cut]
     out = [(done["key"].to_numpy(), done["start"].to_numpy(), (done["start"] - done["size"]).to_numpy())]
@@ -374,13 +401,11 @@ def without_repeats(docs: DataFrame, unit_bytes: int = UNIT_BYTES, hot: int = HO
     # Written, so that texts are anchored once, and both sides of the join are dealt out anew and can be split.
     places, _ = work.store(texts.select("key", "text").mapInArrow(_anchored, "anchor long, key long, place long"), "places")
     repeated = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated, _ = work.store(repeated.select("anchor", (F.col("n") > hot).alias("hot")), "anchors")
-    found, seen = work.store(
-        places.join(repeated, "anchor"),
-        "repeated",
-        measures=[F.coalesce(F.sum(F.expr("place & 127") + LENGTH), F.lit(0)).alias("bytes")],
+    repeated, seen = work.store(
+        repeated.select("anchor", "n", (F.col("n") > hot).alias("hot")), "anchors", measures=[F.coalesce(F.sum("n"), F.lit(0)).alias("places")]
     )
-    units = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen["bytes"] // unit_bytes))
+    found = places.join(repeated.select("anchor", "hot"), "anchor")
+    units = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen["places"] * REGION // unit_bytes))
     by_document = found.groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "hot")).alias("found"))
     bodies = texts.mapInArrow(_packed, "key long, doc_id long, body binary")
     regions = bodies.join(by_document, "key").mapInArrow(_regions(units), UNIT)
