@@ -40,9 +40,39 @@ def test_held_out_languages(spark):
 
 
 def test_no_letters_is_undetermined(spark):
-    docs = table(spark, [(1, "12 34 !!"), (2, None), (3, ""), (4, "ab")])
+    docs = table(spark, [(1, "12 34 !!"), (2, None), (3, ""), (4, "ab"), (5, "\u00b2 \u00bd \u2460 _"), (6, "7 \u00e9")])
     network = language.Network(["en"])
-    assert {r.doc_id: r.lang_pred for r in language.predict(docs, network).collect()} == {1: "und", 2: "und", 3: "und", 4: "en"}
+    assert {r.doc_id: r.lang_pred for r in language.predict(docs, network).collect()} == {1: "und", 2: "und", 3: "und", 4: "en", 5: "und", 6: "en"}
+
+
+def test_large_scores_do_not_overflow():
+    network = language.Network(["a", "b"], hidden=3)
+    network.out[:] = 0
+    network.bias[:] = [1000, 990]
+    found = network.position_probabilities(np.full((1, language.LENGTH), 97, np.uint8))
+    assert np.allclose(found[..., 0], 1, atol=1e-3)
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(i, f"the cat and the dog number {i} went home", "en", "s") for i in range(400)]
+    rows += [(1000 + i, f"zażółć gęślą jaźń {i} i wróć", "pl", "s") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert language.fit(docs, most_documents=20).names == ["en", "pl"]
+
+
+def test_prediction_equals_position_by_position():
+    """One text at a time, one position at a time, by the formulas of the gates."""
+    network = language.Network(["a", "b", "c"], hidden=4)
+    texts = [b"", b"1 2", "h\u00e9llo W\u00f6rld".encode() * 9, b"x" * 200]
+    got = network.documents(texts)
+    for text, found in zip(texts, got, strict=True):
+        rows, total, letters = language.windows(text), np.zeros(3), 0
+        for row in rows:
+            each = network.position_probabilities(row[None])[:, 0]
+            for byte, p in zip(row, each, strict=True):
+                if byte >= 128 or chr(byte).isalpha():
+                    total, letters = total + p, letters + 1
+        assert np.allclose(found, total / max(1, letters), atol=1e-6)
 
 
 @given_tables

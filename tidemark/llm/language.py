@@ -4,23 +4,23 @@ Two gated recurrent layers, one from each end, read windows of ``LENGTH`` bytes
 and label every position; a document's score for a language is the mean of its
 probability over the positions of letters, over the whole text. The network is
 trained here, in numpy, by backpropagation through time, from windows of a
-bounded sample of documents (``most_documents``, those with the smallest hash of
-doc_id) outside the held-out fold; languages that the sample lacks are not
-learned. Its gates use x / (1 + |x|), which is cheap and has a plain derivative.
+bounded sample of documents (``most_documents``) outside the held-out fold: of each
+language those with the smallest hash of doc_id, in turns, so that a rare language
+has as many as a common one, if there are. Its gates use x / (1 + |x|), which is cheap and has a plain derivative.
 
 A text that is null, empty or without a letter is ``und`` with score 0. Without
-a labelled document every text is ``und``. Rows that repeat a doc_id are handled
+a labelled document every text is ``und``. Of languages that tie the first in
+alphabetical order is predicted. An empty table gives no rows; long texts are read
+whole, a block of windows at a time. Rows that repeat a doc_id are handled
 one by one; null doc_ids are passed on; extra columns are ignored. Prediction
 sees the text alone.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import byte_texts, held_out, slices
@@ -35,7 +35,6 @@ RATE = 0.03
 #: Windows that prediction reads together.
 ROWS = 2048
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 _is_letter = np.zeros(256, bool)
 _is_letter[128:] = True
@@ -122,6 +121,7 @@ class Network:
         """(position, row, language)."""
         states, _ = self._states(rows)
         scores = states.reshape(-1, states.shape[2]) @ self.out + self.bias
+        scores -= scores.max(1, keepdims=True)
         np.exp(scores, out=scores)
         scores /= scores.sum(1, keepdims=True)
         return scores.reshape(*states.shape[:2], -1)
@@ -194,6 +194,9 @@ def fit(docs: DataFrame, most_documents: int = MOST_DOCUMENTS) -> Network | None
         .where("lang IS NOT NULL AND length(text) > 0 AND doc_id IS NOT NULL")
         .where(~held_out())
     )
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = chosen.withColumn("turn", turn).where(F.col("turn") <= most_documents)
+
     def cut(batches):
         """A few windows of each text, at places that follow from its doc_id."""
         for batch in batches:
@@ -201,11 +204,11 @@ def fit(docs: DataFrame, most_documents: int = MOST_DOCUMENTS) -> Network | None
             for doc_id, raw in zip(batch["doc_id"].to_pylist(), byte_texts(batch["text"]), strict=True):
                 places = np.random.default_rng(doc_id & 0xFFFFFFFF).integers(0, max(1, len(raw) - LENGTH + 1), WINDOWS_EACH)
                 rows.append(b"".join(raw[p : p + LENGTH].ljust(LENGTH, b"\0") for p in places))
-            arrays = [batch["doc_id"], batch["lang"], pa.array(rows, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "windows"])
+            arrays = [batch["doc_id"], batch["lang"], batch["turn"], pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "turn", "windows"])
 
-    sample = chosen.mapInArrow(cut, "doc_id long, lang string, windows binary")
-    got = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "windows").limit(most_documents).toArrow().to_pydict()
+    sample = chosen.mapInArrow(cut, "doc_id long, lang string, turn int, windows binary")
+    got = sample.orderBy("turn", F.xxhash64("doc_id"), "doc_id", "lang", "windows").limit(most_documents).toArrow().to_pydict()
     if not got["lang"]:
         return None
     names = sorted(set(got["lang"]))
@@ -224,7 +227,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
         for batch in batches:
             raw = byte_texts(batch["text"])
             names, scores = [UNDETERMINED] * len(raw), np.zeros(len(raw))
-            spoken = [i for i, t in enumerate(batch["text"].to_pylist()) if t and LETTER.search(t)] if model.value else []
+            spoken = [i for i, t in enumerate(batch["text"].to_pylist()) if t and any(c.isalpha() for c in t)] if model.value else []
             for a, b in slices([raw[i] for i in spoken], 1 << 20):
                 found = model.value.documents([raw[i] for i in spoken[a:b]])
                 for i, row in zip(spoken[a:b], found, strict=True):
