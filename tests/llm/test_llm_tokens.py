@@ -169,3 +169,19 @@ def test_salvage_within_one_member(level):
     # A member without records is a gap.
     member = gzip.compress(b"no record", level)
     assert read(member + good[0]) == ([0], [(0, len(member))])
+
+
+def test_large_pages_get_files_of_their_own(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", "x" * 3000) for i in range(5)] + [(9, None, "y" * 9000), (10, "v", None)], "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, str(tmp_path / "w"), file_bytes=4096)
+    assert len(list((tmp_path / "w").glob("part-*"))) == 7
+    found = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.pages(warc.read(spark, str(tmp_path / "w"))).collect()}
+    assert found == {0: (3000, "response", None), **{i: (3000, "revisit", 0) for i in range(1, 5)}, 9: (9000, "response", None), 10: (0, "response", None)}
+
+
+def test_rows_that_repeat_a_page_and_extra_columns(spark, tmp_path):
+    rows = [(1, "a", "same", "x"), (1, "b", "same", "y"), (2, "c", "same", "z"), (None, "d", "same", "w")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, sha1 string")
+    warc.write(pages, str(tmp_path / "w"))
+    found = warc.pages(warc.read(spark, str(tmp_path / "w"))).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to) for r in found) == [(0, "revisit", 1), (1, "response", None), (1, "response", None), (2, "revisit", 1)]

@@ -14,9 +14,11 @@ goes on there, and reports the bytes between as a gap. A member is unpacked as f
 as it goes, also if it is damaged or ends early, and its content is read likewise.
 
 A null html is an empty payload; payloads of equal pages may be empty too. Null
-urls are written as empty. Rows that repeat a page_id are written one by one;
-equal payloads under one page_id give one response, whichever of the rows. A
-null page_id ranks last. An empty table gives an archive without records.
+urls are written as empty. Rows that repeat a page_id are written one by one: of
+equal payloads, every row under the smallest page_id is a response. A null page_id
+ranks last. An empty table gives an archive without records. Files hold as many
+records as fit ``FILE_BYTES`` by the largest of them, and at least one, so a
+payload may be as large as Spark's rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,15 +30,18 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import workspace
 
 END = "\r\n\r\n"
 PAGE = "urn:page:"
-#: Records of one file, so that a reader can hold a file.
+#: Records and bytes of one file at most, so that a reader can hold a file.
 FILE_RECORDS = 2000
+FILE_BYTES = 256 << 20
+#: Bytes of a record besides its url and payload, at most.
+HEAD_BYTES = 1024
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 STARTS = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
@@ -57,7 +62,9 @@ def _record(fields: list[tuple], body):
     return F.concat(head, F.lit(END), body)
 
 
-def write(pages: DataFrame, path: str, smallest_payload: int = 0, file_records: int = FILE_RECORDS) -> None:
+def write(
+    pages: DataFrame, path: str, smallest_payload: int = 0, file_records: int = FILE_RECORDS, file_bytes: int = FILE_BYTES
+) -> None:
     """Write a record for each row of ``pages`` (page_id, url, html) below ``path``.
 
     Payloads of fewer than ``smallest_payload`` bytes are always written in full.
@@ -69,8 +76,11 @@ def write(pages: DataFrame, path: str, smallest_payload: int = 0, file_records:
         F.coalesce("html", F.lit("")).alias("html"),
     ).withColumn("sha1", F.sha1(F.col("html").cast("binary")))
     key = F.sha2(F.col("html").cast("binary"), 256).alias("payload_key")
+    measured = Observation()
+    largest = F.max(F.octet_length("html").cast("long") + F.octet_length("url")).alias("largest")
     groups = (
-        rows.where(F.octet_length("html") >= smallest_payload)
+        rows.observe(measured, largest)
+        .where(F.octet_length("html") >= smallest_payload)
         .select("page_id", key)
         .groupBy("payload_key")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
@@ -79,6 +89,8 @@ def write(pages: DataFrame, path: str, smallest_payload: int = 0, file_records:
     )
     groups, _ = workspace(spark, "warc-groups").store(groups, "groups")
     joined = rows.withColumn("payload_key", key).join(groups, "payload_key", "left")
+    longest = 0 if pages.isEmpty() else measured.get["largest"]  # Spark measures nothing in a plan without rows
+    file_records = max(1, min(file_records, file_bytes // ((longest or 0) + HEAD_BYTES)))
     page_id = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     digest = F.concat(F.lit("sha1:"), base32_of_hex("sha1"))
     length = F.octet_length("html").cast("string")
