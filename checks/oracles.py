@@ -482,6 +482,18 @@ def all_queries() -> dict[str, str]:
     sql["logged_error_counts"] = " UNION ALL ".join(logged_errors)
     sql["logged_file_states"] = " UNION ALL ".join(states)
     sql["logged_change_counts"] = change_counts()
+    cut = f"""
+        SELECT CAST(order_id AS INTEGER) AS order_id, CAST(customer_id AS INTEGER) AS customer_id,
+               CASE WHEN order_id % 50 <> 1 THEN order_date END AS order_date,
+               CASE WHEN order_id % 50 <> 1 THEN status END AS status,
+               CASE order_id % 50 WHEN 1 THEN order_id || ',' || customer_id
+                    WHEN 2 THEN order_id || ',' || customer_id || ',' || order_date || ',' || status || ',more'
+               END AS line
+        FROM ({orders})"""
+    sql["misfit_orders"] = f"""
+        SELECT {COLUMNS["orders"]}, line,
+               concat_ws('; ', nullif(errors, ''), CASE WHEN line IS NOT NULL THEN 'row does not fit its columns' END) AS errors
+        FROM ({validated("orders", cut)})"""
     sql["arriving_orders"] = split(
         validated_raw("orders", feeds.RAW_ORDERS), True, COLUMNS["orders"]
     )

@@ -174,6 +174,23 @@ def _csv_roundtrip(entity: tm.Entity) -> Query:
     return query
 
 
+def _misfit_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of orders in which some rows end early and some go on, loaded as a batch that tells them."""
+    work = Workspace(spark, "misfits", keep=True)
+    [rows] = _frames(spark, sf_dir, feeds.ORDERS)
+    whole = F.concat_ws(",", *[F.col(c).cast("string") for c in tm.ORDERS.columns])
+    line = F.when(F.col("order_id") % 50 == 1, F.concat_ws(",", "order_id", "customer_id"))
+    line = line.when(F.col("order_id") % 50 == 2, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    header = spark.range(1).select(F.lit(",".join(tm.ORDERS.columns)).alias("value"), F.lit(0).alias("part"))
+    lines = header.union(rows.select(line.alias("value"), F.lit(1).alias("part"))).coalesce(1).sortWithinPartitions("part")
+    lines.select("value").write.text(f"{work.path}/file")
+    entity, layout = tm.ORDERS.with_misfits(), tm.Layout(f"{work.path}/lake")
+    tm.run_entity_batch(spark, entity, f"{work.path}/file", layout)
+    stored = spark.read.parquet(layout.quarantine(entity))
+    good = read_silver(spark, layout, entity).select(*SHOWN["orders"], F.lit("").alias("errors"), F.lit(None).cast("string").alias("line"))
+    return good.union(stored.select(*SHOWN["orders"], _errors(), F.col("misfit").alias("line")))
+
+
 def _bronze_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of orders, one of them ingested twice."""
     work = Workspace(spark, "bronze", keep=True)
@@ -445,6 +462,7 @@ def all_queries() -> dict[str, Query]:
         ),
         "files_to_process": _over(plan_files, f.ARRIVED_FILES, f.FILE_EVENTS),
         "bronze_history": _bronze_history,
+        "misfit_orders": _misfit_orders,
         "content_identity": _content_identity,
         "file_bytes": _file_bytes,
         "logged_batch_counts": _logged_counts,

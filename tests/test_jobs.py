@@ -433,3 +433,17 @@ def test_old_versions_go_and_the_one_before_stays(spark, deliver, layout):
     kept = Options(keep_versions=1, keep_for=timedelta(hours=1))
     run_entity_batch(spark, PRODUCTS, deliver(PRODUCTS, "1,lamp,home,7.00,1\n", "p7"), layout, kept)
     assert len(child_names(spark, f"{layout.silver(PRODUCTS)}/data")) == 3
+
+
+def test_rows_that_do_not_fit_are_told_if_asked_for(spark, deliver, tmp_path):
+    source = deliver(ORDERS, "1,1,2025-02-01,pending\n2,1\n3,1,2025-02-01,pending,more\n")
+    plain, told = Layout(str(tmp_path / "plain")), Layout(str(tmp_path / "told"))
+    assert run_entity_batch(spark, ORDERS, source, plain).valid_rows == 2
+    result = run_entity_batch(spark, ORDERS.with_misfits(), source, told)
+    assert (result.valid_rows, result.invalid_rows) == (1, 2)
+    stored = spark.read.parquet(told.quarantine(ORDERS)).select("order_id", "misfit", "quality_errors").collect()
+    assert sorted(map(tuple, stored)) == [
+        (2, "2,1", ["order_date is NULL", "status is NULL", "row does not fit its columns"]),
+        (3, "3,1,2025-02-01,pending,more", ["row does not fit its columns"]),
+    ]
+    assert run_entity_batch(spark, ORDERS.with_misfits(), source, told).skipped

@@ -111,6 +111,9 @@ LINEAGE = {
     "batch_id": "string",
 }
 
+#: Holds the whole line of a row that does not fit, if an entity asks for it.
+MISFIT = "misfit"
+
 
 @dataclass(frozen=True, eq=False)
 class Entity:
@@ -131,16 +134,27 @@ class Entity:
     compare: tuple[str, ...]
     snapshot: bool
     slice_width: int = 4_194_304  # keys per slice of the silver table
+    misfits: bool = False  # whether rows of too few or too many values are told apart
+
+    @property
+    def raw_columns(self) -> list[str]:
+        """What is read of a file: its columns, and the whole line of a row that does not fit them."""
+        return [*self.columns, *([MISFIT] if self.misfits else [])]
 
     @property
     def raw_schema(self) -> str:
-        return ", ".join(f"{column} string" for column in self.columns)
+        return ", ".join(f"{column} string" for column in self.raw_columns)
 
     @property
     def bronze_schema(self) -> str:
         lineage = ", ".join(f"{name} {kind}" for name, kind in LINEAGE.items())
         return f"{self.raw_schema}, {lineage}"
 
+    def with_misfits(self) -> Entity:
+        """The same entity, but rows of too few or too many values are rejected, instead of filled up or cut."""
+        rules = {**self.rules, "row does not fit its columns": f"{MISFIT} IS NOT NULL"}
+        return replace(self, rules=rules, misfits=True)
+
     def with_wide_keys(self, slice_width: int = 2**26) -> Entity:
         """The same entity with 64-bit integers, for keys beyond 2,147,483,647."""
         wide = {name: "bigint" if kind == "int" else kind for name, kind in self.columns.items()}

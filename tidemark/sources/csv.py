@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contracts import Entity
+from tidemark.contracts import MISFIT, Entity
 from tidemark.sources.tables import replace_batch
 
 
@@ -16,13 +16,13 @@ def read_raw(
 
     Columns bind by position. ``check_header`` fails on a header that disagrees
     with the declared columns; without it a reordered file is read as it comes.
+    Rows of too few or too many values are filled up with NULL or cut; an entity
+    ``with_misfits`` also has their whole line.
     """
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", not check_header)
-        .schema(entity.raw_schema)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("enforceSchema", not check_header).schema(entity.raw_schema)
+    if entity.misfits:
+        reader = reader.option("columnNameOfCorruptRecord", MISFIT)
+    return reader.csv(path)
 
 
 def with_lineage(raw: DataFrame, batch_id: str) -> DataFrame:

@@ -47,7 +47,7 @@ class Staging:
         )
         if len(sources) == 1:
             measured = Observation()
-            raw.observe(measured, *content_parts(list(entity.columns))).write.parquet(f"{self.path}/number=0")
+            raw.observe(measured, *content_parts(entity.raw_columns)).write.parquet(f"{self.path}/number=0")
             return [identity(measured.get)]
         numbers = self.spark.createDataFrame(self._numbers(sources), "source_file string, number int")
         numbered = raw.join(F.broadcast(numbers), "source_file").select(*raw.columns, "number")
