@@ -213,6 +213,8 @@ def exact_duplicates(docs: DataFrame, packet_rows: int = PACKET_ROWS, owner_rows
         "best",
         F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts of one SHA-256"))).alias("group_size"),
     )
+    # Written, so that both sides of the join are dealt out anew, and the copies of one text can be split.
+    groups, _ = work.store(groups, "groups")
     stays = (F.col("best.packet") == F.col("packet")) & (F.col("best.seq") == F.col("seq"))
     digest = F.lower(F.hex("sha")).alias("text_sha256")
     repeated = suspects.join(groups, "sha").select(
