@@ -39,8 +39,6 @@ LENGTH, GRAM = 100, 32
 #: Bytes of text that are anchored together, and of regions in a unit on average.
 PART = 1 << 20
 UNIT_BYTES = 4 << 20
-#: Bytes of a region on average: a string, and one more for each place that its anchor spans.
-REGION = LENGTH + 34
 HOT = 200_000
 PLACE_BITS = np.uint64(22)
 LAST = (1 << 63) - 1
@@ -401,11 +399,14 @@ def without_repeats(docs: DataFrame, unit_bytes: int = UNIT_BYTES, hot: int = HO
     # Written, so that texts are anchored once, and both sides of the join are dealt out anew and can be split.
     places, _ = work.store(texts.select("key", "text").mapInArrow(_anchored, "anchor long, key long, place long"), "places")
     repeated = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated, seen = work.store(
-        repeated.select("anchor", "n", (F.col("n") > hot).alias("hot")), "anchors", measures=[F.coalesce(F.sum("n"), F.lit(0)).alias("places")]
+    repeated, _ = work.store(repeated.select("anchor", (F.col("n") > hot).alias("hot")), "anchors")
+    # Written, so that the shuffles up to here can go before the texts are moved.
+    found, seen = work.store(
+        places.join(repeated, "anchor"),
+        "repeated",
+        measures=[F.coalesce(F.sum(F.expr("place & 127") + LENGTH), F.lit(0)).alias("bytes")],
     )
-    found = places.join(repeated.select("anchor", "hot"), "anchor")
-    units = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen["places"] * REGION // unit_bytes))
+    units = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen["bytes"] // unit_bytes))
     by_document = found.groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "hot")).alias("found"))
     bodies = texts.mapInArrow(_packed, "key long, doc_id long, body binary")
     regions = bodies.join(by_document, "key").mapInArrow(_regions(units), UNIT)
