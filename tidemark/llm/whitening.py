@@ -19,8 +19,9 @@ Rows without a vector, or whose vector holds null or non-finite entries or is
 shorter than the longest, are dropped; null ids and repeated rows stay, each with
 its result. An empty table gives no rows. A component without variance has
 whitened 0 and explained 0, and is left out of the identity error. Equal
-eigenvalues are in the order of ``eigh``. Entries beyond 2^50 / n would lose bits
-and end the job. Extra columns are ignored.
+eigenvalues are in the order of ``eigh``. Entries beyond 2^50 / n would lose bits,
+and more than 1,024 dimensions would make too many sums for the driver: both end the
+job. Extra columns are ignored.
 """
 
 from __future__ import annotations
