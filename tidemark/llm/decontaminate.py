@@ -11,12 +11,14 @@ of them, counted first, tasks drop windows of documents that no item has before
 the join. Beyond that, all windows are joined by a shuffle.
 
 Windows of one document, item and offset are one alignment. Those whose fillings
-are equal count. Of the others, each run of neighbouring windows counts if it has
-one name of the document for each name of the item; numbers and units may be drawn
-anew at each place, as equal ones may be equal by chance. Windows of fewer than
-``LITERALS`` words count only if the fillings are equal. A document is contaminated
+are equal count. Of the others, each run of neighbouring windows counts if equal
+names, numbers and units of the item are equal in the document too. Two equal numbers
+may also become different ones, as they may be equal by chance, where the run
+has ``WORDS_A_SLOT`` words or more for each of its slots. Windows of fewer than ``LITERALS`` words
+count only if the fillings are equal, which are then part of what is joined by. A document is contaminated
 by an item if at least ``ENOUGH`` of the item's windows count in alignments, or half
-of them where that is less.
+of them where that is less. An item of one window and fewer than ``LITERALS`` words
+("Paris") must be a whole sentence, line, quote or what follows a colon.
 
 Null and empty texts have no windows and stay. Null item ids are ids like
 others. Rows that repeat a document are judged alike; rows that repeat a doc_id
@@ -26,8 +28,8 @@ with another text on their own. Documents' extra columns are ignored.
 from __future__ import annotations
 
 import itertools
-import re
-import zlib
+import sys
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, slices, workspace
-from tidemark.llm.memo import Memo, flat
 
-#: Chunks that a task keeps the tokens of.
-MOST_CHUNKS = 500_000
 WINDOW = 8
 LITERALS = 4
 ENOUGH = 6
+#: Words for each slot of a run from which on two equal numbers may be equal by chance.
+WORDS_A_SLOT = 5
 MOST_BROADCAST = 2_000_000
 #: Words that are a unit after a number (fixed values).
 UNITS = frozenset(
@@ -61,100 +62,135 @@ COMMON = frozenset(
     "quién qué cuál cuáles cuándo dónde cómo cuánto cuánta cuántos cuántas el los las una unos unas este esta estos en por con y o "
     "pero es son él ella ellos".split()
 ) - {"a", "y", "o"}
-#: Low bits of a token: what it is. The rest is a hash of the word.
-WORD, NUMBER, BREAK, UNIT_WORD = 0, 1, 2, 3
-CAPITAL, ENDS = 4, 8
 #: Low bits of a filling: number, name or unit.
-NAME = 2
+NUMBER, NAME, UNIT = 1, 2, 3
 NUMBER_CODE, NAME_CODE, UNIT_CODE = (np.uint64(x << 4) for x in (1, 2, 3))
-PARTS = re.compile(r"(?P<number>\d+(?:[.,:/]\d+)*)|(?P<word>[^\W\d_]+(?:['’\-][^\W\d_]+)*)|(?P<unit>[%€$£]|°[CF]\b)|(?P<end>[.!?:\"“”„«»‘’']+)")
 FACTOR = 0x9E3779B97F4A7C15
-
-
-def _hash(text: str) -> int:
-    raw = text.encode()
-    return (zlib.crc32(raw) << 32 | zlib.crc32(raw[::-1] + b"\x01")) & ~15
-
-
-def _tokens(chunk: str) -> list[int]:
-    """Coded tokens of a chunk without spaces; a line end is a break."""
-    word = chunk.rstrip(",;.:!?")
-    if word.isalpha():  # most chunks: one word, and signs after it
-        low = word.lower()
-        capital = CAPITAL if word[0].isupper() and word != word.upper() or len(word) == 1 and word.isupper() else 0
-        ends = ENDS if len(word) < len(chunk) and chunk[len(word) :].strip(",;") else 0
-        return [_hash(low) | (UNIT_WORD if low in UNITS else WORD) | capital | ends]
-    out: list[int] = []
-    for found in PARTS.finditer(chunk):
-        text = found.group()
-        if found.lastgroup == "end":
-            if out:
-                out[-1] |= ENDS
-            else:
-                out.append(BREAK)
-        elif found.lastgroup == "number":
-            out.append(_hash(text) | NUMBER)
-        else:
-            low = text.lower()
-            capital = CAPITAL if text[0].isupper() and text != text.upper() or len(text) == 1 and text.isupper() else 0
-            out.append(_hash(low) | (UNIT_WORD if low in UNITS else WORD) | capital)
-    if "\n" in chunk:
-        out.append(BREAK)
-    return out
-
-
-_COMMON = np.sort(np.array([_hash(x) for x in COMMON], np.uint64))
-_memo: list[Memo] = []
-
-
-def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template codes and fillings (0 for words) of all texts, which are words or names, and where each text ends.
+#: Characters of one step of reading, up to the next space.
+PIECE = 1 << 18
+#: What a character is: a bit for each.
+LETTER, DIGIT, SIGN, JOINS_WORD, JOINS_NUMBER, STOP, UPPER, LOWER = (1 << i for i in range(8))
+MEANINGS = {"%€$£": SIGN, "'’-": JOINS_WORD, ".,:/": JOINS_NUMBER, ".!?:\"“”„«»‘’'\n": STOP}
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@cache
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """What each character is, and a number for it that a capital shares with its small letter."""
+    what, low = np.zeros(sys.maxunicode + 1, np.uint8), np.arange(sys.maxunicode + 1, dtype=np.uint64)
+    for point, c in enumerate(map(chr, range(sys.maxunicode + 1))):
+        if c.isalnum():
+            what[point] = DIGIT if c.isdecimal() else LETTER
+            if c.isupper():
+                what[point] |= UPPER
+                low[point] = ord(c.lower()[0])
+            elif c != c.upper():
+                what[point] |= LOWER
+    for characters, bit in MEANINGS.items():
+        what[[ord(c) for c in characters]] |= bit
+    return what, _mixed(low + np.uint64(FACTOR))
+
+
+def _tokens(text: str):
+    """Hash, kind (LETTER, DIGIT or SIGN), capital, place and number of stops before of each token; number of all stops.
+
+    Apostrophes and hyphens join words, dots, commas, colons and slashes join numbers;
+    a currency or percent sign is a token, so is a degree sign with its C or F.
+    """
+    table, numbers = _characters()
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    what = table[points]
+    kind = what & (LETTER | DIGIT | SIGN)
+    degree = np.flatnonzero(points[:-1] == ord("°"))
+    if len(degree):
+        after = np.append(kind, 0)[degree + 2] & (LETTER | DIGIT)
+        degree = degree[np.isin(points[degree + 1], [ord(c) for c in "CFcf"]) & (after == 0)]
+        kind[degree] = kind[degree + 1] = SIGN
+    for joins, of in ((JOINS_WORD, LETTER), (JOINS_NUMBER, DIGIT)):
+        joint = np.flatnonzero(what[1:-1] & joins) + 1
+        kind[joint[(kind[joint - 1] & of > 0) & (kind[joint + 1] & of > 0)]] = of
+    stops = np.cumsum((kind == 0) & (what & STOP > 0))
+    starts = np.ones(len(points), bool)
+    starts[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == SIGN)
+    starts[degree + 1] = False
+    inside = np.flatnonzero(kind)
+    first = np.flatnonzero(starts[inside])
+    at = inside[first]
+    lengths = np.diff(first, append=len(inside))
+    if not len(first):
+        return np.zeros(0, np.uint64), kind[at], np.zeros(0, bool), at, stops[at], int(stops[-1]) if len(stops) else 0
+    powers = np.multiply.accumulate(np.full(int(lengths.max()), FACTOR, np.uint64))
+    place = np.arange(len(inside)) - np.repeat(first, lengths)
+    hashes = _mixed(np.add.reduceat(numbers[points[inside]] * powers[place], first)) & ~np.uint64(15)
+    small = np.logical_or.reduceat(what[inside] & LOWER > 0, first)
+    capital = (what[at] & UPPER > 0) & (small | (lengths == 1))
+    return hashes, kind[at], capital, at, stops[at], int(stops[-1])
+
+
+def _pieces(text: str):
+    """The text in pieces that end before a space, as no token goes across one."""
+    start = 0
+    while (end := text.find(" ", start + PIECE)) >= 0:
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
+@cache
+def _hashes(words: frozenset[str]) -> np.ndarray:
+    """Sorted hashes of words of one token each."""
+    return np.sort(np.concatenate([_tokens(w)[0] for w in words]))
+
+
+def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+
+def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template codes and fillings (0 for words) of all texts, which are words or names, which open a sentence, and where each text ends.
 
     Words that may be names have the code of the word and the filling of the name.
     """
-    if not _memo:
-        _memo.append(Memo(lambda chunks: flat([_tokens(c) for c in chunks], np.uint64), np.uint64, "templates", MOST_CHUNKS))
-    chunks = [t.replace("\n", " \n ").split(" ") for t in texts]
-    if _memo[0].full():
-        _memo[0].clear()
-    _memo[0].add(chunks)
-    each = [_memo[0].of(_memo[0].places(c)) for c in chunks]
-    owner = np.repeat(np.arange(len(texts)), [len(x) for x in each])
-    coded = np.concatenate([*each, np.zeros(0, np.uint64)])
-    kind = (coded & np.uint64(3)).astype(np.int8)
-    first = np.ones(len(coded), bool)  # of a text
-    first[1:] = owner[1:] != owner[:-1]
-    ends = (coded & np.uint64(ENDS) > 0) | (kind == BREAK)
-    opens = first.copy()  # a sentence
-    opens[1:] |= ends[:-1]
-    keep = kind != BREAK
-    coded, kind, opens, owner = coded[keep], kind[keep], opens[keep], owner[keep]
-    before = np.zeros(len(coded), np.int8)
-    before[1:] = np.where(owner[1:] == owner[:-1], kind[:-1], 0)
-    word = coded & ~np.uint64(15)
-    code = word.copy()
-    number, unit = kind == NUMBER, (kind == UNIT_WORD) & (before == NUMBER)
-    capital = (coded & np.uint64(CAPITAL) > 0) & ~unit
-    common = capital.copy()
-    common[capital] = np.isin(word[capital], _COMMON)
+    read, start, passed = [], 0, 0
+    for piece in _pieces("\n".join(texts)):
+        *columns, at, before, stops = _tokens(piece)
+        read.append((*columns, at + start, before + passed))
+        start, passed = start + len(piece), passed + stops
+    word, kind, capital, at, stops = (np.concatenate(c) for c in zip(*read, strict=True))
+    owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), at, side="right")
+    near = np.zeros(len(word), bool)  # to the token before, in one text
+    near[1:] = owner[1:] == owner[:-1]
+    opens = ~near  # a sentence
+    opens[1:] |= stops[1:] != stops[:-1]
+    number = kind == DIGIT
+    unit = near & ~number & _among(word, _hashes(UNITS))
+    unit[1:] &= number[:-1]
+    capital &= ~unit
     name = capital & ~opens
-    near = owner[1:] == owner[:-1]
-    beside = np.zeros(len(coded), bool)  # a name
-    beside[1:] |= near & name[:-1]
-    beside[:-1] |= near & name[1:]
+    beside = np.zeros(len(word), bool)  # a name
+    beside[1:] |= near[1:] & name[:-1]
+    beside[:-1] |= near[1:] & name[1:]
+    common = capital.copy()
+    common[capital] = _among(word[capital], _hashes(COMMON))
     name &= ~common | beside
     either = capital & opens & ~common
+    code = word.copy()
     code[number], code[unit], code[name] = NUMBER_CODE, UNIT_CODE, NAME_CODE
-    sort = number * np.uint64(NUMBER) + (name | either) * np.uint64(NAME) + unit * np.uint64(UNIT_WORD)
+    sort = number * np.uint64(NUMBER) + (name | either) * np.uint64(NAME) + unit * np.uint64(UNIT)
     filling = np.where(sort > 0, word | sort, np.uint64(0))
-    again = np.zeros(len(coded), bool)  # the rest of a name
-    again[1:] = name[1:] & name[:-1] & (owner[1:] == owner[:-1])
-    code, filling, either, owner = code[~again], filling[~again], either[~again], owner[~again]
-    return code, filling, either, np.searchsorted(owner, np.arange(len(texts)), side="right")
+    again = near.copy()  # the rest of a name
+    again[1:] &= name[1:] & name[:-1]
+    code, filling, either, opens, owner = code[~again], filling[~again], either[~again], opens[~again], owner[~again]
+    return code, filling, either, opens, np.searchsorted(owner, np.arange(len(texts)), side="right")
 
 
-def _windows(code: np.ndarray, either: np.ndarray, ends: np.ndarray, size: int):
-    """Places and hashes of windows of ``size`` codes within a text, for each reading of their words that may be names.
+def _windows(code: np.ndarray, filling: np.ndarray, either: np.ndarray, ends: np.ndarray, size: int):
+    """Places, hashes, reading and number of words of windows of ``size`` codes, for each reading of the words that may be names.
 
     A bit of the reading says whether the window's first, second ... such word is a name.
     """
@@ -167,7 +203,9 @@ def _windows(code: np.ndarray, either: np.ndarray, ends: np.ndarray, size: int):
     for i in range(size):
         total = (total ^ code[i : i + n]) * np.uint64(FACTOR)
         total ^= total >> np.uint64(29)
-    yield at, total[at], 0
+    slots = np.concatenate([[0], np.cumsum((filling > 0) & ~either)])
+    literals = size - (slots[size:] - slots[:-size])
+    yield at, total[at], 0, literals[at]
     before = np.concatenate([[0], np.cumsum(either)])
     words = (before[size:] - before[:-size])[at]
     for reading in range(1, 1 << size):
@@ -181,7 +219,7 @@ def _windows(code: np.ndarray, either: np.ndarray, ends: np.ndarray, size: int):
             total = (total ^ np.where(is_either & (reading >> seen & 1 > 0), NAME_CODE, code[here + i])) * np.uint64(FACTOR)
             total ^= total >> np.uint64(29)
             seen += is_either
-        yield here, total, reading
+        yield here, total, reading, literals[here] - reading.bit_count()
 
 
 def _fillings(filling: np.ndarray, either: np.ndarray, at: np.ndarray, size: int, reading: int) -> np.ndarray:
@@ -192,35 +230,43 @@ def _fillings(filling: np.ndarray, either: np.ndarray, at: np.ndarray, size: int
     return np.where(words & (reading >> seen & 1 == 0), np.uint64(0), filling[places]).astype(np.int64)
 
 
-ROWS = "id long, at int, tokens int, window long, fillings array<long>"
+ROWS = "id long, at int, tokens int, window long, fillings array<long>, whole boolean"
+STEP = 20_000
 
 
 def _rows(ids, texts: list[str], sizes, only: np.ndarray | None):
     """Window rows of texts; ``sizes`` None: one size for each text, of its own length."""
-    code, filling, either, ends = templates(texts)
+    code, filling, either, opens, ends = templates(texts)
+    opens = np.append(opens, True)
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     lengths = ends - starts
     sizes_here = sizes if sizes is not None else np.unique(np.clip(lengths[lengths > 0], None, WINDOW)).tolist()
-    for size, (at, hashes, reading) in ((s, w) for s in sizes_here for w in _windows(code, either, ends, s)):
+    for size, (at, hashes, reading, literals) in ((s, w) for s in sizes_here for w in _windows(code, filling, either, ends, s)):
+        few = np.flatnonzero(literals < LITERALS)  # such windows meet only if their fillings are equal
+        for part in (few[a : a + STEP] for a in range(0, len(few), STEP)):
+            for slot in _fillings(filling, either, at[part], size, reading).view(np.uint64).T:
+                mixed = (hashes[part] ^ slot) * np.uint64(FACTOR)
+                hashes[part] = mixed ^ (mixed >> np.uint64(29))
         if only is not None:
-            wanted = only[np.minimum(np.searchsorted(only, hashes), len(only) - 1)] == hashes
+            wanted = _among(hashes, only)
             at, hashes = at[wanted], hashes[wanted]
         text = np.searchsorted(ends, at, side="right")
         if sizes is None:
             fits = np.minimum(lengths[text], WINDOW) == size
             at, text, hashes = at[fits], text[fits], hashes[fits]
-        for a in range(0, len(at), 20_000):
-            here, own = at[a : a + 20_000], text[a : a + 20_000]
+        for a in range(0, len(at), STEP):
+            here, own = at[a : a + STEP], text[a : a + STEP]
             fillings = _fillings(filling, either, here, size, reading)
             flat = pa.ListArray.from_arrays(np.arange(0, fillings.size + 1, size, dtype=np.int32), fillings.ravel())
             columns = [
                 ids.take(pa.array(own)),
                 pa.array((here - starts[own]).astype(np.int32)),
                 pa.array(lengths[own].astype(np.int32)),
-                pa.array(hashes[a : a + 20_000].view(np.int64)),
+                pa.array(hashes[a : a + STEP].view(np.int64)),
                 flat,
+                pa.array(opens[here] & opens[here + size]),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "at", "tokens", "window", "fillings"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "at", "tokens", "window", "fillings", "whole"])
 
 
 def _window_rows(rows: DataFrame, sizes=None, only=None) -> DataFrame:
@@ -234,25 +280,34 @@ def _window_rows(rows: DataFrame, sizes=None, only=None) -> DataFrame:
     return rows.mapInArrow(run, ROWS)
 
 
-def _counted(found: list[dict]) -> list[int]:
+def _consistent(slots: dict[int, tuple[int, int]], tokens: int) -> bool:
+    """Whether equal fillings of the item (place: item's, document's) have become equal ones of the document."""
+    became: dict[int, list[int]] = {}
+    for item, doc in slots.values():
+        became.setdefault(item, []).append(doc)
+    chance = tokens - len(slots) >= WORDS_A_SLOT * len(slots)
+    return all(len(set(docs)) == 1 or chance and len(docs) == 2 and item & 3 == NUMBER for item, docs in became.items())
+
+
+def _counted(found: list[dict], size: int) -> list[int]:
     """Places in the item of an alignment's windows that count."""
     windows: dict = {}
     for f in found:
-        if f["item_at"] not in windows or (f["equal"], -len(f["names"])) > (windows[f["item_at"]]["equal"], -len(windows[f["item_at"]]["names"])):
+        if f["item_at"] not in windows or (f["equal"], -len(f["slots"])) > (windows[f["item_at"]]["equal"], -len(windows[f["item_at"]]["slots"])):
             windows[f["item_at"]] = f
     changed = sorted(at for at, f in windows.items() if not f["equal"])
     counted = [at for at, f in windows.items() if f["equal"]]
     for _, run in itertools.groupby(enumerate(changed), lambda x: x[1] - x[0]):
         run = [at for _, at in run]
-        names = {(p["item"], p["doc"]) for at in run for p in windows[at]["names"]}
-        if len(names) == len({item for item, _ in names}):
+        if _consistent({p["place"]: (p["item"], p["doc"]) for at in run for p in windows[at]["slots"]}, len(run) + size - 1):
             counted += run
     return counted
 
 
 def _aligned(batches):
     for batch in batches:
-        places = pa.array([_counted(f) for f in batch["found"].to_pylist()], pa.list_(pa.int32()))
+        both = zip(batch["found"].to_pylist(), batch["item_tokens"].to_pylist(), strict=True)
+        places = pa.array([_counted(f, min(WINDOW, n)) for f, n in both], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_key", "item_id", "item_tokens")), places], ["doc_key", "item_id", "item_tokens", "places"])
 
 
@@ -265,7 +320,7 @@ def leaks(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADCAS
     work = workspace(spark, "decontaminate")
     rows = items.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     known, seen = work.store(_window_rows(rows), "items")
-    known = known.select(
+    known = known.select(  # whether the item's own windows are whole sentences does not matter
         F.col("id").alias("item_id"), F.col("at").alias("item_at"), "window", F.col("fillings").alias("item_fillings"), F.col("tokens").alias("item_tokens")
     )
     sizes = [r["n"] for r in known.select(F.size("item_fillings").alias("n")).distinct().collect()]  # at most WINDOW
@@ -278,12 +333,12 @@ def leaks(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADCAS
     joined = held.join(known, "window").where(F.size("fillings") == F.size("item_fillings"))
     literals = F.size(F.filter("item_fillings", lambda x: x == 0))
     equal = F.col("fillings") == F.col("item_fillings")
-    size = F.size("item_fillings")
-    joined = joined.where((literals >= F.least(F.lit(LITERALS), F.ceil(size / 2))) | equal)
-    slots = F.zip_with("item_fillings", "fillings", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
-    names = F.filter(slots, lambda p: p["item"].bitwiseAND(F.lit(3)) == NAME)
+    joined = joined.where((literals >= LITERALS) | equal & (F.col("whole") | (F.col("item_tokens") > WINDOW)))
+    pairs = F.zip_with("item_fillings", "fillings", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    placed = F.transform(pairs, lambda p, i: F.struct((F.col("item_at") + i).alias("place"), p["item"].alias("item"), p["doc"].alias("doc")))
+    slots = F.filter(placed, lambda p: p["item"] != 0)
     aligned = (
-        joined.select("doc_key", "item_id", "item_tokens", (F.col("at") - F.col("item_at")).alias("offset"), F.struct("item_at", equal.alias("equal"), names.alias("names")).alias("window"))
+        joined.select("doc_key", "item_id", "item_tokens", (F.col("at") - F.col("item_at")).alias("offset"), F.struct("item_at", equal.alias("equal"), slots.alias("slots")).alias("window"))
         .groupBy("doc_key", "item_id", "offset", "item_tokens")
         .agg(F.collect_set("window").alias("found"))
         .select("doc_key", "item_id", "item_tokens", "found")
