@@ -1,6 +1,7 @@
 """Learned operators: gradients, held-out accuracy, exact neighbours; pseudonyms and templates."""
 
 import os
+import random
 import re
 
 import numpy as np
@@ -95,6 +96,25 @@ def test_votes_are_of_the_nearest():
         assert abs(score - (share * labels).sum() / share.sum()) < 1e-5
 
 
+@given_tables
+def test_letters_out_of_order_lose_score(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    votes, rng = quality_votes.fit(docs, labels), random.Random(0)
+    rows = docs.join(labels.where("quality = 1"), "doc_id").orderBy("doc_id").limit(100).collect()
+    texts = [r.text for r in rows if len(r.text) > 500]
+
+    def shuffled(text):
+        places = [i for i, c in enumerate(text) if c.islower()]
+        letters = iter(rng.sample([text[i] for i in places], len(places)))
+        return "".join(next(letters) if c.islower() else c for c in text)
+
+    as_they_are, out_of_order, same = (
+        votes.judge([t.encode() for t in made]) for made in (texts, map(shuffled, texts), [re.sub("[a-z]", "x", t) for t in texts])
+    )
+    assert (out_of_order < as_they_are).mean() > 0.95 and (same < as_they_are).mean() > 0.95
+    assert as_they_are.mean() > 0.95
+
+
 def test_pseudonyms_keep_formats_and_links(spark):
     valid = {
         "card": ["4111111111111111", "4111 1111 1111 1111", "378282246310005", "3782 822463 10005", "4111-1111-1111-1111", "60110 00990 139424"],

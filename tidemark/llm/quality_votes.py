@@ -1,12 +1,15 @@
 """Quality of documents by votes of their nearest labelled neighbours.
 
-A document's vector counts trigrams of character classes over its whole text
-(square root of their shares, weighted by rarity), projected onto the leading
-latent directions of the labelled documents. The labelled vectors (at most
+A document's vector counts trigrams of character classes, trigrams of letters and
+words over its whole text (square roots of their shares, weighted by rarity, letters
+and words in hashed bins), projected onto the leading latent directions of the
+labelled documents. The labelled vectors (at most
 ``most_labels`` of them, a documented bound, so also a bound on the broadcast)
 go to every task, which multiplies blocks of documents with all of them: exact
 cosines, no index. The ``neighbours`` most similar ones vote with a power of
-their similarity; all that tie with the last of them vote too.
+their similarity; all that tie with the last of them vote too. The less of a vector's
+length lies in these directions, compared with labelled vectors, the nearer is its score to
+the mean label, so a text in no known words is not sure of its score.
 
 Labelled rows are those with a non-null label and doc_id outside the held-out
 fold; if there are more than the bound, those with the smallest hash of doc_id.
@@ -25,14 +28,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import byte_texts, held_out, slices
 
 MOST_LABELS = 3000
-DIMENSIONS = 32
+DIMENSIONS = 64
 NEIGHBOURS = 15
 POWER = 8
 THRESHOLD = 0.7
 #: Documents of one matrix product.
 BLOCK = 256
 CLASSES = 16
-SIZE = CLASSES**3
+#: Vector entries for trigrams of classes, trigrams of letters, and words.
+SHAPES, LETTERS, WORDS = CLASSES**3, 2048, 2048
+SIZE = SHAPES + LETTERS + WORDS
+#: Share of shapes, letters and words in a vector's squared length, before weights.
+SHARES = (1.0, 0.1, 0.05)
+FACTOR = 0x9E3779B97F4A7C15
 
 
 def _classes() -> np.ndarray:
@@ -52,16 +60,42 @@ def _classes() -> np.ndarray:
 TABLE = _classes()
 
 
-def counts(text: bytes) -> np.ndarray:
-    """How often each trigram of classes occurs, with class 0 at both ends."""
-    kinds = np.zeros(len(text) + 2, np.uint16)
-    kinds[1:-1] = TABLE[np.frombuffer(text, np.uint8)]
-    return np.bincount(kinds[:-2] << 8 | kinds[1:-1] << 4 | kinds[2:], minlength=SIZE)
+#: Each byte in lower case; all that is no letter is a space.
+LOW = np.array([c if c >= 128 or chr(c).isalpha() else 32 for c in bytes(range(256)).lower()], np.uint64)
+
+
+def _bins(hashes: np.ndarray, n: int) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(FACTOR)
+    return np.bincount((mixed >> np.uint64(40)).astype(np.int64) % n, minlength=n)
+
+
+def counts(text: bytes) -> list[np.ndarray]:
+    """How often each trigram of classes (with class 0 at both ends), of letters, and each word occurs."""
+    raw = np.frombuffer(text, np.uint8)
+    kinds = np.zeros(len(raw) + 2, np.uint16)
+    kinds[1:-1] = TABLE[raw]
+    shapes = np.bincount(kinds[:-2] << 8 | kinds[1:-1] << 4 | kinds[2:], minlength=SHAPES)
+    low = np.full(len(raw) + 2, 32, np.uint64)
+    low[1:-1] = LOW[raw]
+    inside = low != 32
+    middle = np.flatnonzero(inside)
+    letters = _bins((low[middle - 1] << np.uint64(16) | low[middle] << np.uint64(8) | low[middle + 1]) * np.uint64(FACTOR), LETTERS)
+    first = np.flatnonzero(~inside[middle - 1])
+    if not len(first):
+        return [shapes, letters, np.zeros(WORDS, np.int64)]
+    lengths = np.diff(first, append=len(middle))
+    powers = np.multiply.accumulate(np.full(int(lengths.max()), FACTOR, np.uint64))
+    place = np.arange(len(middle)) - np.repeat(first, lengths)
+    return [shapes, letters, _bins(np.add.reduceat(low[middle] * powers[place], first), WORDS)]
 
 
 def features(texts: list[bytes]) -> np.ndarray:
-    found = np.array([counts(t) if t else np.zeros(SIZE, np.int64) for t in texts], np.float32).reshape(-1, SIZE)
-    return np.sqrt(found / np.maximum(1, found.sum(1, keepdims=True)))
+    found = np.zeros((len(texts), SIZE), np.float32)
+    for row, text in zip(found, texts, strict=True):
+        if text:
+            parts = counts(text)
+            row[:] = np.concatenate([np.sqrt(part * (share / max(1, part.sum()))) for part, share in zip(parts, SHARES, strict=True)])
+    return found
 
 
 def latent(rows: np.ndarray, dimensions: int) -> np.ndarray:
@@ -85,15 +119,32 @@ class Votes:
         self.weight = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
         self.directions = latent(rows * self.weight, dimensions).astype(np.float32)
         self.labels = labels.astype(np.float32)
-        self.vectors = _unit(rows * self.weight @ self.directions).astype(np.float32)
+        self.vectors, known = self.project(rows)
+        self.known = float(known.mean())
         self.neighbours = min(neighbours, len(labels))
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        near = _unit(features(texts) * self.weight @ self.directions) @ self.vectors.T
+    def project(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vectors in the latent directions, and the share of the length of ``rows`` that lies in them."""
+        weighted = rows * self.weight
+        inside = weighted @ self.directions
+        return _unit(inside), np.linalg.norm(inside, axis=1) / np.maximum(1e-9, np.linalg.norm(weighted, axis=1))
+
+    def votes(self, vectors: np.ndarray) -> np.ndarray:
+        near = vectors @ self.vectors.T
         last = -np.partition(-near, self.neighbours - 1, axis=1)[:, self.neighbours - 1 : self.neighbours]
         votes = np.where(near >= last - 1e-6, np.maximum(near, 0).astype(np.float64) ** POWER + 1e-12, 0)
         return np.clip(votes @ self.labels / votes.sum(1), 0, 1)
 
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """What the neighbours of each text vote."""
+        return self.votes(self.project(features(texts))[0])
+
+    def judge(self, texts: list[bytes]) -> np.ndarray:
+        """The votes, drawn to the mean label by what the labelled texts do not know of a text."""
+        vectors, known = self.project(features(texts))
+        sure = np.minimum(1, known / max(1e-9, self.known)).astype(np.float64) ** 2
+        return np.clip(sure * self.votes(vectors) + (1 - sure) * float(self.labels.mean()), 0, 1)
+
 
 def fit(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS) -> Votes | None:
     """Learn from documents with a label outside the held-out fold; None if there are none."""
@@ -135,7 +186,7 @@ def score(docs: DataFrame, votes: Votes | None, threshold: float = THRESHOLD) ->
             scores = np.full(len(texts), 0.5)
             for a, b in slices(texts):
                 for c in range(a, b, BLOCK) if model.value else ():
-                    scores[c : min(b, c + BLOCK)] = model.value.scores(texts[c : min(b, c + BLOCK)])
+                    scores[c : min(b, c + BLOCK)] = model.value.judge(texts[c : min(b, c + BLOCK)])
             arrays = [batch["doc_id"], batch["held_out"], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "score", "predicted"])
 
@@ -158,7 +209,7 @@ def good(docs: DataFrame, votes: Votes | None, threshold: float = THRESHOLD) ->
             keep = np.zeros(len(texts), bool)
             for a, b in slices(texts):
                 for c in range(a, b, BLOCK):
-                    keep[c : min(b, c + BLOCK)] = model.value.scores(texts[c : min(b, c + BLOCK)]) >= threshold
+                    keep[c : min(b, c + BLOCK)] = model.value.judge(texts[c : min(b, c + BLOCK)]) >= threshold
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
