@@ -236,3 +236,9 @@ def test_no_python_runs_in_tasks(frame):
     rows = frame(ORDERS.raw_schema, ("1", "1", "2025-01-01", "pending"))
     plan = validate(standardize(rows, ORDERS), ORDERS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_rules_are_compiled_with_what_is_around_them(spark):
+    raw = spark.range(10).select(*[F.col("id").cast("string").alias(c) for c in ORDERS.columns])
+    plan = plan_of(validate(standardize(raw, ORDERS), ORDERS, spark.createDataFrame([], "order_id int"), broadcast_repeated=True))
+    assert "lambda" not in plan and not re.search(r"^[\s:+-]*Project", plan, re.M)

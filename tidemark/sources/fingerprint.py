@@ -12,16 +12,24 @@ from tidemark.contracts import Entity
 from tidemark.sources.csv import read_raw
 
 PARTS = ("content_rows", "content_first", "content_second")
+HASHES = ("_first_hash", "_second_hash")
 
 
-def content_parts(columns: Sequence[str]) -> list[Column]:
-    """What identifies a multiset of rows of text columns, as aggregates.
+def with_hashes(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Two independent 64-bit hashes of each row of text columns; a NULL differs from every text."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
+    hashes = [F.xxhash64(F.lit(seed), *values).alias(name) for seed, name in zip(("first", "second"), HASHES, strict=True)]
+    return rows.select("*", *hashes)
+
 
-    Their number and two independent 64-bit hash sums, so neither order nor the
-    number of files or tasks matters. A NULL differs from every text.
+def content_parts() -> list[Column]:
+    """What identifies a multiset of rows ``with_hashes``, as aggregates.
+
+    Their number and the sums of both hashes, so neither order nor the number of
+    files or tasks matters. Observed aggregates are interpreted row by row, so the
+    hashes are columns, which are compiled.
     """
-    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
-    sums = [F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)")) for seed in ("first", "second")]
+    sums = [F.sum(F.col(name).cast("decimal(38,0)")) for name in HASHES]
     parts = [F.count(F.lit(1)), *[F.coalesce(part, F.lit(0).cast("decimal(38,0)")) for part in sums]]
     return [part.alias(name) for part, name in zip(parts, PARTS, strict=True)]
 
@@ -38,7 +46,7 @@ NOTHING = identity(dict.fromkeys(PARTS, 0))
 def rows_hash(rows: DataFrame, *by: str) -> DataFrame:
     """``file_hash``, the identity of a multiset of rows of text columns; with ``by``, one row for each group."""
     columns = [c for c in rows.columns if c not in by]
-    parts = rows.groupBy(*by).agg(*content_parts(columns))
+    parts = with_hashes(rows, columns).groupBy(*by).agg(*content_parts())
     text = F.concat_ws(":", *[F.col(name).cast("string") for name in PARTS])
     return parts.select(*by, F.sha2(text, 256).alias("file_hash"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.contracts import Entity
 from tidemark.sources import files
 from tidemark.sources.csv import read_raw
-from tidemark.sources.fingerprint import NOTHING, content_parts, identity, rows_hash
+from tidemark.sources.fingerprint import NOTHING, content_parts, identity, rows_hash, with_hashes
 
 PREFIX = "_staging-"
 
@@ -47,7 +47,8 @@ class Staging:
         )
         if len(sources) == 1:
             measured = Observation()
-            raw.observe(measured, *content_parts(entity.raw_columns)).write.parquet(f"{self.path}/number=0")
+            hashed = with_hashes(raw, entity.raw_columns).observe(measured, *content_parts())
+            hashed.select(*raw.columns).write.parquet(f"{self.path}/number=0")
             return [identity(measured.get)]
         numbers = self.spark.createDataFrame(self._numbers(sources), "source_file string, number int")
         numbered = raw.join(F.broadcast(numbers), "source_file").select(*raw.columns, "number")
