@@ -164,6 +164,20 @@ def write_csv(rows: DataFrame, path: str) -> None:
     )
 
 
+def write_lines(lines: DataFrame, entity: tm.Entity, path: str) -> None:
+    """Whole lines (one column) below the entity's header, in as many part files as tasks."""
+    (
+        lines.toDF(",".join(entity.columns))
+        .write.option("header", True)
+        .option("sep", "\u0001")  # neither splits nor quotes a line
+        .option("quote", "")
+        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def _csv_roundtrip(entity: tm.Entity) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         work = Workspace(spark, "csv", keep=True)
@@ -181,9 +195,7 @@ def _misfit_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.concat_ws(",", *[F.col(c).cast("string") for c in tm.ORDERS.columns])
     line = F.when(F.col("order_id") % 50 == 1, F.concat_ws(",", "order_id", "customer_id"))
     line = line.when(F.col("order_id") % 50 == 2, F.concat(whole, F.lit(",more"))).otherwise(whole)
-    header = spark.range(1).select(F.lit(",".join(tm.ORDERS.columns)).alias("value"), F.lit(0).alias("part"))
-    lines = header.union(rows.select(line.alias("value"), F.lit(1).alias("part"))).coalesce(1).sortWithinPartitions("part")
-    lines.select("value").write.text(f"{work.path}/file")
+    write_lines(rows.select(line.alias("line")), tm.ORDERS, f"{work.path}/file")
     entity, layout = tm.ORDERS.with_misfits(), tm.Layout(f"{work.path}/lake")
     tm.run_entity_batch(spark, entity, f"{work.path}/file", layout)
     stored = spark.read.parquet(layout.quarantine(entity))

@@ -21,6 +21,7 @@ from tidemark import (
 )
 from tidemark.operators import quality
 from tidemark.operators.quality import repeated_keys
+from tidemark.session import SETTINGS
 
 NO_BROADCAST = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
@@ -242,3 +243,13 @@ def test_rules_are_compiled_with_what_is_around_them(spark):
     raw = spark.range(10).select(*[F.col("id").cast("string").alias(c) for c in ORDERS.columns])
     plan = plan_of(validate(standardize(raw, ORDERS), ORDERS, spark.createDataFrame([], "order_id int"), broadcast_repeated=True))
     assert "lambda" not in plan and not re.search(r"^[\s:+-]*Project", plan, re.M)
+
+
+def test_partitioned_writes_do_not_sort(spark, tmp_path, with_settings):
+    with_settings(**{name.replace(".", "__"): value for name, value in SETTINGS.items()})
+    spark.sql(f"CREATE TABLE checked_rows (k int, is_valid boolean) USING parquet PARTITIONED BY (is_valid) LOCATION '{tmp_path}/t'")
+    try:
+        plan = spark.sql("EXPLAIN INSERT INTO checked_rows SELECT CAST(id AS int), id % 2 = 0 FROM range(10)").first()[0]
+    finally:
+        spark.sql("DROP TABLE checked_rows")
+    assert "InsertInto" in plan and "Sort" not in plan

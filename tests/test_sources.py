@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import write_lines
 from tidemark import ORDERS
 from tidemark.sources.csv import ingest, read_raw
 from tidemark.sources.files import child_names, exists
@@ -181,3 +182,15 @@ def test_workspace_uses_the_named_folder_and_cleans_up(spark, frame):
         assert measured == {"top": 2}
         assert work.path.startswith(folder)
     assert not exists(spark, work.path)
+
+
+def test_lines_are_written_by_many_tasks_below_a_header_each(spark, tmp_path):
+    lines = ["1,2,2026-01-01,pending", "3,4", '5,6,2026-01-02,"a b",more'] * 4
+    rows = spark.createDataFrame([(line,) for line in lines], "line string").repartition(4)
+    write_lines(rows, ORDERS, f"{tmp_path}/file")
+    parts = sorted((tmp_path / "file").glob("part-*"))
+    assert len(parts) == 4
+    assert all(p.read_text().startswith(",".join(ORDERS.columns) + "\n") for p in parts)
+    assert sorted(x for p in parts for x in p.read_text().splitlines()[1:]) == sorted(lines)
+    read = read_raw(spark, f"{tmp_path}/file", ORDERS.with_misfits()).collect()
+    assert sorted(r["misfit"] for r in read if r["misfit"] is not None) == sorted(lines[1::3] + lines[2::3])

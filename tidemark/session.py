@@ -10,13 +10,15 @@ from pyspark.sql import SparkSession
 # AQE picks join strategies and partition sizes from measured sizes, and splits
 # a hot join key over many tasks. Forcing the split keeps it active when a later
 # aggregation would otherwise have reused the join's partitioning. A join whose
-# measured build partitions all stay small is hashed instead of sorted.
+# measured build partitions all stay small is hashed instead of sorted. A task that
+# writes a partitioned table keeps a few files open instead of sorting its rows.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.session.timeZone": "UTC",
 }
 
