@@ -1,9 +1,12 @@
 """Token files, WARC and piece encoding: exact round trips and the libraries themselves."""
 
 import gzip
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from helpers import ROWS, table
@@ -185,3 +188,16 @@ def test_rows_that_repeat_a_page_and_extra_columns(spark, tmp_path):
     warc.write(pages, str(tmp_path / "w"))
     found = warc.pages(warc.read(spark, str(tmp_path / "w"))).collect()
     assert sorted((r.page_id or 0, r.record_type, r.refers_to) for r in found) == [(0, "revisit", 1), (1, "response", None), (1, "response", None), (2, "revisit", 1)]
+
+
+def test_pieces_are_encoded_without_holding_a_batch_of_texts(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(30)), "text": ["a" * (1 << 20)] * 29 + [None]})
+    monkeypatch.setattr(piece_encoding, "encoder", lambda path: SimpleNamespace(encode=list))
+    tracemalloc.start()
+    seen = 0
+    for _, doc_ids, texts, _ in piece_encoding._encoded([batch], "model"):
+        assert len(doc_ids) == len(texts)
+        seen += len(texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert seen == 30 and texts == [""] and peak < 10 << 20
