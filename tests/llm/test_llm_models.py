@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -96,6 +97,19 @@ def test_votes_are_of_the_nearest():
         assert abs(score - (share * labels).sum() / share.sum()) < 1e-5
 
 
+def test_labelled_vectors_are_small_and_held_once():
+    rows = quality_votes.features([b"", b"one short text", b"Other words, and 12 numbers." * 40])
+    sent = [quality_votes.packed(row) for row in rows]
+    assert np.array_equal(quality_votes.unpacked(sent), rows.astype(np.float16).astype(np.float32))
+    assert len(sent[0]) == 0 and max(map(len, sent)) < rows[0].nbytes / 20
+    many = np.random.default_rng(0).random((1500, quality_votes.SIZE), np.float32)
+    tracemalloc.start()
+    quality_votes.Votes(many, np.arange(1500) % 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < many.nbytes * 0.75
+
+
 @given_tables
 def test_letters_out_of_order_lose_score(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))

@@ -111,23 +111,45 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(1e-9, np.linalg.norm(rows, axis=1, keepdims=True))
 
 
+def packed(row: np.ndarray) -> bytes:
+    """The entries of a vector that are not zero: all their places, then all their values in half precision."""
+    values = row.astype(np.float16)
+    places = np.flatnonzero(values)
+    return places.astype(np.uint16).tobytes() + values[places].tobytes()
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    """The vectors that :func:`packed` made small."""
+    found = np.zeros((len(rows), SIZE), np.float32)
+    for row, raw in zip(found, rows, strict=True):
+        n = len(raw) // 4
+        row[np.frombuffer(raw, np.uint16, n)] = np.frombuffer(raw, np.float16, n, 2 * n)
+    return found
+
+
 class Votes:
     """The labelled vectors and what makes such vectors of texts."""
 
     def __init__(self, rows: np.ndarray, labels: np.ndarray, neighbours: int = NEIGHBOURS, dimensions: int = DIMENSIONS):
-        seen = (rows > 0).sum(0)
+        """``rows`` are weighted in place, so that the driver holds them once."""
+        seen = np.count_nonzero(rows, axis=0)
         self.weight = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
-        self.directions = latent(rows * self.weight, dimensions).astype(np.float32)
+        rows *= self.weight
+        self.directions = latent(rows, dimensions).astype(np.float32)
         self.labels = labels.astype(np.float32)
-        self.vectors, known = self.project(rows)
+        self.vectors, known = self._inside(rows)
         self.known = float(known.mean())
         self.neighbours = min(neighbours, len(labels))
 
     def project(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unit vectors in the latent directions, and the share of the length of ``rows`` that lies in them."""
-        weighted = rows * self.weight
+        return self._inside(rows * self.weight)
+
+    def _inside(self, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         inside = weighted @ self.directions
-        return _unit(inside), np.linalg.norm(inside, axis=1) / np.maximum(1e-9, np.linalg.norm(weighted, axis=1))
+        blocks = range(0, len(weighted), BLOCK)  # the squares of all rows at once would be another copy of them
+        lengths = np.concatenate([np.linalg.norm(weighted[a : a + BLOCK], axis=1) for a in blocks])
+        return _unit(inside), np.linalg.norm(inside, axis=1) / np.maximum(1e-9, lengths)
 
     def votes(self, vectors: np.ndarray) -> np.ndarray:
         near = vectors @ self.vectors.T
@@ -161,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS) -> V
         for batch in batches:
             texts = byte_texts(batch["text"])
             for a, b in slices(texts):
-                found = [x.astype(np.float16).tobytes() for x in features(texts[a:b])]
+                found = [packed(x) for c in range(a, b, BLOCK) for x in features(texts[c : min(b, c + BLOCK)])]
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"][a:b], batch["quality"][a:b], pa.array(found, pa.binary())], ["doc_id", "quality", "found"]
                 )
@@ -171,8 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS) -> V
     got = found.toArrow().to_pydict()
     if not got["doc_id"]:
         return None
-    matrix = np.frombuffer(b"".join(got["found"]), np.float16).reshape(-1, SIZE).astype(np.float32)
-    return Votes(matrix, np.array(got["quality"]))
+    return Votes(unpacked(got["found"]), np.array(got["quality"]))
 
 
 def score(docs: DataFrame, votes: Votes | None, threshold: float = THRESHOLD) -> DataFrame:
