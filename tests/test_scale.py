@@ -70,6 +70,16 @@ def test_no_task_gathers_a_hot_or_missing_key(skewed, with_settings, given):
     assert max(sizes) < 2 * 40_000 / 8
 
 
+def test_rows_are_read_once_when_many_keys_repeat(skewed, with_settings):
+    with_settings(**SMALL_SKEW, **NO_BROADCAST)
+    marked = mark_unique(skewed, "k", repeated_keys(skewed, "k"), many_repeated=True)
+    assert plan_of(marked).count("Range (") == 2  # the keys, and the rows
+    counts = marked.groupBy("is_unique").count().collect()
+    assert {r["is_unique"]: r["count"] for r in counts} == {False: 20_000, True: 20_000}
+    sizes = marked.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(sizes) < 2 * 40_000 / 8
+
+
 def test_many_warm_keys_are_marked_alike(spark, with_settings):
     with_settings(**SMALL_SKEW, **NO_BROADCAST)
     rows = spark.range(0, 50_000, numPartitions=8).select((F.col("id") % 5000).cast("int").alias("k"), "id")

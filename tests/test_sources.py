@@ -7,7 +7,7 @@ from checks.queries import write_lines
 from tidemark import ORDERS
 from tidemark.sources.csv import ingest, read_raw
 from tidemark.sources.files import child_names, exists
-from tidemark.sources.fingerprint import content_hash, file_sha256
+from tidemark.sources.fingerprint import content_hash, content_parts, file_sha256, identity, rows_hash, with_hashes
 from tidemark.sources.tables import KeyedTable, ReportSet, read_batch, read_batches
 from tidemark.sources.workspace import Workspace, shared_folder
 
@@ -194,3 +194,14 @@ def test_lines_are_written_by_many_tasks_below_a_header_each(spark, tmp_path):
     assert sorted(x for p in parts for x in p.read_text().splitlines()[1:]) == sorted(lines)
     read = read_raw(spark, f"{tmp_path}/file", ORDERS.with_misfits()).collect()
     assert sorted(r["misfit"] for r in read if r["misfit"] is not None) == sorted(lines[1::3] + lines[2::3])
+
+
+def test_content_is_summed_as_longs(spark):
+    rows = spark.createDataFrame([(None, "a"), ("", "a"), ("", "a"), ("b", "c"), ("d", None)], "x string, y string")
+    parts = with_hashes(rows, ["x", "y"]).agg(*content_parts())
+    assert {kind for _, kind in parts.dtypes} == {"bigint"}
+    hashes = ["xxhash64('%s', coalesce('=' || x, ''), coalesce('=' || y, ''))" % seed for seed in ("first", "second")]
+    found = rows.selectExpr(*[f"{h} AS h{n}" for n, h in enumerate(hashes)]).collect()
+    text = f"5:{sum(r.h0 for r in found)}:{sum(r.h1 for r in found)}"
+    expected = hashlib.sha256(text.encode()).hexdigest()
+    assert identity(parts.first().asDict()) == rows_hash(rows).first()["file_hash"] == expected

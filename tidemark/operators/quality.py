@@ -14,6 +14,8 @@ from tidemark.functions.conditions import broken_rules
 #: Bits of the filter over hashes of repeated keys: 512 KB in every task, however many keys repeat.
 FILTER_BITS = 1 << 22
 WORD = 64
+#: With more repeated keys than this, every fifth row whose key does not repeat would pass the filter, or more.
+MOST_FILTERED = FILTER_BITS // 4
 
 
 def repeated_keys(rows: DataFrame, key: str, *within: str) -> DataFrame:
@@ -49,6 +51,7 @@ def mark_unique(
     repeated: DataFrame | None = None,
     broadcast_repeated: bool = False,
     within: Sequence[str] = (),
+    many_repeated: bool = False,
 ) -> DataFrame:
     """Add ``is_unique``: false on every copy of a repeated key; NULL keys are unique.
 
@@ -61,7 +64,8 @@ def mark_unique(
 
     ``repeated`` takes an already computed :func:`repeated_keys`;
     ``broadcast_repeated`` is for callers who measured it and found it small: the
-    rows are then read once.
+    rows are then read once. ``many_repeated`` is for those who found more keys than
+    the filter can tell apart: all rows are looked up then, and read once.
     """
     columns = [key, *within]
     marks = repeated_keys(rows, *columns) if repeated is None else repeated
@@ -69,6 +73,11 @@ def mark_unique(
     is_unique = F.coalesce("is_unique", F.lit(True)).alias("is_unique")
     if broadcast_repeated:
         return rows.join(F.broadcast(marked), columns, "left").select(*rows.columns, is_unique)
+    if many_repeated:
+        # A NULL key has no copies; such rows are dealt out by what else they hold.
+        route = F.when(F.col(key).isNull(), F.xxhash64(*rows.columns)).otherwise(F.xxhash64(*columns))
+        marked = marked.withColumn("_route", F.xxhash64(*columns))
+        return rows.withColumn("_route", route).join(marked, [*columns, "_route"], "left").select(*rows.columns, is_unique)
     suspect = F.col(key).isNotNull() & _may_repeat(marks, *columns)
     alone = rows.where(~suspect).select(*rows.columns, F.lit(True).alias("is_unique"))
     # The route is a join key of its own, for which both sides are dealt out anew, so that both can be split.
@@ -83,9 +92,10 @@ def validate(
     repeated: DataFrame | None = None,
     broadcast_repeated: bool = False,
     within: Sequence[str] = (),
+    many_repeated: bool = False,
 ) -> DataFrame:
     """Add ``is_unique``, ``quality_errors`` and ``is_valid`` to standardized rows."""
-    marked = mark_unique(rows, entity.key, repeated, broadcast_repeated, within)
+    marked = mark_unique(rows, entity.key, repeated, broadcast_repeated, within, many_repeated)
     checked = marked.withColumn("quality_errors", broken_rules(entity.rules))
     return checked.withColumn("is_valid", F.size("quality_errors") == 0)
 

@@ -33,6 +33,7 @@ from tidemark.operators.merge import (
     unchanged_slices,
 )
 from tidemark.operators.quality import (
+    MOST_FILTERED,
     batch_counts,
     error_counts,
     invalid_rows,
@@ -356,7 +357,12 @@ def _run(spark: SparkSession, entity: Entity, sources: list[str], layout: Layout
             # decides whether the rows themselves have to move.
             repeated, measured = work.store(repeated_keys(typed, entity.key, "batch_id"), "repeated")
             checked = validate(
-                typed, entity, repeated, broadcast_repeated=measured["rows"] <= BROADCAST_KEYS, within=["batch_id"]
+                typed,
+                entity,
+                repeated,
+                broadcast_repeated=measured["rows"] <= BROADCAST_KEYS,
+                within=["batch_id"],
+                many_repeated=measured["rows"] > MOST_FILTERED,
             )
             checked, sizes = work.store(
                 checked,
