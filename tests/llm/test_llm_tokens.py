@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
 from tidemark.llm import piece_encoding, token_files, warc
+from tidemark.llm.memo import Memo, flat
 
 TEXT = st.text(st.sampled_from("aB z.,'!9éÜ\n\t\x1c\x85ßΣİ´́<|endoftext|>☃ " + "thereon" * 3), max_size=60)
 
@@ -201,3 +202,22 @@ def test_pieces_are_encoded_without_holding_a_batch_of_texts(monkeypatch):
     _, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert seen == 30 and texts == [""] and peak < 10 << 20
+
+
+def test_a_memo_takes_chunks_at_one_look_and_forgets_what_it_could_not_learn():
+    broken = []
+
+    def learn(chunks):
+        if broken:
+            raise ValueError(broken[0])
+        return flat([[len(c)] * 2 for c in chunks], np.int32)
+
+    memo = Memo(learn, np.int32, "test")
+    for texts in ([["a", "bb", "a"], [], ["ccc"]], [["bb"]], []):
+        assert [memo.of(p).tolist() for p in memo.take(texts)] == [[len(c) for c in t for _ in "12"] for t in texts]
+    broken.append("lost")
+    with pytest.raises(ValueError, match="lost"):
+        memo.take([["a", "dddd"]])
+    broken.clear()
+    memo.add([["dddd", "a"]])
+    assert memo.of(memo.places(["a", "dddd"])).tolist() == [1, 1, 4, 4]

@@ -26,6 +26,18 @@ def flat(lists: list[Iterable[int]], dtype) -> tuple[np.ndarray, np.ndarray]:
     return lengths, np.fromiter(chain.from_iterable(lists), dtype, int(lengths.sum()))
 
 
+class _Index(dict):
+    """Numbers of chunks; one that is not known yet gets the next number and is noted in ``new``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        number = self[chunk] = len(self)
+        return number
+
+
 class Memo:
     def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype, owner: str, most: int = MOST_CHUNKS):
         """``learn`` gives the ids of chunks that are not known yet, as ``flat`` does.
@@ -43,14 +55,14 @@ class Memo:
     def clear(self) -> None:
         if not getattr(self, "index", True):
             return
-        self.index: dict[str, int] = {}
+        self.index = _Index()
         self.ids = np.zeros(1 << 16, self.dtype)
         self.lengths = np.zeros(1 << 14, np.int64)
         self.starts = np.zeros(1 << 14, np.int64)
         self.used = self.characters = 0
 
     def _room(self, chunks: int, ids: int) -> None:
-        while len(self.lengths) < len(self.index) + chunks:
+        while len(self.lengths) < chunks:
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
         while len(self.ids) < self.used + ids:
@@ -58,25 +70,40 @@ class Memo:
 
     def add(self, texts: list[list[str]]) -> None:
         """Learn all chunks of the texts; after this ``of`` answers for them."""
+        for chunk in set().union(*texts).difference(self.index):
+            self.index[chunk]
+        self._learn_new()
+
+    def places(self, chunks: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+
+    def take(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """``add`` and the ``places`` of each text, with one look at every chunk."""
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        places = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64, int(ends[-1]) if texts else 0)
+        self._learn_new()
+        return np.split(places, ends[:-1]) if texts else []
+
+    def _learn_new(self) -> None:
         for owner, memos in _owners.items():
             if owner != self.owner:
                 for memo in memos:
                     memo.clear()
-        missing = list(set().union(*texts).difference(self.index)) if texts else []
-        if not missing:
+        new, self.index.new = self.index.new, []
+        if not new:
             return
-        lengths, ids = self.learn(missing)
-        self._room(len(missing), len(ids))
-        n = len(self.index)
-        self.lengths[n : n + len(missing)] = lengths
-        self.starts[n : n + len(missing)] = self.used + np.cumsum(lengths) - lengths
+        try:
+            lengths, ids = self.learn(new)
+        except BaseException:
+            self.clear()  # the worker may go on with another task, for which these are not known
+            raise
+        n = len(self.index) - len(new)
+        self._room(len(self.index), len(ids))
+        self.lengths[n : n + len(new)] = lengths
+        self.starts[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
         self.ids[self.used : self.used + len(ids)] = ids
-        self.index.update(zip(missing, range(n, n + len(missing)), strict=True))
         self.used += len(ids)
-        self.characters += sum(map(len, missing))
-
-    def places(self, chunks: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        self.characters += sum(map(len, new))
 
     def of(self, places: np.ndarray) -> np.ndarray:
         """The ids of the chunks at ``places``, one after the other."""

@@ -108,8 +108,7 @@ class Encoder:
                 lengths[i] = 2
             else:
                 units.append(chunk)
-        self.units.add([units])
-        return lengths, self.units.places(units)
+        return lengths, self.units.take([units])[0]
 
     def _chunks(self, text: str) -> list[str]:
         """Chunks between spaces and line ends, in lower case where that is the library's."""
@@ -124,11 +123,8 @@ class Encoder:
         if self.memo.full():
             self.memo.clear()
             self.units.clear()
-        self.memo.add(chunks)
-        return [
-            np.array(out[i], self.dtype) if i in out else self.units.of(self.memo.of(self.memo.places(c)))
-            for i, c in enumerate(chunks)
-        ]
+        places = self.memo.take(chunks)
+        return [np.array(out[i], self.dtype) if i in out else self.units.of(self.memo.of(p)) for i, p in enumerate(places)]
 
 
 def _latin1(text: str) -> bool:
