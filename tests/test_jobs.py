@@ -447,3 +447,14 @@ def test_rows_that_do_not_fit_are_told_if_asked_for(spark, deliver, tmp_path):
         (3, "3,1,2025-02-01,pending,more", ["row does not fit its columns"]),
     ]
     assert run_entity_batch(spark, ORDERS.with_misfits(), source, told).skipped
+
+
+def test_the_rows_of_one_batch_are_told_apart_by_the_key_alone(spark, deliver, tmp_path, monkeypatch):
+    counted = []
+    real = jobs.repeated_keys
+    monkeypatch.setattr(jobs, "repeated_keys", lambda rows, *by: counted.append(by) or real(rows, *by))
+    one, two = Layout(str(tmp_path / "one")), Layout(str(tmp_path / "two"))
+    sources = many(deliver, ORDER_ITEMS, [FILES[ORDER_ITEMS], "3,2,1,1,9.00\n"])
+    assert run_entity_batch(spark, ORDER_ITEMS, sources[0], one).invalid_rows == 3
+    assert [r.invalid_rows for r in run_entity_batches(spark, ORDER_ITEMS, sources, two)] == [3, 0]
+    assert counted == [("order_item_id",), ("order_item_id", "batch_id")]

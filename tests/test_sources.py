@@ -205,3 +205,13 @@ def test_content_is_summed_as_longs(spark):
     text = f"5:{sum(r.h0 for r in found)}:{sum(r.h1 for r in found)}"
     expected = hashlib.sha256(text.encode()).hexdigest()
     assert identity(parts.first().asDict()) == rows_hash(rows).first()["file_hash"] == expected
+
+
+@pytest.mark.parametrize(("kind", "width"), [("int", 1), ("int", 4_194_304), ("bigint", 2**26), ("bigint", 2**31)])
+def test_slices_are_ranges_without_decimals(spark, tmp_path, frame, kind, width):
+    keys = [0, 1, -1, width - 1, -width, -width - 1, 2**31 - 1, -(2**31)]
+    keys = [k for k in keys if abs(k) < 2**31] + ([2**63 - 1, -(2**63)] if kind == "bigint" else [])
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", width)
+    rows = frame(f"k {kind}", (None,), *[(k,) for k in keys]).select("k", table.slice_of_key().alias("s"))
+    assert {r["k"]: r["s"] for r in rows.collect()} == {None: None} | {k: k // width % 1024 for k in keys}
+    assert "decimal" not in rows._jdf.queryExecution().optimizedPlan().toString()

@@ -2,8 +2,10 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, standardize
+from tidemark.functions.values import typed as typed_column
 
 
 def typed(frame, entity, *rows, **options):
@@ -72,3 +74,16 @@ def test_wide_keys_hold_more_than_32_bits(frame):
     wide = ORDERS.with_wide_keys()
     assert typed(frame, wide, ("99999999999", "1", "2025-01-01", "pending"))[0][0] == 99999999999
     assert wide.columns["order_date"] == "date"
+
+
+def test_values_that_cannot_be_read_at_first_sight_are_not_tried(spark, frame):
+    texts = [None, "", ".", "1.", ".5", "7.9", " 1 ", "+1", "-1", "1e3", "E3", "x", "A-1", "n/a", "free", "NaN", "today", "2026-1-5"]
+    texts += ["2020-01-01 ", "T2020-01-01", "99999999999", "123456789012.00", "19.995", "{1", "@1", "\u00e9", "\x7f1", "1 2", " x", "true"]
+    rows = frame("v string", *[(t,) for t in texts])
+    for kind in ("int", "bigint", "decimal(10,2)", "date"):
+        read = rows.select(typed_column("v", kind).alias("now"), F.col("v").try_cast(kind).alias("plain"))
+        assert read.where("NOT now <=> plain").count() == 0
+        plan = read.select("now")._jdf.queryExecution().optimizedPlan().toString()
+        assert " < A)" in plan and ("Contains" in plan) == (kind in ("int", "bigint"))
+    numbers = frame("v decimal(10,2)", (Decimal("7.90"),))
+    assert numbers.select(typed_column("v", "int")).collect() == [(7,)]

@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 
 
+def _unreadable(column: Column, kind: str) -> Column:
+    """Whether a text is no number or date at first sight: a letter in front, or a fraction where there is none.
+
+    Others may be so too. ``try_cast`` makes and catches an exception for each, which takes
+    far longer than a good value; these are spared it. Other columns than text have none.
+    """
+    text = column.cast("string")
+    plain = (text >= "A") & (text < "{")
+    if kind in ("int", "bigint"):
+        plain = plain | F.contains(text, F.lit("."))
+    return (F.typeof(column) == "string") & plain
+
+
 def typed(name: str, kind: str, strict: bool = False) -> Column:
     """A raw string column as its silver type.
 
@@ -17,7 +30,12 @@ def typed(name: str, kind: str, strict: bool = False) -> Column:
     column = F.col(name)
     if kind == "string":
         return F.trim(column).alias(name)
-    return (column.cast(kind) if strict else column.try_cast(kind)).alias(name)
+    if strict:
+        return column.cast(kind).alias(name)
+    value = column.try_cast(kind)
+    if kind in ("int", "bigint", "date") or kind.startswith("decimal"):
+        value = F.when(~_unreadable(column, kind), value)
+    return value.alias(name)
 
 
 def line_revenue() -> Column:

@@ -355,13 +355,14 @@ def _run(spark: SparkSession, entity: Entity, sources: list[str], layout: Layout
         with Workspace(spark, entity.name) as work:
             # Repeated keys are counted on the key column alone; their measured number
             # decides whether the rows themselves have to move.
-            repeated, measured = work.store(repeated_keys(typed, entity.key, "batch_id"), "repeated")
+            within = ["batch_id"] if len(batch_ids) > 1 else []  # the rows of one batch are not told apart by it
+            repeated, measured = work.store(repeated_keys(typed, entity.key, *within), "repeated")
             checked = validate(
                 typed,
                 entity,
                 repeated,
                 broadcast_repeated=measured["rows"] <= BROADCAST_KEYS,
-                within=["batch_id"],
+                within=within,
                 many_repeated=measured["rows"] > MOST_FILTERED,
             )
             checked, sizes = work.store(
