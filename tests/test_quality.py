@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS, PRODUCTS, batch_counts, error_counts
-from tidemark import mark_unique, validate
+from tidemark import mark_unique, standardize, validate
 from tidemark.operators.quality import invalid_rows, repeated_keys, valid_rows
 
 
@@ -165,3 +165,12 @@ def test_split_and_counts(frame):
         ("customer_id is NULL", 2),
         ("status is invalid", 1),
     }
+
+
+def test_repeated_keys_are_read_from_their_text_once(frame):
+    keys = ["1", "1", "2", None, None, "x", "x", "2147483648", "2147483648"]
+    raw = frame(f"{ORDERS.raw_schema}, batch_id string", *[(key, "1", "2025-01-01", "pending", "b") for key in keys])
+    repeated = repeated_keys(standardize(raw, ORDERS), "order_id", "batch_id")
+    assert [tuple(row) for row in repeated.collect()] == [(1, "b", 2)]
+    plan = repeated._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") == 1

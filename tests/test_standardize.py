@@ -87,3 +87,23 @@ def test_values_that_cannot_be_read_at_first_sight_are_not_tried(spark, frame):
         assert " < A)" in plan and ("Contains" in plan) == (kind in ("int", "bigint"))
     numbers = frame("v decimal(10,2)", (Decimal("7.90"),))
     assert numbers.select(typed_column("v", "int")).collect() == [(7,)]
+
+
+def test_numbers_out_of_range_become_null_without_being_raised(spark, frame):
+    edges = ["2147483647", "-2147483648", "2147483648", "-2147483649", "99999999999999999999", " +2147483647 ", "0", None, "x", "7.9"]
+    prices = ["99999999.99", "-99999999.99", "99999999.994", "99999999.995", "-99999999.995", "123456789012.00", "1e15", "1e40", " 1 ", None]
+    raw = frame(ORDER_ITEMS.raw_schema, *[(edge, edge, edge, edge, price) for edge, price in zip(edges, prices, strict=True)])
+    now = standardize(raw, ORDER_ITEMS)
+    assert now.dtypes == list(ORDER_ITEMS.columns.items())
+    plain = raw.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in ORDER_ITEMS.columns.items()])
+    assert [tuple(row) for row in now.collect()] == [tuple(row) for row in plain.collect()]
+    assert [row["order_id"] for row in now.collect()] == [2147483647, -2147483648, None, None, None, 2147483647, 0, None, None, None]
+    plan = now._jdf.queryExecution().optimizedPlan().toString()
+    # Each text is read once, as a type that holds what overflows the column's own.
+    assert plan.count("try_cast") == len(ORDER_ITEMS.columns)
+    assert plan.count("as bigint)") == 4 and "as decimal(18,2))" in plan
+
+
+def test_numbers_out_of_range_fail_when_strict(frame):
+    with pytest.raises(Exception, match="CAST_(INVALID_INPUT|OVERFLOW)"):
+        typed(frame, ORDERS, ("2147483648", "1", "2025-01-01", "pending"), strict=True)

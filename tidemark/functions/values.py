@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,31 @@ def typed(name: str, kind: str, strict: bool = False) -> Column:
     return value.alias(name)
 
 
+def wider(kind: str) -> str:
+    """A type that also holds what a little overflows ``kind``: casting to it raises nothing that has to be caught."""
+    if kind == "int":
+        return "bigint"
+    if kind.startswith("decimal("):
+        precision, scale = kind.removeprefix("decimal(").rstrip(")").split(",")
+        if int(precision) < 18:
+            return f"decimal(18,{int(scale)})"
+    return kind
+
+
+def narrowed(name: str, kind: str) -> Column:
+    """A column :func:`typed` as the :func:`wider` kind as its own; values out of range become NULL, unraised."""
+    column = F.col(name)
+    if wider(kind) == kind:
+        return column
+    if kind == "int":
+        least, most = F.lit(-(2**31)), F.lit(2**31 - 1)
+    else:
+        precision, scale = (int(n) for n in kind.removeprefix("decimal(").rstrip(")").split(","))
+        most = F.lit(Decimal(10**precision - 1).scaleb(-scale))
+        least = F.lit(-Decimal(10**precision - 1).scaleb(-scale))
+    return F.when((column >= least) & (column <= most), column.cast(kind)).alias(name)
+
+
 def line_revenue() -> Column:
     return F.col("quantity") * F.col("unit_price")
 

@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
-from tidemark.functions.values import typed
+from tidemark.functions.values import narrowed, typed, wider
 
 
 def standardize(raw: DataFrame, entity: Entity, strict: bool = False) -> DataFrame:
-    """Type the entity's columns in one projection; other columns pass through.
+    """Type the entity's columns in one pass; other columns pass through.
 
     Snapshot entities also get ``is_active = true``. Values that do not parse
     become NULL and are then caught by the NULL rules; ``strict`` fails instead.
+
+    Numbers are read as a wider type, and those out of range are then told by
+    comparing: in one expression Spark would read each of them three times.
     """
-    columns = [typed(name, kind, strict) for name, kind in entity.columns.items()]
-    columns += [F.col(name) for name in raw.columns if name not in entity.columns]
+    columns = [typed(name, kind if strict else wider(kind), strict) for name, kind in entity.columns.items()]
+    others = [F.col(name) for name in raw.columns if name not in entity.columns]
     if entity.snapshot:
-        columns.append(F.lit(True).alias("is_active"))
-    return raw.select(*columns)
+        others.append(F.lit(True).alias("is_active"))
+    read = raw.select(*columns, *others)
+    if strict:
+        return read
+    return read.select(*[narrowed(name, kind) for name, kind in entity.columns.items()], *[F.col(name) for name in read.columns[len(columns):]])
