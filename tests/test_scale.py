@@ -5,12 +5,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import feeds
 from tidemark import (
+    ORDER_ITEMS,
     ORDERS,
     PRODUCTS,
+    batch_counts,
     category_performance,
     customer_metrics,
     daily_sales,
+    error_counts,
     mark_unique,
     merge_incremental,
     merge_snapshot,
@@ -20,7 +24,7 @@ from tidemark import (
     validate,
 )
 from tidemark.operators import quality
-from tidemark.operators.quality import repeated_keys
+from tidemark.operators.quality import invalid_rows, repeated_keys, valid_rows
 from tidemark.session import SETTINGS
 
 NO_BROADCAST = {
@@ -132,6 +136,56 @@ def test_the_filter_of_repeated_keys_is_exact_with_any_number_of_them(spark, wit
     assert mark_unique(rows, "k", within=["id"]).where("NOT is_unique").count() == 0
 
 
+@pytest.fixture
+def item_texts(spark):
+    """Order items as text with faults, each value a longer expression; every fifth key repeats."""
+    lines = spark.range(0, 3000, numPartitions=4).selectExpr(
+        "id % 2500 AS l_orderkey", "1 AS l_linenumber", "id % 7 AS l_partkey", "CAST(id % 9 + 1 AS double) AS l_quantity", "CAST(id AS double) AS l_extendedprice"
+    )
+    return lines.selectExpr(*[f"{text} AS {name}" for name, text in feeds.RAW_ITEMS.columns.items()])
+
+
+@pytest.mark.parametrize("most", [quality.MOST_FILTERED, 10])
+def test_checks_of_texts_are_compiled(item_texts, with_settings, monkeypatch, most):
+    with_settings(spark__sql__codegen__fallback="false", **NO_BROADCAST)  # what cannot be compiled fails
+    monkeypatch.setattr(quality, "MOST_FILTERED", most)
+    checked = validate(standardize(item_texts, ORDER_ITEMS), ORDER_ITEMS)
+    rows = checked.collect()
+    n_valid = sum(row["is_valid"] for row in rows)
+    assert len(rows) == 3000 and 0 < n_valid < 3000
+    assert tuple(batch_counts(checked).first()) == (3000, n_valid, 3000 - n_valid)
+    assert valid_rows(checked).count() == n_valid and invalid_rows(checked).count() == 3000 - n_valid
+    errors = [error for row in rows for error in row["quality_errors"]]
+    assert {tuple(row) for row in error_counts(checked).collect()} == {(error, errors.count(error)) for error in errors}
+
+
+@pytest.mark.parametrize("count", [batch_counts, error_counts, valid_rows, invalid_rows])
+def test_checks_do_not_filter_by_texts_at_the_source(item_texts, count):
+    plan = count(validate(standardize(item_texts, ORDER_ITEMS), ORDER_ITEMS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_cast" in plan
+    assert not [line for line in plan.split("\n") if re.search(r"^[\s:+-]*Filter .*try_cast", line)]
+
+
+def test_a_filter_that_would_be_full_is_not_asked(spark, with_settings, monkeypatch):
+    with_settings(**SMALL_SKEW, **NO_BROADCAST)
+    key = F.when(F.col("id") % 4 == 3, None).otherwise(F.col("id") % 2000).cast("int")
+    rows = spark.range(0, 40_000, numPartitions=8).select(key.alias("k"), F.col("id").alias("v"))
+    single = spark.range(5000, 6000).select(F.col("id").cast("int").alias("k"), F.col("id").alias("v"))
+    rows = rows.unionByName(single)
+    for most, least_left in ((1499, 0), (1500, 10_900)):  # 1,500 keys repeat
+        monkeypatch.setattr(quality, "MOST_FILTERED", most)
+        marked = mark_unique(rows, "k")
+        plan = plan_of(marked)
+        assert "ReusedExchange" in plan  # keys are read and counted once, for the filter and for the join
+        counts = marked.groupBy("is_unique").count().collect()
+        assert {r["is_unique"]: r["count"] for r in counts} == {False: 30_000, True: 11_000}
+        assert marked.where("k IS NULL AND is_unique").count() == 10_000
+        sizes = marked.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        left_in_place, n_moved = sum(sizes[: rows.rdd.getNumPartitions()]), 41_000 - 11_000 * (least_left > 0)
+        assert least_left <= left_in_place <= 41_000 - n_moved
+        assert max(sizes[rows.rdd.getNumPartitions() :]) < 2 * n_moved / 8
+
+
 def test_rejected_rows_are_matched_without_gathering(spark, with_settings):
     with_settings(**SMALL_SKEW, **NO_BROADCAST)
     rows = spark.range(0, 40_000, numPartitions=8).select(
